@@ -237,27 +237,31 @@ def with_ctes(sql: str) -> str:
     if not needed:
         return sql
     parts = ",\n".join(f"{name} as ({CTES[name]})" for name in _NAMES if name in needed)
-    return f"with {parts}\n{sql}"
+    return f"with {parts},\n{sql[4:]}" if sql.startswith("with") else f"with {parts}\n{sql}"
 
 
 def bm25(docs: str, queries: str, allowed: str = "") -> str:
     """Five best of ``docs`` (doc_id, body) for each of ``queries`` (query_id, body)."""
-    words = r"list_filter(regexp_split_to_array(lower(body), '[^\p{L}\p{N}]+'), w -> w <> '')"
-    return f"""
+    words = r"regexp_extract_all(lower(body), '[\p{L}\p{N}]+')"
+    return f"""with
+        words as materialized (select doc_id, {words} as w from {docs}),
+        lens as materialized (select doc_id, len(w) as doc_len from words),
+        post as materialized (
+          select term, doc_id, count(*)::double as tf from (select doc_id, unnest(w) as term from words)
+          group by term, doc_id),
+        dfs as materialized (select term, count(*)::double as df from post group by term),
+        stat as materialized (select count(*)::double as docs, avg(doc_len) as avg_len from lens),
+        ask as materialized (select distinct query_id, unnest({words}) as term from {queries}),
+        scored as materialized (
+          select a.query_id, p.doc_id,
+                 round(sum(ln(1 + (docs - df + 0.5) / (df + 0.5)) * tf * 2.2
+                   / (tf + 1.2 * (0.25 + 0.75 * doc_len / avg_len))), 6) as score
+          from ask a join dfs on a.term = dfs.term join post p on p.term = a.term
+               join lens l on l.doc_id = p.doc_id cross join stat
+          {allowed}
+          group by a.query_id, p.doc_id)
         select query_id, doc_id, score, rank from (
           select query_id, doc_id, score,
                  cast(row_number() over (partition by query_id order by score desc, doc_id) as integer) as rank
-          from (
-            select q.query_id, p.doc_id,
-                   round(sum(ln(1 + (st.docs - tm.df + 0.5) / (tm.df + 0.5)) * p.tf * 2.2
-                     / (p.tf + 1.2 * (0.25 + 0.75 * p.doc_len / st.avg_len))), 6) as score
-            from (select distinct query_id, unnest({words}) as term from {queries}) q
-                 join (select term, doc_id, doc_len, count(*)::double as tf
-                       from (select doc_id, len({words}) as doc_len, unnest({words}) as term from {docs})
-                       group by term, doc_id, doc_len) p on q.term = p.term
-                 join (select term, count(distinct doc_id)::double as df
-                       from (select doc_id, unnest({words}) as term from {docs}) group by term) tm on q.term = tm.term
-                 cross join (select count(*)::double as docs, avg(len({words})) as avg_len from {docs}) st
-            {allowed}
-            group by q.query_id, p.doc_id))
+          from scored)
         where rank <= 5"""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 def tokens(text: Column) -> Column:
     """Lower-cased runs of letters and digits of the whole text."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
 def short_label(text: Column, length: int = 6) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from salescompass.functions import text
-from salescompass.operators.skew import skew_join
+from salescompass.operators.skew import skew_join, spread
 
 K1 = 1.2
 B = 0.75
@@ -32,7 +32,8 @@ class Index:
 
 def postings(docs: DataFrame, doc_id: str = "doc_id", body: str = "text") -> DataFrame:
     """Term counts of every document over its whole text."""
-    words = docs.select(F.col(doc_id).alias("doc_id"), text.tokens(F.col(body)).alias("words"))
+    bodies = spread(docs.select(F.col(doc_id).alias("doc_id"), F.col(body).alias("body")))
+    words = bodies.select("doc_id", text.tokens(F.col("body")).alias("words"))
     exploded = words.select("doc_id", F.size("words").alias("doc_len"), F.explode("words").alias("term"))
     return exploded.groupBy("term", "doc_id", "doc_len").agg(F.count(F.lit(1)).alias("tf"))
 

@@ -15,11 +15,31 @@ from pyspark.sql import functions as F
 HEAVY_SHARE = 0.01  # at most 1 / HEAVY_SHARE keys can be heavy
 HEAVY_MIN_ROWS = 1_000_000  # a smaller input fits a task whatever its keys
 FAN_OUT = 64
+BROADCAST_ROWS = 1_000_000
 _TRACKED = 10_000
 
 _SALT = "_salt"
 
 
+def broadcast_within(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint for a side whose counted ``rows`` are within ``limit``; above it, none.
+
+    For narrow sides behind a join of their own, whose size Spark overestimates.  Without
+    the hint the join is planned by size as usual.
+    """
+    return F.broadcast(df) if rows <= limit else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than the cluster has cores.
+
+    For work that is heavy per row over a few small files.  A large scan has
+    splits enough and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def heavy_keys(
     df: DataFrame, *keys: str, share: float = HEAVY_SHARE, min_rows: int = HEAVY_MIN_ROWS
 ) -> dict[str, list]:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from salescompass.operators.attribution import flow_attribution
 from salescompass.operators.engagement import advisor_engagement
@@ -72,7 +73,10 @@ def _engagement_history(ws: Workspace) -> DataFrame:
 
 
 def _attribution(ws: Workspace) -> DataFrame:
-    return ws.stored("fund_flow_attribution", lambda path: sinks.overwrite(attribution(ws), path, ["flow_date"]))
+    month = F.trunc("flow_date", "month")
+    return ws.stored(
+        "fund_flow_attribution", lambda path: sinks.write_balanced(attribution(ws), path, [month], ["flow_date"])
+    )
 
 
 def _heat_map(ws: Workspace) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescompass.operators.skew import heavy_keys, skew_join
+from salescompass.operators.skew import broadcast_within, heavy_keys, skew_join, spread
 
 # --- fixed values: how source codes read in the landing tables ----------------------
 EVENT_TYPES = {
@@ -107,7 +107,7 @@ def located_events(events: DataFrame, advisors: DataFrame) -> DataFrame:
     return skew_join(events, where, "advisor_id", spread=F.xxhash64("event_id"))
 
 
-def fund_flows(spark: SparkSession, source_dir: str) -> DataFrame:
+def fund_flows(spark: SparkSession, source_dir: str, n_suppliers: int) -> DataFrame:
     """Line items with the buyer as advisor and the supplier's territory.
 
     Both joins are balanced against heavy orders and suppliers.  The spread is the row's
@@ -118,6 +118,7 @@ def fund_flows(spark: SparkSession, source_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag",
         "l_linestatus", "l_shipdate", F.monotonically_increasing_id().alias("_row"),
     )
+    items = spread(items)
     orders = read(spark, source_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     nations = read(spark, source_dir, "nation").select("n_nationkey", "n_regionkey")
     suppliers = (
@@ -125,6 +126,7 @@ def fund_flows(spark: SparkSession, source_dir: str) -> DataFrame:
         .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
         .select(F.col("s_suppkey").alias("l_suppkey"), territory_key(F.col("n_regionkey")).alias("territory_id"))
     )
+    suppliers = broadcast_within(suppliers, n_suppliers)
     heavy = heavy_keys(read(spark, source_dir, "lineitem"), "l_orderkey", "l_suppkey")
     joined = skew_join(items, suppliers, "l_suppkey", spread=F.col("_row"), heavy=heavy["l_suppkey"])
     joined = skew_join(joined, orders, "l_orderkey", spread=F.col("_row"), heavy=heavy["l_orderkey"])

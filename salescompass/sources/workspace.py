@@ -98,7 +98,8 @@ _TIME_COLUMNS = {
 
 def _flows(ws: Workspace) -> DataFrame:
     def write(path: str) -> None:
-        sinks.overwrite(landing.fund_flows(ws.spark, ws.source_dir), path, ["territory_id", "flow_date"])
+        flows = landing.fund_flows(ws.spark, ws.source_dir, ws.rows("supplier"))
+        sinks.write_balanced(flows, path, ["territory_id", F.trunc("flow_date", "month")], ["territory_id", "flow_date"])
 
     return ws.stored("fund_flows", write)
 

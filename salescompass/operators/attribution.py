@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salescompass.functions import money
-from salescompass.operators.skew import heavy_keys, skew_join
+from salescompass.operators.skew import dimension_join, heavy_keys, skew_join
 
 FLOW_GRAIN = ["fund_id", "advisor_id", "territory_name", "flow_date", "flow_type"]
 
@@ -19,7 +19,7 @@ def flow_totals(flows: DataFrame, territories: DataFrame) -> DataFrame:
     """
     names = territories.select("territory_id", "territory_name")
     return (
-        flows.join(names, "territory_id")
+        dimension_join(flows, names, "territory_id")
         .groupBy(*FLOW_GRAIN)
         .agg(F.sum("flow_amount").alias("net"), F.count(F.lit(1)).alias("tx"))
     )

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salescompass.functions import dates, scoring
+from salescompass.operators.skew import dimension_join
 
 # fixed values: closed stages, counted activity types and the columns they fill
 CLOSED_STAGES = ("Closed Won", "Closed Lost")
@@ -68,8 +69,8 @@ def advisor_engagement(
 ) -> DataFrame:
     """One scored row per active advisor.
 
-    Territories are few, so Spark's own size check picks a broadcast for them; the three
-    summaries share the advisor partitioning left by their aggregations.
+    The three summaries keep the advisor partitioning left by their aggregations, so the
+    joins add no shuffle but the advisors' own.
     """
     active = advisors.filter("active").select(
         "advisor_id", "advisor_name", "territory_id", F.col("tier").alias("advisor_tier")
@@ -80,8 +81,8 @@ def advisor_engagement(
         active.join(activity_counts(events, as_of), "advisor_id", "left")
         .join(opportunity_summary(opps), "advisor_id", "left")
         .join(aum_summary(flows, flows_as_of), "advisor_id", "left")
-        .join(names, "territory_id", "left")
     )
+    joined = dimension_join(joined, names, "territory_id", "left")
     counted = list(ACTIVITY_COLUMNS.values())
     return joined.select(
         "advisor_id",
@@ -120,7 +121,7 @@ def pipeline_signals(advisors: DataFrame, territories: DataFrame, opps: DataFram
             F.sum(F.coalesce(F.col("amount"), F.lit(0).cast("decimal(18,2)"))).alias("pipeline"),
         )
     )
-    named = advisors.join(territories.select("territory_id", "territory_name"), "territory_id")
+    named = dimension_join(advisors, territories.select("territory_id", "territory_name"), "territory_id")
     result = (
         named.join(deals, "advisor_id", "left")
         .withColumn("open_opps", F.coalesce("open_opps", F.lit(0)))

@@ -75,8 +75,8 @@ def repeat_rows(df: DataFrame, copies: int, name: str = "copy") -> DataFrame:
 def shuffle_rows(df: DataFrame, seed: int, partitions: int | None = None) -> DataFrame:
     """Random placement and order before a load, repeatable for the same rows.
 
-    Sorting globally by a random number would cost a range shuffle for the same effect.
+    Rows are dealt out in turn, so copies of one row spread too.  Sorting globally by a
+    random number would cost a range shuffle for the same effect.
     """
-    width = [partitions] if partitions else []
-    shuffled = F.xxhash64(F.lit(seed), *df.columns)
-    return df.withColumn("_r", shuffled).repartition(*width, "_r").sortWithinPartitions("_r").drop("_r")
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions).sortWithinPartitions(F.xxhash64(F.lit(seed), *df.columns))

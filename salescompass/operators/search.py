@@ -86,7 +86,7 @@ def search_topk(
     if queries.count() <= max_broadcast:
         matched = found.join(F.broadcast(weights), "term")
     else:
-        matched = skew_join(found, weights, "term", spread=F.xxhash64("doc_id"))
+        matched = skew_join(found, weights, "term", spread_by=F.xxhash64("doc_id"))
     norm = 1 - B + B * F.col("doc_len") / corpus.select("avg_len").scalar()
     part = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * norm)
     scored = matched.groupBy("query_id", "doc_id").agg(F.round(F.sum(part), SCORE_DIGITS).alias("score"))

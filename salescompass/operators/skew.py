@@ -3,33 +3,26 @@
 AQE splits skewed sort-merge partitions at run time, but not below an aggregate that
 relies on the join's partitioning.  ``skew_join`` therefore spreads heavy keys itself:
 the large side's heavy rows get a salt, the other side's matching rows are repeated once
-per salt.  Only heavy keys are touched, so the repeated rows are few, and rows of all
-other keys shuffle exactly as in a plain join.
+per salt.  The number of salts follows the key's row count, so every task gets about the
+same work; rows of all other keys shuffle exactly as in a plain join.
 """
 
 from __future__ import annotations
 
+import math
+from collections import defaultdict
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HEAVY_SHARE = 0.01  # at most 1 / HEAVY_SHARE keys can be heavy
-HEAVY_MIN_ROWS = 1_000_000  # a smaller input fits a task whatever its keys
-FAN_OUT = 64
+ROWS_PER_TASK = 2_000_000  # a key below this never needs spreading
+MAX_HEAVY_KEYS = 2_000  # a heavy key holds at least 1 / MAX_HEAVY_KEYS of the rows
 BROADCAST_ROWS = 1_000_000
-_TRACKED = 10_000
+_TRACKED = 20_000
 
 _SALT = "_salt"
 
 
-def broadcast_within(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a side whose counted ``rows`` are within ``limit``; above it, none.
-
-    For narrow sides behind a join of their own, whose size Spark overestimates.  Without
-    the hint the join is planned by size as usual.
-    """
-    return F.broadcast(df) if rows <= limit else df
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Spread a scan that has fewer splits than the cluster has cores.
 
@@ -40,52 +33,74 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def heavy_keys(
-    df: DataFrame, *keys: str, share: float = HEAVY_SHARE, min_rows: int = HEAVY_MIN_ROWS
-) -> dict[str, list]:
-    """Per key column, the values holding at least ``share`` of the rows.
+def broadcast_within(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint for a side whose counted ``rows`` are within ``limit``; above it, none."""
+    return F.broadcast(df) if rows <= limit else df
+
+
+def dimension_join(
+    left: DataFrame, dimension: DataFrame, key: str, how: str = "inner", limit: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Join a table that should be small: broadcast when its count proves it, else ``skew_join``."""
+    rows = dimension.limit(limit + 1).count()
+    if rows <= limit:
+        return left.join(F.broadcast(dimension), key, how)
+    return skew_join(left, dimension, key, how)
+
+
+def heavy_keys(df: DataFrame, *keys: str, rows_per_task: int = ROWS_PER_TASK) -> dict[str, dict]:
+    """Per key column, the values too frequent for one task, with their row counts.
 
     One pass over the key columns with mergeable frequent-items sketches: no shuffle by
-    key, and each answer is bounded by 1 / share values.  A key the sketch misjudges is
-    only spread differently; join results never depend on these lists.
+    key, and each answer is bounded by MAX_HEAVY_KEYS values.  A key the sketch misjudges
+    is only spread differently; join results never depend on these counts.
     """
-    limit = int(1 / share)
-    sketches = [F.expr(f"approx_top_k({key}, {limit}, {_TRACKED})") for key in keys]
+    sketches = [F.expr(f"approx_top_k({key}, {MAX_HEAVY_KEYS}, {_TRACKED})") for key in keys]
     total, *frequent = df.agg(F.count(F.lit(1)), *sketches).first()
-    if total < min_rows:
-        return {key: [] for key in keys}
+    floor = max(rows_per_task, total / MAX_HEAVY_KEYS)
     return {
-        key: [e["item"] for e in entries or [] if e["item"] is not None and e["count"] >= share * total]
+        key: {e["item"]: e["count"] for e in entries or [] if e["item"] is not None and e["count"] > floor}
         for key, entries in zip(keys, frequent)
     }
 
 
+def _fan_out(key: str, heavy: dict, rows_per_task: int) -> Column:
+    """Number of salts of a row's key: a power of two, 1 for keys that are not heavy.
+
+    Powers of two leave a dozen or so classes, each one hashed ``IN`` list.
+    """
+    classes = defaultdict(list)
+    for value, rows in heavy.items():
+        classes[2 ** math.ceil(math.log2(max(2, rows / rows_per_task)))].append(value)
+    fan = F
+    for salts, values in sorted(classes.items(), reverse=True):
+        fan = fan.when(F.col(key).isin(values), F.lit(salts))
+    return fan.otherwise(F.lit(1))
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
     how: str = "inner",
-    spread: Column | None = None,
-    heavy: list | None = None,
-    fan_out: int = FAN_OUT,
+    spread_by: Column | None = None,
+    heavy: dict | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """``left`` join ``right`` on ``key`` with left's heavy keys spread over ``fan_out`` tasks.
+    """``left`` join ``right`` on ``key`` with left's heavy keys spread over several tasks.
 
-    ``spread`` must be repeatable for a row (a stored column, or a row position taken at
-    a file scan) because a lost task may be computed again.  Default: hash of the row.
+    ``heavy`` maps values to row counts (default: measured on ``left``).  ``spread_by``
+    must be repeatable for a row (a stored column, or a row position taken at a file scan)
+    because a lost task may be computed again.  Default: hash of the row.
     """
     if how not in ("inner", "left"):
         raise ValueError("heavy rows are on the left: only inner and left joins are supported")
-    heavy = heavy_keys(left, key)[key] if heavy is None else heavy
+    heavy = heavy_keys(left, key, rows_per_task=rows_per_task)[key] if heavy is None else heavy
     if not heavy:
         return left.join(right, key, how)
-    if spread is None:
-        spread = F.xxhash64(*[c for c in left.columns if c != key])
-    # coalesce: a null key (kept by a left join) is never heavy
-    is_heavy = F.coalesce(F.col(key).isin(heavy), F.lit(False))
-    salted_left = left.withColumn(
-        _SALT, F.when(is_heavy, F.pmod(spread, F.lit(fan_out)).cast("int")).otherwise(F.lit(0))
-    )
-    salts = F.when(is_heavy, F.sequence(F.lit(0), F.lit(fan_out - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = right.withColumn(_SALT, F.explode(salts))
+    if spread_by is None:
+        spread_by = F.xxhash64(*[c for c in left.columns if c != key])
+    fan = _fan_out(key, heavy, rows_per_task)
+    salted_left = left.withColumn(_SALT, F.pmod(spread_by, fan).cast("int"))
+    salted_right = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), fan - 1)))
     return salted_left.join(salted_right, [key, _SALT], how).drop(_SALT)

@@ -70,6 +70,11 @@ def vector_topk(
     return top_per_query(candidates, k, [F.desc("score"), F.asc("vec_id")])
 
 
+def _dealt(blocks: int):
+    """Block of a row by its position in its split: even whatever the ids."""
+    return F.pmod(F.monotonically_increasing_id(), F.lit(blocks)).cast("int")
+
+
 def _blocked(queries, vectors, k, n_queries, rows_per_block, schema) -> DataFrame:
     query_blocks = max(1, math.ceil(n_queries / rows_per_block))
     vector_blocks = max(1, math.ceil(vectors.count() / rows_per_block))
@@ -77,14 +82,9 @@ def _blocked(queries, vectors, k, n_queries, rows_per_block, schema) -> DataFram
     def every(n: int):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    left = vectors.select(
-        "vec_id", "embedding", F.pmod(F.xxhash64("vec_id"), F.lit(vector_blocks)).cast("int").alias("vb"),
-        every(query_blocks).alias("qb"),
-    )
-    right = queries.select(
-        "query_id", "vector", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int").alias("qb"),
-        every(vector_blocks).alias("vb"),
-    )
+    # a row gets its own block first and is then repeated for every block of the other side
+    left = vectors.select("vec_id", "embedding", _dealt(vector_blocks).alias("vb")).withColumn("qb", every(query_blocks))
+    right = queries.select("query_id", "vector", _dealt(query_blocks).alias("qb")).withColumn("vb", every(vector_blocks))
 
     def score(vector_part: pd.DataFrame, query_part: pd.DataFrame) -> pd.DataFrame:
         if vector_part.empty or query_part.empty:

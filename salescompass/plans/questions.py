@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from salescompass.functions import dates
 from salescompass.operators.engagement import open_only
 from salescompass.operators.rows import top_k
-from salescompass.operators.skew import heavy_keys, skew_join
+from salescompass.operators.skew import dimension_join, heavy_keys, skew_join
 from salescompass.plans.verified import amount_of
 
 
@@ -29,9 +29,9 @@ def pipeline_this_quarter(opps: DataFrame, advisors: DataFrame, territories: Dat
     per_advisor = due.groupBy("advisor_id").agg(
         F.count(F.lit(1)).alias("deals"), F.sum(F.coalesce("amount", F.lit(0).cast("decimal(18,2)"))).alias("value")
     )
+    placed = per_advisor.join(advisors.select("advisor_id", "territory_id"), "advisor_id")
     return (
-        per_advisor.join(advisors.select("advisor_id", "territory_id"), "advisor_id")
-        .join(territories.select("territory_id", "territory_name"), "territory_id")
+        dimension_join(placed, territories.select("territory_id", "territory_name"), "territory_id")
         .groupBy("territory_name")
         .agg(F.sum("deals").alias("open_deals"), F.sum("value").alias("pipeline_value"))
         .orderBy(F.desc_nulls_last("pipeline_value"), "territory_name")
@@ -62,9 +62,7 @@ def win_rate(opps: DataFrame, advisors: DataFrame, funds: DataFrame, territories
     )
     placed = skew_join(placed, funds.select("fund_id", "fund_category"), "fund_id", heavy=heavy["fund_id"])
     return (
-        placed.groupBy("territory_id", "fund_category")
-        .agg(F.sum("won").alias("won"), F.sum("lost").alias("lost"))
-        .join(territories.select("territory_id", "territory_name"), "territory_id")
+        dimension_join(placed, territories.select("territory_id", "territory_name"), "territory_id")
         .groupBy("territory_name", "fund_category")
         .agg(F.sum("won").alias("won"), F.sum("lost").alias("lost"))
         .withColumn("win_rate", F.col("won") / F.nullif(F.col("won") + F.col("lost"), F.lit(0)))

@@ -68,7 +68,8 @@ def _(ws):
 
     def write(path):
         events = ws.table("located_events").withColumn("event_date", F.to_date("event_timestamp"))
-        sinks.write_clustered(events, path, ["territory_id", "event_date"], ["territory_id"])
+        keys = ["territory_id", "event_date"]
+        sinks.write_balanced(events, path, keys, keys, ["territory_id"])
 
     written = ws.stored("clustered_events", write)
     return written.groupBy("territory_id", "event_date").agg(F.count(F.lit(1)).alias("events"))

@@ -24,8 +24,16 @@ PRIORITY_STAGES = {"1": "Negotiation", "2": "Proposal/Quote", "3": "Qualificatio
 # -------------------------------------------------------------------------------------
 
 
+_SCHEMAS: dict[tuple[str, str], object] = {}
+
+
 def read(spark: SparkSession, source_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{source_dir.rstrip('/')}/{name}.parquet")
+    """One source file; its schema is looked up once per application."""
+    path = f"{source_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def _lookup(key: Column, values: dict, otherwise: Column | None = None) -> Column:
@@ -69,8 +77,12 @@ def fund_dim(spark: SparkSession, source_dir: str) -> DataFrame:
     )
 
 
-def advisor_dim(spark: SparkSession, source_dir: str) -> DataFrame:
-    nations = read(spark, source_dir, "nation").select("n_nationkey", "n_regionkey")
+def _nations(spark: SparkSession, source_dir: str, n_nations: int) -> DataFrame:
+    return broadcast_within(read(spark, source_dir, "nation").select("n_nationkey", "n_regionkey"), n_nations)
+
+
+def advisor_dim(spark: SparkSession, source_dir: str, n_nations: int) -> DataFrame:
+    nations = _nations(spark, source_dir, n_nations)
     return (
         read(spark, source_dir, "customer")
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -104,10 +116,12 @@ def advisor_events(spark: SparkSession, source_dir: str, n_customers: int) -> Da
 def located_events(events: DataFrame, advisors: DataFrame) -> DataFrame:
     """Events with their advisor's territory; one advisor may hold a third of the events."""
     where = advisors.select("advisor_id", "territory_id")
-    return skew_join(events, where, "advisor_id", spread=F.xxhash64("event_id"))
+    positioned = events.withColumn("_row", F.monotonically_increasing_id())
+    heavy = heavy_keys(events, "advisor_id")["advisor_id"]
+    return skew_join(positioned, where, "advisor_id", spread_by=F.col("_row"), heavy=heavy).drop("_row")
 
 
-def fund_flows(spark: SparkSession, source_dir: str, n_suppliers: int) -> DataFrame:
+def fund_flows(spark: SparkSession, source_dir: str, n_suppliers: int, n_nations: int) -> DataFrame:
     """Line items with the buyer as advisor and the supplier's territory.
 
     Both joins are balanced against heavy orders and suppliers.  The spread is the row's
@@ -120,7 +134,7 @@ def fund_flows(spark: SparkSession, source_dir: str, n_suppliers: int) -> DataFr
     )
     items = spread(items)
     orders = read(spark, source_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    nations = read(spark, source_dir, "nation").select("n_nationkey", "n_regionkey")
+    nations = _nations(spark, source_dir, n_nations)
     suppliers = (
         read(spark, source_dir, "supplier")
         .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
@@ -128,8 +142,8 @@ def fund_flows(spark: SparkSession, source_dir: str, n_suppliers: int) -> DataFr
     )
     suppliers = broadcast_within(suppliers, n_suppliers)
     heavy = heavy_keys(read(spark, source_dir, "lineitem"), "l_orderkey", "l_suppkey")
-    joined = skew_join(items, suppliers, "l_suppkey", spread=F.col("_row"), heavy=heavy["l_suppkey"])
-    joined = skew_join(joined, orders, "l_orderkey", spread=F.col("_row"), heavy=heavy["l_orderkey"])
+    joined = skew_join(items, suppliers, "l_suppkey", spread_by=F.col("_row"), heavy=heavy["l_suppkey"])
+    joined = skew_join(joined, orders, "l_orderkey", spread_by=F.col("_row"), heavy=heavy["l_orderkey"])
     amount = F.col("l_extendedprice").cast("decimal(18,2)")
     return joined.select(
         F.concat(_id("L", F.col("l_orderkey")), _id("-", F.col("l_linenumber"))).alias("flow_id"),

@@ -1,4 +1,4 @@
-"""Table writers: overwrite, append, snapshot and clustered layout."""
+"""Table writers: overwrite, append, snapshot and balanced layout."""
 
 from __future__ import annotations
 
@@ -17,16 +17,20 @@ def overwrite(df: DataFrame, path: str, sort_by: list[str] | None = None) -> Non
     out.write.mode("overwrite").parquet(path)
 
 
-def write_balanced(df: DataFrame, path: str, group_by: list, sort_by: list[str]) -> None:
+def write_balanced(
+    df: DataFrame, path: str, group_by: list, sort_by: list[str], partition_by: list[str] | None = None
+) -> None:
     """Replace a table, keeping rows of a group together in files of even size.
 
-    One hash shuffle on the group columns; AQE then cuts crowded groups into several
-    files and joins small ones, so no group is too large for a task.  Files
-    hold narrow key ranges, which row-group statistics use to skip reads.
+    One hash shuffle on the group columns; AQE then cuts crowded groups — even copies of a
+    single row — into several files and joins small ones, so no group is too large
+    for a task.  Files hold narrow key ranges, which row-group statistics use to skip reads.
+    ``partition_by`` adds directories and should hold few values.
     """
     groups = {f"_g{i}": F.col(g) if isinstance(g, str) else g for i, g in enumerate(group_by)}
     out = df.withColumns(groups).hint("rebalance", *groups).sortWithinPartitions(*sort_by).drop(*groups)
-    out.write.mode("overwrite").parquet(path)
+    writer = out.write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -42,20 +46,3 @@ def write_snapshot(df: DataFrame, path: str, date_col: str) -> None:
         .partitionBy(date_col)
         .parquet(path)
     )
-
-
-def write_clustered(df: DataFrame, path: str, cluster_by: list[str], partition_by: list[str] | None = None) -> None:
-    """Write rows clustered by ``cluster_by``.
-
-    Range partitioning on the cluster keys plus a hash of the row: a key with a third of
-    all rows is cut over many tasks and files instead of filling one.  ``partition_by``
-    adds directories and should hold few values.
-    """
-    out = (
-        df.withColumn("_spread", F.xxhash64(*df.columns))
-        .repartitionByRange(*cluster_by, "_spread")
-        .sortWithinPartitions(*cluster_by)
-        .drop("_spread")
-    )
-    writer = out.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)

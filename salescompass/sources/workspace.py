@@ -78,12 +78,13 @@ class Workspace:
     def stored(self, name: str, write: Callable[[str], None]) -> DataFrame:
         """Run ``write(path)`` on first use, then read the finished table."""
 
-        def build() -> str:
+        def build() -> tuple:
             path = self.path(name)
             write(path)
-            return path
+            return path, self.spark.read.parquet(path).schema
 
-        return self.spark.read.parquet(self.once(f"table:{name}", build))
+        path, schema = self.once(f"table:{name}", build)
+        return self.spark.read.schema(schema).parquet(path)
 
 
 _TIME_COLUMNS = {
@@ -98,7 +99,7 @@ _TIME_COLUMNS = {
 
 def _flows(ws: Workspace) -> DataFrame:
     def write(path: str) -> None:
-        flows = landing.fund_flows(ws.spark, ws.source_dir, ws.rows("supplier"))
+        flows = landing.fund_flows(ws.spark, ws.source_dir, ws.rows("supplier"), ws.rows("nation"))
         sinks.write_balanced(flows, path, ["territory_id", F.trunc("flow_date", "month")], ["territory_id", "flow_date"])
 
     return ws.stored("fund_flows", write)
@@ -111,7 +112,7 @@ def _located(ws: Workspace) -> DataFrame:
 _TABLES: dict[str, Builder] = {
     "territory_dim": lambda ws: landing.territory_dim(ws.spark, ws.source_dir),
     "fund_dim": lambda ws: landing.fund_dim(ws.spark, ws.source_dir),
-    "advisor_dim": lambda ws: landing.advisor_dim(ws.spark, ws.source_dir),
+    "advisor_dim": lambda ws: landing.advisor_dim(ws.spark, ws.source_dir, ws.rows("nation")),
     "advisor_events": lambda ws: landing.advisor_events(ws.spark, ws.source_dir, ws.rows("customer")),
     "located_events": _located,
     "fund_flows": _flows,

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from salescompass.operators import rows, search, vectors
 from salescompass.operators.attribution import flow_state, merge_flow_batch
-from salescompass.operators.skew import broadcast_within, heavy_keys, skew_join
+from salescompass.operators.skew import broadcast_within, dimension_join, heavy_keys, skew_join
 
 
 def collected(df):
@@ -22,20 +22,35 @@ def hot(spark):
 def test_skew_join_equals_join(spark, hot, how):
     right = spark.range(400).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     right = right.union(spark.createDataFrame([(7, -1)], "k long, v long"))  # not unique
-    heavy = heavy_keys(hot, "k", share=0.1, min_rows=0)["k"]
-    assert heavy == [7]
-    salted = skew_join(hot, right, "k", how, heavy=heavy, fan_out=8)
+    heavy = heavy_keys(hot, "k", rows_per_task=100)["k"]
+    assert heavy == {7: 1000 + hot.filter("id % 3 > 0 and k = 7").count()}
+    salted = skew_join(hot, right, "k", how, heavy=heavy, rows_per_task=100)
+    assert "_salt" in salted._jdf.queryExecution().toString()
     assert collected(salted) == collected(hot.join(right, "k", how))
 
 
 def test_skew_join_spreads_copies(spark):
     copies = spark.range(1000).select(F.lit("x").alias("k"), F.lit(1).alias("v"), F.monotonically_increasing_id().alias("_row"))
-    joined = skew_join(copies, spark.createDataFrame([("x", 2)], "k string, w int"), "k", spread=F.col("_row"), heavy=["x"])
-    assert joined.count() == 1000
+    one = spark.createDataFrame([("x", 2)], "k string, w int")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    joined = skew_join(copies, one, "k", spread_by=F.col("_row"), rows_per_task=50)
+    per_task = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(per_task) == 1000 and len(per_task) > 1 and max(per_task) < 700
+
+
+def test_dimension_join_beyond_the_limit(spark, hot):
+    right = spark.range(400).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    for how in ("inner", "left"):
+        plain = collected(hot.join(right, "k", how))
+        assert collected(dimension_join(hot, right, "k", how)) == plain
+        assert collected(dimension_join(hot, right, "k", how, limit=399)) == plain
 
 
 def test_small_inputs_have_no_heavy_keys(hot):
-    assert heavy_keys(hot, "k") == {"k": []}
+    assert heavy_keys(hot, "k") == {"k": {}}
 
 
 def test_skew_join_rejects_right(spark, hot):

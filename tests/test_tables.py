@@ -65,9 +65,12 @@ def test_snapshot_run_twice(spark, tmp_path):
 
 def test_writers(spark, tmp_path):
     hot = spark.range(1000).select(F.lit("T1").alias("t"), F.col("id"), (F.col("id") % 5).alias("d"))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the rows are few
-    sinks.write_clustered(hot, str(tmp_path / "c"), ["t", "d"], ["t"])
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2000b")  # the rows are few
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    sinks.write_balanced(hot.repartition(8), str(tmp_path / "c"), ["t"], ["d"], ["t"])
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.parallelismFirst")
+    # one group, several files
     assert len({r[0] for r in spark.read.parquet(str(tmp_path / "c")).select(F.input_file_name()).collect()}) > 1
     sinks.write_balanced(hot, str(tmp_path / "b"), ["t", F.col("d") % 2], ["d"])
     for name in "cb":

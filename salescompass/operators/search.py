@@ -1,7 +1,7 @@
 """Ranked text retrieval: an inverted index and BM25 top-k for a batch of queries.
 
-The index is built once per corpus (one pass, map-side counting) and stored clustered by
-term, so a query batch reads only the row groups of its own terms.
+The index is built once per corpus, in one pass without a shuffle, and stored sorted by
+term within its files, so a query batch reads only the row groups of its own terms.
 """
 
 from __future__ import annotations
@@ -31,11 +31,40 @@ class Index:
 
 
 def postings(docs: DataFrame, doc_id: str = "doc_id", body: str = "text") -> DataFrame:
-    """Term counts of every document over its whole text."""
+    """Term counts of every document over its whole text, without a shuffle.
+
+    A document's words are one array in one row: sorted, each run of equal words is a term
+    and its length the count.  Grouping exploded words would send every word of the
+    corpus through a shuffle instead.
+    """
     bodies = spread(docs.select(F.col(doc_id).alias("doc_id"), F.col(body).alias("body")))
-    words = bodies.select("doc_id", text.tokens(F.col("body")).alias("words"))
-    exploded = words.select("doc_id", F.size("words").alias("doc_len"), F.explode("words").alias("term"))
-    return exploded.groupBy("term", "doc_id", "doc_len").agg(F.count(F.lit(1)).alias("tf"))
+    word, start = F.col("words"), F.col("starts")
+    return (
+        bodies.select("doc_id", F.sort_array(text.tokens(F.col("body"))).alias("words"))
+        .withColumn("doc_len", F.size("words"))
+        .withColumn(
+            "starts",
+            F.filter(
+                # an empty document has no positions; sequence would count down from 0 to -1
+                F.when(F.col("doc_len") > 0, F.sequence(F.lit(0), F.col("doc_len") - 1)),
+                lambda i: ~F.get(word, i).eqNullSafe(F.get(word, i - 1)),
+            ),
+        )
+        .select(
+            "doc_id",
+            "doc_len",
+            F.explode(
+                F.transform(
+                    start,
+                    lambda i, n: F.struct(
+                        F.get(word, i).alias("term"),
+                        (F.coalesce(F.get(start, n + 1), F.col("doc_len")) - i).alias("tf"),
+                    ),
+                )
+            ).alias("t"),
+        )
+        .select("t.term", "doc_id", "doc_len", F.col("t.tf").alias("tf"))
+    )
 
 
 def term_stats(stored_postings: DataFrame) -> DataFrame:

@@ -461,6 +461,7 @@ _SQL["stream_stats"] = """
 _SQL["stream_dedup"] = f"""
     select event_id, advisor_id, territory_id, event_type, event_timestamp, {d("aum_amount")} as aum_amount
     from located_events"""
+_SQL["stream_quality"] = "select * from dq_rows where table_name = 'advisor_events' and metric_name <> 'ORPHAN_COUNT'"
 _SQL["incremental_flow_merge"] = f"""
     select fund_id, advisor_id, territory_id, flow_date, flow_type, {d("sum(flow_amount)")} as flow_amount,
            count(*) as transaction_count

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from salescompass.functions import text
-from salescompass.operators.skew import skew_join, spread
+from salescompass.operators.skew import skew_join
 
 K1 = 1.2
 B = 0.75
@@ -37,10 +37,9 @@ def postings(docs: DataFrame, doc_id: str = "doc_id", body: str = "text") -> Dat
     and its length the count.  Grouping exploded words would send every word of the
     corpus through a shuffle instead.
     """
-    bodies = spread(docs.select(F.col(doc_id).alias("doc_id"), F.col(body).alias("body")))
     word, start = F.col("words"), F.col("starts")
     return (
-        bodies.select("doc_id", F.sort_array(text.tokens(F.col("body"))).alias("words"))
+        docs.select(F.col(doc_id).alias("doc_id"), F.sort_array(text.tokens(F.col(body))).alias("words"))
         .withColumn("doc_len", F.size("words"))
         .withColumn(
             "starts",

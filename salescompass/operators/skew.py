@@ -24,7 +24,7 @@ _SALT = "_salt"
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than the cluster has cores.
+    """Spread a plain file scan that has fewer splits than the cluster has cores.
 
     For work that is heavy per row over a few small files.  A large scan has
     splits enough and is returned as it is, without a shuffle.
@@ -42,8 +42,7 @@ def dimension_join(
     left: DataFrame, dimension: DataFrame, key: str, how: str = "inner", limit: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Join a table that should be small: broadcast when its count proves it, else ``skew_join``."""
-    rows = dimension.limit(limit + 1).count()
-    if rows <= limit:
+    if dimension.count() <= limit:
         return left.join(F.broadcast(dimension), key, how)
     return skew_join(left, dimension, key, how)
 

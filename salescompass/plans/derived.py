@@ -57,7 +57,9 @@ def heat_map(ws: Workspace, engagement: DataFrame) -> DataFrame:
 
 
 def _engagement_score(ws: Workspace) -> DataFrame:
-    return ws.stored("advisor_engagement_score", lambda path: sinks.overwrite(engagement_at(ws), path))
+    return ws.stored(
+        "advisor_engagement_score", lambda path: sinks.overwrite(sinks.stamped(engagement_at(ws), "computed_at"), path)
+    )
 
 
 def _engagement_history(ws: Workspace) -> DataFrame:
@@ -66,7 +68,11 @@ def _engagement_history(ws: Workspace) -> DataFrame:
     def write(path: str) -> None:
         for days_back in sorted(SNAPSHOT_DAYS_BACK, reverse=True):
             current = days_back == 0
-            snapshot = ws.table("advisor_engagement_score") if current else engagement_at(ws, days_back)
+            snapshot = (
+                ws.table("advisor_engagement_score")
+                if current
+                else sinks.stamped(engagement_at(ws, days_back), "computed_at")
+            )
             sinks.write_snapshot(snapshot, path, "score_date")
 
     return ws.stored("advisor_engagement_history", write)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from salescompass.functions import dates, money, scoring, text
 from salescompass.operators import alerts, attribution, engagement, quality, rows, search, vectors
 from salescompass.operators.classify import classify
+from salescompass.operators.skew import spread
 from salescompass.plans import context, derived, questions, reports, semantic
 from salescompass.plans.verified import LOGICAL_TABLES, VERIFIED, VIEWS, current_advisors, current_territories
 from salescompass.sources import sinks
@@ -29,16 +30,28 @@ def query(name: str):
     return register
 
 
-def _logical(ws: Workspace) -> dict[str, DataFrame]:
-    return {logical: ws.table(table) for logical, table in LOGICAL_TABLES.items()}
+class _Logical(Mapping):
+    """Logical tables by name; a table is built when it is asked for."""
+
+    def __init__(self, ws: Workspace):
+        self.ws = ws
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.ws.table(LOGICAL_TABLES[name])
+
+    def __iter__(self):
+        return iter(LOGICAL_TABLES)
+
+    def __len__(self) -> int:
+        return len(LOGICAL_TABLES)
 
 
 def _advisors(ws: Workspace) -> DataFrame:
-    return current_advisors({"advisor_eng": ws.table("advisor_engagement_history")})
+    return current_advisors(_Logical(ws))
 
 
 def _territories(ws: Workspace) -> DataFrame:
-    return current_territories({"territory": ws.table("territory_heat_map")})
+    return current_territories(_Logical(ws))
 
 
 def _attributed(ws: Workspace) -> DataFrame:
@@ -132,7 +145,7 @@ def _(ws):
 
 @query("dt_advisor_engagement_score")
 def _(ws):
-    return ws.table("advisor_engagement_score")
+    return ws.table("advisor_engagement_score").drop("computed_at")
 
 
 @query("dt_fund_flow_attribution")
@@ -276,15 +289,15 @@ METRIC_DIMENSION = {"advisor_eng": "territory_name", "fund_flows": "fund_categor
 
 
 def _metric(table: str, name: str) -> Query:
-    return lambda ws: semantic.metric_query(table, _logical(ws)[table], [name], [METRIC_DIMENSION[table]])
+    return lambda ws: semantic.metric_query(table, _Logical(ws)[table], [name], [METRIC_DIMENSION[table]])
 
 
 for _table, _definition in semantic.SEMANTIC.items():
     for _m in _definition.metrics:
         QUERIES[f"metric_{_m.name}"] = _metric(_table, _m.name)
-    QUERIES[f"semantic_facts_{_table}"] = lambda ws, t=_table: semantic.semantic_rows(t, _logical(ws)[t])
+    QUERIES[f"semantic_facts_{_table}"] = lambda ws, t=_table: semantic.semantic_rows(t, _Logical(ws)[t])
     QUERIES[f"default_measures_{_table}"] = lambda ws, t=_table: semantic.default_measures(
-        t, _logical(ws)[t], [METRIC_DIMENSION[t]]
+        t, _Logical(ws)[t], [METRIC_DIMENSION[t]]
     )
 
 
@@ -340,7 +353,7 @@ _QUARTERLY = {"fund_flows_by_category", "top_funds_by_inflows"}
 
 def _verified(name: str) -> Query:
     now = _flows_now if name in _QUARTERLY else _events_now
-    return lambda ws: VERIFIED[name](_logical(ws), as_of=now(ws))
+    return lambda ws: VERIFIED[name](_Logical(ws), as_of=now(ws))
 
 
 for _name in VERIFIED:
@@ -706,6 +719,25 @@ def _(ws):
     return refresh.latest_version(ws.spark, ws.once("refresh", run))
 
 
+@query("stream_quality")
+def _(ws):
+    """Checks of the landed events, measured whenever new rows have landed."""
+
+    def run() -> str:
+        target, sink = ws.path("quality/results"), _ingested(ws)["events"]
+        changes = ws.spark.readStream.schema(ws.spark.read.parquet(sink).schema).parquet(sink)
+        schema, checks = quality.MONITORED["advisor_events"]
+
+        def measure() -> DataFrame:
+            landed = ingest.landed_events(ws.spark, sink)
+            return quality.dq_report(landed, "advisor_events", schema, checks, _events_now(ws))
+
+        refresh.refresh_stream(changes, measure, target, ws.path("quality/checkpoint")).awaitTermination()
+        return target
+
+    return ws.spark.read.parquet(ws.once("quality", run)).drop("version")
+
+
 @query("incremental_flow_merge")
 def _(ws):
     """State of the older flows merged with the last 90 days as one new batch."""
@@ -728,7 +760,7 @@ def _fund_documents(ws: Workspace) -> DataFrame:
 def _index(ws: Workspace, name: str, docs: DataFrame) -> search.Index:
     """Search index of (doc_id, text), stored clustered by term."""
     stored = ws.stored(
-        f"{name}_postings", lambda path: sinks.overwrite(search.postings(docs), path, ["term", "doc_id"])
+        f"{name}_postings", lambda path: sinks.overwrite(search.postings(spread(docs)), path, ["term", "doc_id"])
     )
     terms = ws.stored(f"{name}_terms", lambda path: sinks.overwrite(search.term_stats(stored), path))
     corpus = ws.stored(f"{name}_corpus", lambda path: sinks.overwrite(search.corpus_stats(docs, stored), path))

@@ -6,7 +6,7 @@ time matters, an explicit ``as_of``.  Top-k queries end in an id so ties are rep
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from salescompass.functions import dates, money, scoring
 from salescompass.operators.rows import latest_snapshot, top_k
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 # logical table -> workspace table; views of the same names serve SQL text
 LOGICAL_TABLES = {

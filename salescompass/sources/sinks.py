@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def stamped(df: DataFrame) -> DataFrame:
+def stamped(df: DataFrame, column: str = "row_timestamp") -> DataFrame:
     """Adds the load time.  The only place that reads the clock: the write boundary."""
-    return df.withColumn("row_timestamp", F.current_timestamp().cast("timestamp_ntz"))
+    return df.withColumn(column, F.current_timestamp().cast("timestamp_ntz"))
 
 
 def overwrite(df: DataFrame, path: str, sort_by: list[str] | None = None) -> None:

@@ -426,7 +426,7 @@ _SQL["dq_freshness"] = """
     select 'STAGING' as table_schema, 'advisor_events' as table_name, 'FRESHNESS' as metric_name, c as column_name,
            date_diff('second', max(row_timestamp), max(now)) as value, max(now) as measurement_time
     from advisor_events, ev_now, (values ('row_timestamp'), ('event_timestamp')) v(c) group by c"""
-_SQL["dq_report"] = "select * from dq_rows"
+_SQL["dq_report"] = _SQL["dq_status_4h"] = "select * from dq_rows"
 _SQL["dq_status"] = """
     select *, case when metric_name in ('NULL_COUNT', 'DUPLICATE_COUNT') and value > 0 then 'WARNING' else 'OK' end as status
     from dq_rows"""

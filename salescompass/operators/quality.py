@@ -78,11 +78,16 @@ def orphan_count(df: DataFrame, known: DataFrame, key: str, table: str, schema:
     )
 
 
-def recent_results(results: DataFrame, as_of, hours: int = 24) -> DataFrame:
-    return results.filter(
+def recent_results(results: DataFrame, as_of, hours: int = 24, k: int | None = None) -> DataFrame:
+    """Results of the last ``hours``, newest first; ``k`` keeps that many."""
+    recent = results.filter(
         F.col("table_schema").isin("STAGING", "DISTRIBUTION")
         & (F.col("measurement_time") >= dates.before(as_of, hours=hours))
     )
+    newest = recent.orderBy(
+        F.desc("measurement_time"), "table_schema", "table_name", "metric_name", F.asc_nulls_first("column_name")
+    )
+    return newest if k is None else newest.limit(k)
 
 
 def with_status(results: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from salescompass.operators.search import SCORE_DIGITS, top_per_query
 
 MAX_BROADCAST_VALUES = 16_000_000  # 128 MB of doubles
 ROWS_PER_BLOCK = 50_000
+CELLS = 8_000_000  # scores held at once in a task
 
 
 def _unit_rows(column: pd.Series) -> np.ndarray:
@@ -27,9 +28,19 @@ def _unit_rows(column: pd.Series) -> np.ndarray:
 
 
 def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> pd.DataFrame:
-    """The k best vectors per query; ties go to the smaller id."""
+    """The k best vectors per query, ties to the smaller id; memory is bounded by CELLS scores."""
+    step = max(1, CELLS // len(ids))
+    parts = [
+        _best_of_chunk(query_ids[at : at + step], queries[at : at + step], ids, vectors, k)
+        for at in range(0, len(query_ids), step)
+    ]
+    return pd.concat(parts, ignore_index=True)
+
+
+def _best_of_chunk(query_ids, queries, ids, vectors, k) -> pd.DataFrame:
     scores = np.round(vectors @ queries.T, SCORE_DIGITS)
     if len(ids) > k:
+        # rows that reach the k-th score; ties beyond k are cut after sorting by id
         kth = np.partition(scores, len(ids) - k, axis=0)[len(ids) - k]
         row, query = np.nonzero(scores >= kth)
     else:

@@ -611,7 +611,12 @@ def _(ws):
 
 @query("dq_status")
 def _(ws):
-    return quality.with_status(quality.recent_results(_dq_results(ws), _events_now(ws)))
+    return quality.with_status(quality.recent_results(_dq_results(ws), _events_now(ws), k=50))
+
+
+@query("dq_status_4h")
+def _(ws):
+    return quality.recent_results(_dq_results(ws), _events_now(ws), hours=4, k=20)
 
 
 @query("dq_status_pattern")

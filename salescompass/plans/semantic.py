@@ -157,6 +157,16 @@ def default_measures(table: str, df: DataFrame, dims: Sequence[str] = ()) -> Dat
     return df.groupBy(*dims).agg(*[_AGGREGATES[f.default_aggregation](F.col(f.name)).alias(f.name) for f in facts])
 
 
+def describe(spark: SparkSession) -> DataFrame:
+    """The registry as rows: (logical_table, kind, name, aggregation, fact)."""
+    rows = []
+    for table, logical in SEMANTIC.items():
+        rows += [(table, "fact", f.name, f.default_aggregation, f.name) for f in logical.facts]
+        rows += [(table, "dimension", d.name, None, None) for d in logical.dimensions]
+        rows += [(table, "metric", m.name, m.aggregation, m.fact) for m in logical.metrics]
+    return spark.createDataFrame(rows, "logical_table string, kind string, name string, aggregation string, fact string")
+
+
 def synonym_rows() -> list[tuple[str, str, str, str]]:
     """(term, logical table, kind, canonical name); a name also stands for itself."""
     rows = []

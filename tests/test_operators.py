@@ -141,8 +141,17 @@ def test_search_filter(spark, index):
 
 
 # -- vectors ------------------------------------------------------------------------------------
+def test_vector_chunks():
+    rng = np.random.default_rng(5)
+    ids, data, asked = np.arange(30), rng.normal(size=(30, 4)), rng.normal(size=(9, 4))
+    whole = vectors._best(np.arange(9), asked, ids, data, 3)
+    parts = [vectors._best_of_chunk(np.array([q]), asked[q : q + 1], ids, data, 3) for q in range(9)]
+    assert whole.to_numpy().tolist() == [row for part in parts for row in part.to_numpy().tolist()]
+
+
 @pytest.mark.parametrize("limits", [{}, {"max_broadcast": 0, "rows_per_block": 7}])
-def test_vectors_against_brute_force(spark, limits):
+def test_vectors_against_brute_force(spark, limits, monkeypatch):
+    monkeypatch.setattr(vectors, "CELLS", 100)
     rng = np.random.default_rng(3)
     data = rng.normal(size=(60, 8))
     data[10:20] = data[0]  # exact copies tie

@@ -32,8 +32,12 @@ def test_status_and_window(spark, now):
     )
     recent = quality.recent_results(results, now)
     assert recent.count() == 3
-    assert [r["status"] for r in quality.with_status(recent).collect()] == ["WARNING", "OK", "OK"]
-    assert [r["health_status"] for r in quality.with_pattern_status(recent).collect()] == ["WARNING", "OK", "WARNING"]
+    found = {(r["metric_name"], r["value"]): (r["status"], r["health_status"]) for r in
+             quality.with_pattern_status(quality.with_status(recent)).collect()}
+    assert found == {
+        ("NULL_COUNT", 1): ("WARNING", "WARNING"), ("NULL_COUNT", 0): ("OK", "OK"), ("MY_NULL_RATIO", 1): ("OK", "WARNING"),
+    }
+    assert quality.recent_results(results, now, k=2).count() == 2
 
 
 def test_orphans(spark, now):

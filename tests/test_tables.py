@@ -79,6 +79,11 @@ def test_writers(spark, tmp_path):
 
 
 # -- metric layer -------------------------------------------------------------------------------
+def test_registry_rows(spark):
+    counts = semantic.describe(spark).groupBy("kind").count().collect()
+    assert {r["kind"]: r["count"] for r in counts} == {"fact": 14, "dimension": 18, "metric": 14}
+
+
 def test_registry_size():
     tables = semantic.SEMANTIC.values()
     assert [sum(len(getattr(t, part)) for t in tables) for part in ("facts", "dimensions", "metrics")] == [14, 18, 14]

@@ -47,7 +47,7 @@ def dimension_join(
     return skew_join(left, dimension, key, how)
 
 
-def heavy_keys(df: DataFrame, *keys: str, rows_per_task: int = ROWS_PER_TASK) -> dict[str, dict]:
+def heavy_keys(df: DataFrame, *keys: str, rows_per_task: int | None = None) -> dict[str, dict]:
     """Per key column, the values too frequent for one task, with their row counts.
 
     One pass over the key columns with mergeable frequent-items sketches: no shuffle by
@@ -56,7 +56,7 @@ def heavy_keys(df: DataFrame, *keys: str, rows_per_task: int = ROWS_PER_TASK) ->
     """
     sketches = [F.expr(f"approx_top_k({key}, {MAX_HEAVY_KEYS}, {_TRACKED})") for key in keys]
     total, *frequent = df.agg(F.count(F.lit(1)), *sketches).first()
-    floor = max(rows_per_task, total / MAX_HEAVY_KEYS)
+    floor = max(rows_per_task or ROWS_PER_TASK, total / MAX_HEAVY_KEYS)
     return {
         key: {e["item"]: e["count"] for e in entries or [] if e["item"] is not None and e["count"] > floor}
         for key, entries in zip(keys, frequent)
@@ -84,7 +84,7 @@ def skew_join(
     how: str = "inner",
     spread_by: Column | None = None,
     heavy: dict | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """``left`` join ``right`` on ``key`` with left's heavy keys spread over several tasks.
 
@@ -99,7 +99,7 @@ def skew_join(
         return left.join(right, key, how)
     if spread_by is None:
         spread_by = F.xxhash64(*[c for c in left.columns if c != key])
-    fan = _fan_out(key, heavy, rows_per_task)
+    fan = _fan_out(key, heavy, rows_per_task or ROWS_PER_TASK)
     salted_left = left.withColumn(_SALT, F.pmod(spread_by, fan).cast("int"))
     salted_right = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), fan - 1)))
     return salted_left.join(salted_right, [key, _SALT], how).drop(_SALT)

@@ -76,10 +76,14 @@ class Workspace:
         return f"{self._folder}/{name}"
 
     def stored(self, name: str, write: Callable[[str], None]) -> DataFrame:
-        """Run ``write(path)`` on first use, then read the finished table."""
+        """Run ``write(path)`` on first use, then read the finished table.
+
+        Each attempt gets a folder of its own, so rows of a failed one are never read.
+        """
 
         def build() -> tuple:
-            path = self.path(name)
+            attempt = self._state[("attempt", name)] = self._state.get(("attempt", name), 0) + 1
+            path = f"{self.path(name)}/attempt={attempt}"
             write(path)
             return path, self.spark.read.parquet(path).schema
 

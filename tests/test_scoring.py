@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -29,6 +30,20 @@ def test_engagement_score(spark):
     assert score(spark, calls=40) == 100
 
 
+def test_engagement_score_against_plain_python(spark):
+    rng = random.Random(11)
+    rows = [tuple(rng.choice([None, *range(60)]) for _ in range(4)) for _ in range(300)]
+
+    def plain(calls, meetings, emails, days):
+        days = 999 if days is None else days
+        points = 10 if days == 0 else 8 if days <= 7 else 5 if days <= 14 else 2 if days <= 30 else 0
+        return float(min(100, (calls or 0) * 3 + (meetings or 0) * 8 + (emails or 0) / 2 + points))
+
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, c int, m int, e int, d int")
+    scored = df.select("i", scoring.engagement_score(*map(F.col, "cmed")).alias("s")).orderBy("i").collect()
+    assert [r["s"] for r in scored] == [plain(*r) for r in rows]
+
+
 @pytest.mark.parametrize(
     "score_, days, aum, expected",
     [

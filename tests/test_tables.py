@@ -37,6 +37,17 @@ def test_derived_tables_are_written_once(ws):
     assert Workspace(ws.spark, ws.source_dir).table("fund_flows").inputFiles() == ws.table("fund_flows").inputFiles()
 
 
+def test_failed_build_leaves_nothing(spark, ws):
+    def write(path, fail):
+        sinks.append(spark.range(3), path)
+        if fail:
+            raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        ws.stored("tried_table", lambda path: write(path, True))
+    assert ws.stored("tried_table", lambda path: write(path, False)).count() == 3
+
+
 def test_landing_columns_are_declared(ws):
     for name in ("territory_dim", "fund_dim", "advisor_dim", "fund_flows", "opportunity"):
         declared = {f.name: f.dataType for f in schemas.LANDING[name].fields}

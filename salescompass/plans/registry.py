@@ -191,14 +191,14 @@ def _(ws):
 
 @query("pandas_udf_classify")
 def _(ws):
+    high_score, low_score = scoring.ATTRITION_HIGH_SCORE, scoring.ATTRITION_LOW_SCORE
+    idle_days, recent_days = scoring.ATTRITION_IDLE_DAYS, scoring.ATTRITION_RECENT_DAYS
+    large_aum = scoring.ATTRITION_LARGE_AUM
+
     def rule(batch):
-        high = (batch["engagement_score"] < scoring.ATTRITION_HIGH_SCORE) | (
-            (batch["days_since_last_activity"] > scoring.ATTRITION_IDLE_DAYS)
-            & (batch["aum"] > scoring.ATTRITION_LARGE_AUM)
-        )
-        low = (batch["engagement_score"] > scoring.ATTRITION_LOW_SCORE) & (
-            batch["days_since_last_activity"] <= scoring.ATTRITION_RECENT_DAYS
-        )
+        score, days = batch["engagement_score"], batch["days_since_last_activity"]
+        high = (score < high_score) | ((days > idle_days) & (batch["aum"] > large_aum))
+        low = (score > low_score) & (days <= recent_days)
         return high.map({True: " high", False: None}).fillna(low.map({True: "low ", False: "medium"}))
 
     inputs = _advisors(ws).withColumn("aum", F.col("aum_amount").cast("double"))

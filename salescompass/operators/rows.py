@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import math
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from salescompass.session import run_dir
+
 
 def latest_snapshot(df: DataFrame, date_col: str) -> DataFrame:
     """Rows of the newest ``date_col``: an uncorrelated scalar subquery.
@@ -23,50 +25,31 @@ def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def number_rows(df: DataFrame, key: str, name: str = "n", rows_per_slice: int = 2_000_000) -> DataFrame:
-    """Dense numbers 0, 1, 2, … in the order of a unique numeric ``key``.
+def number_rows(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
+    """Dense numbers 0, 1, 2, … in the order of ``keys``; nulls come first.
 
-    A window without partitions would put the whole table into one task.  Instead the key
-    range is cut into slices; rows are numbered inside each slice and shifted by the number
-    of rows in the slices before it (one small row per slice).
+    A window without partitions would put the whole table into one task.  Instead the rows
+    are range-partitioned by the keys and sorted inside each part; a row's number is its
+    position in the part plus the rows of all parts before (one small row per part).  The
+    sorted table is stored once, so a part keeps its content when a task is run again.
     """
-    slot = _slices(df, F.col(key).cast("double"), rows_per_slice)
-    sliced = df.withColumn("_slot", slot)
-    sizes = sliced.groupBy("_slot").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_slot", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    inside = F.row_number().over(Window.partitionBy("_slot").orderBy(key)) - 1
-    # one row per slice: rows / rows_per_slice of them, so the broadcast is bounded
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    path = run_dir(df.sparkSession, "numbered", uuid.uuid4().hex[:12])
+    placed = ordered.withColumns({"_part": F.spark_partition_id(), "_inside": position})
+    placed.write.parquet(path)
+    placed = df.sparkSession.read.schema(placed.schema).parquet(path)
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    # one row per part: their number is the shuffle's partition count, whatever the data
     return (
-        sliced.withColumn("_inside", inside)
-        .join(F.broadcast(starts), "_slot")
+        placed.join(F.broadcast(starts), "_part")
         .withColumn(name, (F.col("_start") + F.col("_inside")).cast("long"))
-        .drop("_slot", "_inside", "_start")
+        .drop("_part", "_inside", "_start")
     )
 
 
-def _slices(df: DataFrame, key: Column, rows_per_slice: int, max_cuts: int = 200) -> Column:
-    """Slice number of a row, never falling as the key grows.
-
-    Quantiles cut the range into at most ``max_cuts`` parts; each part is divided evenly.
-    How well the slices balance depends on the keys, the numbering does not.
-    """
-    n, low, high = df.agg(F.count(F.lit(1)), F.min(key), F.max(key)).first()
-    wanted = max(1, math.ceil(n / rows_per_slice))
-    parts = min(max_cuts, wanted)
-    per_part = math.ceil(wanted / parts)
-    probabilities = [i / parts for i in range(1, parts)]
-    cuts = sorted(set(df.select(key.alias("k")).approxQuantile("k", probabilities, 0.1 / parts))) if parts > 1 else []
-    if n == 0 or low == high:
-        return F.lit(0)
-    edges = F.array(*[F.lit(e) for e in [low, *cuts, high]])
-    part = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < key)) if cuts else F.lit(0)
-    start, end = F.get(edges, part), F.get(edges, part + 1)
-    share = F.coalesce((key - start) / F.nullif(end - start, F.lit(0.0)), F.lit(0.0))
-    step = F.least(F.lit(per_part - 1), F.floor(share * per_part).cast("int"))
-    return part * per_part + step
-
-
 def repeat_rows(df: DataFrame, copies: int, name: str = "copy") -> DataFrame:
     """``copies`` rows per input row, numbered from 0, generated in place without a join."""
     return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))

@@ -64,13 +64,22 @@ def test_broadcast_needs_small_count(spark):
     assert "broadcast" not in broadcast_within(df, 11, 10)._jdf.queryExecution().toString().lower()
 
 
-@pytest.mark.parametrize("rows_per_slice", [10_000, 100, 2])
-def test_number_rows(spark, rows_per_slice):
-    df = spark.range(1000).select((F.col("id") * F.col("id") % 100_003).alias("key")).distinct()
-    got = rows.number_rows(df, "key", rows_per_slice=rows_per_slice).orderBy("key").collect()
+@pytest.mark.parametrize("step", [1, 997])
+def test_number_rows(spark, step):
+    df = spark.range(1000).select((F.col("id") * step % 1009).alias("key"))
+    got = rows.number_rows(df, "key").orderBy("key").collect()
     assert [r["n"] for r in got] == list(range(len(got)))
 
 
+def test_number_rows_with_clustered_null_and_repeated_keys(spark):
+    clustered = spark.range(400).select((F.lit(10**12) + F.col("id")).alias("key"))
+    df = clustered.union(spark.range(200).select(F.lit(7).cast("long"))).union(spark.range(3).select(F.lit(None).cast("long")))
+    got = rows.number_rows(df, "key").orderBy("n").collect()
+    assert [r["n"] for r in got] == list(range(603))
+    assert [r["key"] for r in got] == [None] * 3 + [7] * 200 + [10**12 + i for i in range(400)]
+    assert rows.number_rows(df.limit(0), "key").count() == 0
+
+
 def test_repeat_and_shuffle(spark):
     df = spark.range(10)
     assert collected(rows.repeat_rows(df, 3).groupBy("copy").count()) == [(0, 10), (1, 10), (2, 10)]

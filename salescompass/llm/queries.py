@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescompass.llm import decontaminate, sharding, source_mix, substring_dedup, url_filter
+from salescompass.llm import (
+    decontaminate, fingerprints, line_dedup, near_dedup, rule_quality, sharding, source_mix, substring_dedup, toxicity, url_filter,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +25,11 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.Mix(_table(spark, sf_dir, "documents")).taken().select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.remove_repeated_lines(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 URL_RULES = (
     url_filter.Rule("net/", url_filter.BLOCK),
     url_filter.Rule("example.net/en/", url_filter.ALLOW),
@@ -36,6 +43,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(_table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.contamination(docs, _table(spark, sf_dir, "benchmark"))
@@ -54,6 +65,28 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = rule_quality.fit_rules(docs, _table(spark, sf_dir, "labels"))
+    return rule_quality.scored(docs, model).select(
+        "doc_id", rule_quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.NearDuplicates(_table(spark, sf_dir, "documents").select("doc_id", "text")).classes()
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit_severity(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.graded(docs, model).select("doc_id", "severity", "grade", "toxic")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_source_mix, op4_url_filter, op6_decontamination, op7_sharding)
-}
+    f.__name__: f
+    for f in (
+        op1_substring_dedup, op2_source_mix, op3_line_dedup, op4_url_filter, op5_fingerprints, op6_decontamination,
+        op7_sharding, op8_rule_quality, op9_near_dedup, op10_toxicity,
+    )
+}

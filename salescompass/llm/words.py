@@ -1,6 +1,6 @@
 """Words of many texts at once, as numpy arrays over their UTF-8 bytes.
 
-Texts are joined by a space and cut at break bytes; every word and every window of
+Texts are joined by a break byte and cut at break bytes; every word and every window of
 consecutive words gets a 64-bit hash from prefix sums, so nothing loops over words.
 """
 
@@ -36,15 +36,16 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out, out=out)
 
 
-def _break_bytes(*ranges: tuple[int, int]) -> np.ndarray:
+def break_bytes(*ranges: tuple[int, int]) -> np.ndarray:
     table = np.zeros(256, bool)
     for low, high in ranges:
         table[low : high + 1] = True
     return table
 
 
-BLANKS = _break_bytes((0x09, 0x0D), (0x20, 0x20))
-NOT_ALPHANUMERIC = _break_bytes((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))  # after lower-casing A-Z
+BLANKS = break_bytes((0x09, 0x0D), (0x20, 0x20))
+LINE_END = break_bytes((0x0A, 0x0A))
+NOT_ALPHANUMERIC = break_bytes((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))  # after lower-casing A-Z
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 _BYTE_VALUES = mix(np.arange(256, dtype=np.uint64), 7)
@@ -58,7 +59,8 @@ class Words:
     """
 
     def __init__(self, texts: list[bytes | None], breaks: np.ndarray = BLANKS, lower: bool = False):
-        data = np.frombuffer(b" ".join([t or b"" for t in texts] + [b""]), np.uint8)
+        joint = bytes([np.flatnonzero(breaks)[-1]])
+        data = np.frombuffer(joint.join([t or b"" for t in texts] + [b""]), np.uint8)
         self.bytes = _LOWER[data] if lower else data
         inside = np.empty(len(data) + 1, bool)
         inside[0] = False

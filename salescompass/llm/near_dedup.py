@@ -28,8 +28,9 @@ from salescompass.llm.words import Words, byte_texts, lists, mix, pieces, unit
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 24, 4  # a pair of similarity 0.8 shares no band with a probability of 3e-6
-PAIRS_PER_DOCUMENT = 4  # pairs compared at once; while there are more, rounds of one centre per band
+BANDS, ROWS = 40, 6  # a pair of similarity 0.8 shares no band with a probability of 5e-6
+PAIRS_PER_DOCUMENT = 2  # open pairs that are compared all at once
+CENTRES, ROUNDS = 2, 5  # while there are more: members of a band that the others are compared with, and how often
 
 
 def shingles(words: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -190,18 +191,18 @@ class NearDuplicates:
         spark = self.nodes.sparkSession
         links = spark.createDataFrame([], "a long, b long")
         labels = spark.createDataFrame([], "node long, label long")
-        while True:
+        for turn in range(ROUNDS + 1):
             open_, pairs = self._unresolved(open_, labels)
             if not pairs:
-                return labels
-            last = pairs <= most
-            candidates, open_ = self._candidates(open_, all_pairs=last)
-            found = stored(self._linked(candidates, texts), "links")
+                break
+            last = turn == ROUNDS or pairs <= most
+            found = stored(self._linked(self._candidates(open_, None if last else turn), texts), "links")
             if not found.isEmpty():
                 links = stored(links.union(found), "links")
                 labels = components(links)
             if last:
-                return labels
+                break
+        return labels
 
     def _member_texts(self, members: DataFrame) -> DataFrame:
         """``node, text`` of all candidates, once; copies of a row count once."""
@@ -229,22 +230,23 @@ class NearDuplicates:
         pairs = bands.agg(F.sum((F.col("n") - F.col("top.n")) * F.col("n"))).first()[0] or 0
         return left, int(pairs)
 
-    def _candidates(self, members: DataFrame, all_pairs: bool) -> tuple[DataFrame, DataFrame]:
-        """Pairs to compare, and the members still open afterwards.
+    def _candidates(self, members: DataFrame, turn: int | None) -> DataFrame:
+        """Pairs to compare, of different components: the members outside the largest component
+        of their band with a few pseudorandom members, others in every turn; or, without a
+        turn, with all members.
 
-        All pairs with a member outside its band's largest component; or, while those are
-        too many, only the pairs of the smallest such member of each band, which is then done.
+        Nearly all of a large group of copies join one component in the first turns, and the
+        last, full one has only the few others left.
         """
-        outside = members.filter("outside").select("key", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("label").alias("label_b"))
-        if not all_pairs:
-            least = F.min(F.struct("b", "size_b", "label_b")).alias("one")
-            outside = stored(outside.groupBy("key").agg(least).select("key", "one.*"), "centres")
+        one = members.filter("outside").select("key", "node", "size", "label")
+        other = members.select("key", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("label").alias("label_b"))
+        if turn is not None:
+            # the smallest in each of a few pseudorandom orders: combined next to the rows, whatever the size of the band
+            first = [F.min(F.struct(F.xxhash64(F.lit(turn), F.lit(c), "b"), "b", "size_b", "label_b")) for c in range(CENTRES)]
+            other = other.groupBy("key").agg(F.array(*first).alias("c")).select("key", F.explode("c").alias("c")).select("key", "c.b", "c.size_b", "c.label_b")
         near = F.least("size", "size_b") >= self.similarity * F.greatest("size", "size_b") - 1e-6
-        pairs = members.join(outside, "key").filter((F.col("label") != F.col("label_b")) & near)
-        pairs = pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-        if not all_pairs:
-            members = members.join(outside, (members["key"] == outside["key"]) & (members["node"] == outside["b"]), "left_anti")
-        return pairs, members
+        pairs = one.join(other, "key").filter((F.col("label") != F.col("label_b")) & near)
+        return pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
 
     def _linked(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
         of_a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -273,10 +275,10 @@ class NearDuplicates:
 def deduplicated(docs: DataFrame, **settings) -> DataFrame:
     """One document of each class, with its own columns."""
     kept = NearDuplicates(docs.select("doc_id", "text"), **settings).kept().select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")
+        F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")
     )
-    same = docs["doc_id"].eqNullSafe(kept["_id"]) & F.xxhash64(docs["text"]).eqNullSafe(kept["_hash"])
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    # all own columns in one, so that none can clash
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    same = F.col("doc.doc_id").eqNullSafe(kept["id"]) & F.xxhash64("doc.text").eqNullSafe(kept["hash"])
     # rows that repeat both doc_id and text: the first stays
-    one = docs.join(kept, same).groupBy("_id", "_hash").agg(F.first(row).alias("_row"))
-    return one.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
+    return rows.join(kept, same).groupBy("id", "hash").agg(F.first("doc").alias("doc")).select("doc.*")

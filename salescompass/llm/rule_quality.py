@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salescompass.llm.statistics import STATISTICS, text_statistics
-from salescompass.llm.storage import stored
+from salescompass.llm.storage import stored, unused
 
 SAMPLE = 10_000  # labelled rows that a model is fitted on, those of the smallest hash of doc_id
 TREES, DEPTH, PENALTY = 24, 4, 0.002
@@ -114,13 +114,12 @@ def scored(docs: DataFrame, model: RuleModel, name: str = "score") -> DataFrame:
 
     Null and empty texts have statistics of zero and are scored like any other.
     """
-    measured = docs.drop(name).withColumn("_statistics", text_statistics(F.col("text")))
-    return measured.withColumn(name, model.score("_statistics")).drop("_statistics")
+    held = unused("_statistics", docs)
+    measured = docs.drop(name).withColumn(held, text_statistics(F.col("text")))
+    return measured.withColumn(name, model.score(held)).drop(held)
 
 
 def accepted(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
     """The documents with a score of at least one half, with their own columns."""
-    model = fit_rules(docs, labels, **settings)
-    held = docs.withColumnsRenamed({"_statistics": "_own_statistics"}).withColumn("_score", F.lit(0.0))
-    passed = scored(held, model, "_score").filter("_score >= 0.5").drop("_score")
-    return passed.withColumnsRenamed({"_own_statistics": "_statistics"})
+    score = unused("_score", docs)
+    return scored(docs, fit_rules(docs, labels, **settings), score).filter(F.col(score) >= 0.5).drop(score)

@@ -201,19 +201,23 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     A row holds the words that its pass takes, or the text unchanged if that is all of
     them.  ``n_chars``, where there is one, follows the text.  Other columns are kept.
     """
-    marked = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-input")
-    mix = Mix(marked, row=F.col("_row"), **settings)
+    # all own columns in one, so that none can clash
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = stored(docs.select(own.alias("doc"), F.monotonically_increasing_id().alias("row")), "mix-input")
+    mix = Mix(marked.select("row", "doc.doc_id", "doc.source", "doc.text"), row=F.col("row"), **settings)
     spans = mix.pieces().groupBy("row", "pass").agg(
-        F.sort_array(F.collect_list(F.struct("low", "high"))).alias("_spans"), F.sum(F.col("high") - F.col("low")).alias("_taken")
+        F.sort_array(F.collect_list(F.struct("low", "high"))).alias("spans"), F.sum(F.col("high") - F.col("low")).alias("taken")
     )
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    cut = F.flatten(F.transform("_spans", lambda s: F.slice("_words", (s["low"] + 1).cast("int"), (s["high"] - s["low"]).cast("int"))))
-    whole = F.col("_taken") == F.size("_words")
+    cut = F.flatten(F.transform("spans", lambda s: F.slice("words", (s["low"] + 1).cast("int"), (s["high"] - s["low"]).cast("int"))))
     out = (
-        marked.join(spans, marked["_row"] == spans["row"])
-        .withColumn("_words", words)
-        .withColumn("text", F.when(whole, F.col("text")).otherwise(F.array_join(cut, " ")))
+        marked.join(spans, "row")
+        .withColumn("words", F.regexp_extract_all("doc.text", F.lit(WORD), F.lit(0)))
+        .withColumn("mixed", F.when(F.col("taken") == F.size("words"), F.col("doc.text")).otherwise(F.array_join(cut, " ")))
+    )
+    new = {"text": F.col("mixed"), "n_chars": F.length("mixed")}
+    return out.select(
+        *[
+            (new[f.name].cast(f.dataType) if f.name in new else F.col("doc").getField(f.name)).alias(f.name)
+            for f in docs.schema.fields
+        ]
     )
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -15,3 +15,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = run_dir(df.sparkSession, "llm", f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -7,6 +7,7 @@ uses marker words, which nearly always stand in toxic texts: few, some or many.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -18,14 +19,15 @@ from salescompass.llm.rule_quality import labelled_sample
 from salescompass.llm.storage import stored
 from salescompass.llm.words import NOT_ALPHANUMERIC, Words, byte_texts, pieces
 
-SAMPLE = 8_000  # labelled rows that a model is fitted on, those of the smallest hash of doc_id
+SAMPLE = 12_000  # labelled rows that a model is fitted on, those of the smallest hash of doc_id
 FEATURE_BITS = 20
+PREFIXES = (4, 5, 6, 7)  # bytes
 LEAST_TEXTS = 5  # sample texts that must hold a word
 ASSOCIATION = 4.0  # standard errors between a word's toxic share and the sample's
 MARKER = 0.8  # toxic share of the texts that hold a marker word
 GRADES = 3
 PENALTY = 2e-4
-STEPS = 2000
+STEPS = 800
 
 
 class SeverityModel(NamedTuple):
@@ -42,11 +44,22 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
-def word_counts(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text, feature and count of the distinct words; words are lower-cased and hashed."""
-    words = Words(texts, NOT_ALPHANUMERIC, lower=True)
-    feature = (words.hash >> np.uint64(64 - FEATURE_BITS)).astype(np.int64)
-    key, counts = np.unique(words.text << FEATURE_BITS | feature, return_counts=True)
+def _hits(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Text and feature of the words, then of the beginnings of longer words, which stand for inflected forms."""
+    text = words.text
+    yield text, (words.hash >> np.uint64(64 - FEATURE_BITS)).astype(np.int64)
+    for size in PREFIXES:
+        of, hashes = words.prefixes(size)
+        yield text[of], (hashes >> np.uint64(64 - FEATURE_BITS)).astype(np.int64)
+
+
+def feature_counts(texts: list[bytes | None], known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, feature and count of the distinct features, all or only ``known`` ones; words are lower-cased and hashed."""
+    keys = []
+    for text, feature in _hits(Words(texts, NOT_ALPHANUMERIC, lower=True)):
+        keep = slice(None) if known is None else known[feature]
+        keys.append(text[keep] << FEATURE_BITS | feature[keep])
+    key, counts = np.unique(np.concatenate(keys), return_counts=True)
     return key >> FEATURE_BITS, key & ((1 << FEATURE_BITS) - 1), counts
 
 
@@ -54,7 +67,7 @@ def _features(batches):
     for batch in batches:
         texts = byte_texts(batch.column("text"))
         for low, high in pieces(texts):
-            text, feature, counts = word_counts(texts[low:high])
+            text, feature, counts = feature_counts(texts[low:high])
             offsets = pa.array(np.searchsorted(text, np.arange(high - low + 1)), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -168,12 +181,10 @@ def severity(text: Column, model: SeverityModel) -> Column:
         known[model.features] = True
         eta = np.zeros(len(texts))
         for low, high in pieces(texts):
-            words = Words(texts[low:high], NOT_ALPHANUMERIC, lower=True)
-            feature = (words.hash >> np.uint64(64 - FEATURE_BITS)).astype(np.int64)
-            hit = np.flatnonzero(known[feature])
-            key, counts = np.unique(words.text[hit] << FEATURE_BITS | feature[hit], return_counts=True)
-            weight = model.weights[np.searchsorted(model.features, key & ((1 << FEATURE_BITS) - 1))] if len(key) else np.zeros(0)
-            eta[low:high] = np.bincount(key >> FEATURE_BITS, weight * np.log1p(counts), minlength=high - low)
+            of, feature, counts = feature_counts(texts[low:high], known)
+            if len(of):
+                weight = model.weights[np.searchsorted(model.features, feature)]
+                eta[low:high] = np.bincount(of, weight * np.log1p(counts), minlength=high - low)
         above = model.above(eta)
         level = (above >= 0.5).sum(axis=1)
         return pa.StructArray.from_arrays(

@@ -70,10 +70,18 @@ class Words:
         lengths = np.fromiter((len(t) if t else 0 for t in texts), np.int64, len(texts))
         self.text_start = np.concatenate([[0], np.cumsum(lengths + 1)])
         self.first = np.searchsorted(self.start, self.text_start)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE_VALUES[self.bytes] * _powers(_BYTE_BASE, len(data)), out=sums[1:])
-        inverse = _powers(pow(_BYTE_BASE, -1, 2**64), len(data))
-        self.hash = mix((sums[self.end] - sums[self.start]) * inverse[self.start])
+        self._sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_BYTE_VALUES[self.bytes] * _powers(_BYTE_BASE, len(data)), out=self._sums[1:])
+        self._inverse = _powers(pow(_BYTE_BASE, -1, 2**64), len(data))
+        self.hash = self._hash(self.start, self.end)
+
+    def _hash(self, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+        return mix((self._sums[end] - self._sums[start]) * self._inverse[start], seed)
+
+    def prefixes(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Words longer than ``size`` bytes, and the hash of their first ``size`` bytes."""
+        longer = np.flatnonzero(self.end - self.start > size)
+        return longer, self._hash(self.start[longer], self.start[longer] + size, size)
 
     def __len__(self) -> int:
         return len(self.start)

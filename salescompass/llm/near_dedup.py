@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salescompass.llm.components import components
@@ -29,8 +29,9 @@ from salescompass.llm.words import Words, byte_texts, lists, mix, pieces, unit
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 40, 6  # a pair of similarity 0.8 shares no band with a probability of 5e-6
-PAIRS_PER_DOCUMENT = 2  # open pairs that are compared all at once
-CENTRES, ROUNDS = 2, 5  # while there are more: members of a band that the others are compared with, and how often
+SMALL_BAND = 8  # members that are all compared with each other at once
+CENTRES, ROUNDS = 2, 2  # of larger bands: members that the others are compared with, and how often
+BLOCK = 256  # documents on each side that are compared in one task
 
 
 def shingles(words: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -148,6 +149,51 @@ def _verify(similarity: float, size: int):
     return verify
 
 
+def _links_of_blocks(similarity: float, size: int):
+    def bags(table: pa.Table):
+        found = [(low, shingles(Words(texts[low:high]), size)) for texts in [byte_texts(table.column("text"))] for low, high in pieces(texts)]
+        return tuple(np.concatenate(x) for x in zip(*((low + text, hashes, weights) for low, (text, hashes, weights) in found), strict=True))
+
+    def compare(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        """Shared weight of all pairs of the two blocks, by looking up one side's shingles in the other's."""
+        a, b = [], []
+        if left.num_rows and right.num_rows:
+            text, hashes, weights = bags(left)
+            other, other_hashes, other_weights = bags(right)
+            order = np.argsort(hashes, kind="stable")
+            text, hashes, weights = text[order], hashes[order], weights[order]
+            low, high = np.searchsorted(hashes, other_hashes), np.searchsorted(hashes, other_hashes, side="right")
+            n = high - low
+            source = np.repeat(np.arange(len(n)), n)
+            entry = low[source] + np.arange(len(source)) - np.repeat(np.cumsum(n) - n, n)
+            shape = (left.num_rows, right.num_rows)
+            shared = np.zeros(shape, np.int64)
+            np.add.at(shared, (text[entry], other[source]), np.minimum(weights[entry], other_weights[source]))
+            sizes = np.bincount(text, weights, minlength=shape[0]), np.bincount(other, other_weights, minlength=shape[1])
+            total = sizes[0][:, None] + sizes[1] - shared
+            label, other_label = left.column("label").to_numpy(), right.column("label").to_numpy()
+            node, other_node = left.column("node").to_numpy(), right.column("node").to_numpy()
+            i, j = np.nonzero((shared >= similarity * total) & (label[:, None] != other_label))
+            _, first = np.unique(np.stack([i, other_label[j]], axis=1), axis=0, return_index=True)  # one for each component
+            a, b = np.minimum(node[i[first]], other_node[j[first]]), np.maximum(node[i[first]], other_node[j[first]])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return compare
+
+
+def _shingle_rows(size: int):
+    def rows(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, texts = batch.column("node").to_numpy(), byte_texts(batch.column("text"))
+            for low, high in pieces(texts):
+                text, hashes, weights = shingles(Words(texts[low:high]), size)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node[low:high][text]), pa.array(hashes.view(np.int64)), pa.array(weights.astype(np.int64))], names=["node", "shingle", "weight"]
+                )
+
+    return rows
+
+
 def _bags(texts: list[bytes], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for low, high in pieces(texts):
         text, hashes, weights = shingles(Words(texts[low:high]), size)
@@ -182,27 +228,31 @@ class NearDuplicates:
         self.labels = self._labels()
 
     def _labels(self) -> DataFrame:
-        """``node, label`` of the nodes that have a link."""
+        """``node, label`` of the nodes that have a link.
+
+        Members of a small band are all compared with each other.  In a larger one, members
+        outside its largest component are compared with a few pseudorandom members, others in
+        every round: nearly all copies of a text join one component so.  The others are then
+        compared with all members, block by block, and only links leave a block.
+        """
         in_bands = self.nodes.select("node", "size", F.explode("bands").alias("key"))
-        shared = in_bands.groupBy("key").count().filter("count > 1").select("key")
-        open_ = stored(in_bands.join(shared, "key"), "members")
-        texts = self._member_texts(open_)
-        most = PAIRS_PER_DOCUMENT * self.nodes.count()
-        spark = self.nodes.sparkSession
-        links = spark.createDataFrame([], "a long, b long")
-        labels = spark.createDataFrame([], "node long, label long")
-        for turn in range(ROUNDS + 1):
-            open_, pairs = self._unresolved(open_, labels)
-            if not pairs:
-                break
-            last = turn == ROUNDS or pairs <= most
-            found = stored(self._linked(self._candidates(open_, None if last else turn), texts), "links")
-            if not found.isEmpty():
-                links = stored(links.union(found), "links")
-                labels = components(links)
-            if last:
-                break
-        return labels
+        shared = in_bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        members = stored(in_bands.join(shared, "key"), "members")
+        texts = self._member_texts(members)
+        small, open_ = members.filter(F.col("n") <= SMALL_BAND), members.filter(F.col("n") > SMALL_BAND).withColumn("own", F.lit(0).cast("long"))
+        pairs, outside, links = self._small_pairs(small), open_, None
+        for turn in range(ROUNDS):
+            pairs = self._pairs_with_centres(outside, open_, turn) if turn else pairs.union(self._pairs_with_centres(outside, open_, turn))
+            found = self._linked(pairs.distinct(), texts)
+            links = stored(links.union(found) if turn else found, "links")
+            labels = components(links)
+            open_ = stored(self._open(open_.select("key", "node", "size", "own"), labels), "open")
+            if open_.isEmpty():
+                return labels
+            if not turn:
+                open_ = open_.drop("own").join(self._own_weights(open_, texts), "node")
+            outside = open_.filter("outside")
+        return components(links.union(self._links_outside(open_, texts)))
 
     def _member_texts(self, members: DataFrame) -> DataFrame:
         """``node, text`` of all candidates, once; copies of a row count once."""
@@ -213,40 +263,67 @@ class NearDuplicates:
         held = self.texts.join(wanted, same).groupBy("id", "hash", "node").agg(F.first("text").alias("text"))
         return stored(held.select("node", "text"), "texts")
 
-    def _unresolved(self, members: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
-        """Members of bands whose members are not all in one component yet, marked ``outside``
-        the largest component of their band; and how many pairs that leaves."""
-        labelled = members.select("key", "node", "size").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        sizes = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-        bands = (
-            sizes.groupBy("key")
-            .agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("labels"))
-            .filter("labels > 1")
-        )
-        left = stored(
-            labelled.join(bands.select("key", F.col("top.label").alias("largest")), "key").withColumn("outside", F.col("label") != F.col("largest")),
-            "open",
-        )
-        pairs = bands.agg(F.sum((F.col("n") - F.col("top.n")) * F.col("n"))).first()[0] or 0
-        return left, int(pairs)
-
-    def _candidates(self, members: DataFrame, turn: int | None) -> DataFrame:
-        """Pairs to compare, of different components: the members outside the largest component
-        of their band with a few pseudorandom members, others in every turn; or, without a
-        turn, with all members.
+    def _open(self, members: DataFrame, labels: DataFrame) -> DataFrame:
+        """Members of bands that are not yet settled, marked ``outside`` if they are not in their
+        band's largest component and could still be similar to some member.
 
-        Nearly all of a large group of copies join one component in the first turns, and the
-        last, full one has only the few others left.
+        ``own`` is the weight of a member's shingles that no other open member has.  What it
+        shares is at most the rest, so by size it cannot reach the similarity with any
+        member of a band if it cannot with the smallest one.
+        """
+        labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        sizes = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), F.min("size").alias("least"))
+        bands = sizes.groupBy("key").agg(F.max(F.struct("c", "label")).alias("top"), F.min("least").alias("least"), F.count(F.lit(1)).alias("parts"))
+        bands = bands.filter("parts > 1").select("key", F.col("top.label").alias("largest"), "least")
+        least = F.greatest(F.col("least"), F.col("size") * self.similarity)
+        marked = labelled.join(bands, "key").withColumn("outside", (F.col("label") != F.col("largest")) & self._enough("size", "own", least))
+        unsettled = marked.groupBy("key").agg(F.max("outside").alias("any")).filter("any").select("key")
+        return marked.join(unsettled, "key").select("key", "node", "size", "own", "label", "outside")
+
+    def _enough(self, size: str, own: str, other) -> Column:
+        """Whether what a document can share suffices for the similarity with one of size ``other``."""
+        return F.col(size) - F.col(own) >= self.similarity / (1 + self.similarity) * (F.col(size) + other) - 1e-6
+
+    def _own_weights(self, members: DataFrame, texts: DataFrame) -> DataFrame:
+        """``node, own``: weight of the shingles that occur in no other of the members."""
+        held = texts.join(members.select("node").distinct(), "node")
+        rows = held.mapInArrow(_shingle_rows(self.size), "node long, shingle long, weight long")
+        single = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.min("weight").alias("weight")).filter("n = 1")
+        own = single.groupBy("node").agg(F.sum("weight").alias("own"))
+        return held.select("node").join(own, "node", "left").select("node", F.coalesce("own", F.lit(0)).cast("long").alias("own"))
+
+    def _near(self) -> Column:
+        return F.least("size", "size_b") >= self.similarity * F.greatest("size", "size_b") - 1e-6
+
+    def _small_pairs(self, members: DataFrame) -> DataFrame:
+        other = members.select("key", F.col("node").alias("b"), F.col("size").alias("size_b"))
+        return members.join(other, "key").filter((F.col("node") < F.col("b")) & self._near()).select(F.col("node").alias("a"), "b")
+
+    def _pairs_with_centres(self, some: DataFrame, members: DataFrame, turn: int) -> DataFrame:
+        """Some members with the first member of their band in each of a few pseudorandom orders."""
+        first = [F.min(F.struct(F.xxhash64(F.lit(turn), F.lit(c), "node"), F.col("node").alias("b"), F.col("size").alias("size_b"))) for c in range(CENTRES)]
+        centres = members.groupBy("key").agg(F.array(*first).alias("c")).select("key", F.explode("c").alias("c")).select("key", "c.b", "c.size_b")
+        pairs = some.join(centres, "key").filter((F.col("node") != F.col("b")) & self._near())
+        return pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
+
+    def _links_outside(self, members: DataFrame, texts: DataFrame) -> DataFrame:
+        """Links of the members outside the largest component of their band to members of other
+        components: one to each component suffices.
+
+        Both sides of a band are cut into blocks; a task compares two blocks, so a band of any
+        size is spread and no pair is ever a row.
         """
-        one = members.filter("outside").select("key", "node", "size", "label")
-        other = members.select("key", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("label").alias("label_b"))
-        if turn is not None:
-            # the smallest in each of a few pseudorandom orders: combined next to the rows, whatever the size of the band
-            first = [F.min(F.struct(F.xxhash64(F.lit(turn), F.lit(c), "b"), "b", "size_b", "label_b")) for c in range(CENTRES)]
-            other = other.groupBy("key").agg(F.array(*first).alias("c")).select("key", F.explode("c").alias("c")).select("key", "c.b", "c.size_b", "c.label_b")
-        near = F.least("size", "size_b") >= self.similarity * F.greatest("size", "size_b") - 1e-6
-        pairs = one.join(other, "key").filter((F.col("label") != F.col("label_b")) & near)
-        return pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+        counts = members.groupBy("key").agg(F.count_if("outside").alias("o"), F.count(F.lit(1)).alias("m"))
+        blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+        own = lambda c: F.pmod(F.xxhash64("node"), blocks(c)).cast("int")
+        every = lambda c: F.explode(F.sequence(F.lit(0), blocks(c) - 1))
+        open_ = members.join(counts.filter("o > 0"), "key").join(texts, "node")
+        columns = ["key", "node", "label", "text"]
+        left = open_.filter("outside").select(*columns, own("o").alias("ob"), every("m").alias("mb"))
+        # names given anew, as both sides come from one table
+        right = open_.select(*columns, own("m").alias("mb"), every("o").alias("ob")).toDF(*columns, "mb", "ob")
+        by = ["key", "ob", "mb"]
+        return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(_links_of_blocks(self.similarity, self.size), "a long, b long")
 
     def _linked(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
         of_a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))

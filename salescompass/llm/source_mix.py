@@ -61,7 +61,8 @@ def shard_counts(sources: DataFrame, slots: int, shards: int, seed: int) -> Data
     which keeps each source near its target.  All sources sit in one row (a few bytes for
     each source) that is repeated per shard; no join.
     """
-    share = F.col("target") / F.sum("target").over(Window.partitionBy())
+    total = F.nullif(F.sum("target").over(Window.partitionBy()), F.lit(0.0))
+    share = F.coalesce(F.col("target") / total, F.lit(0.0))
     one = sources.withColumn("share", share).agg(F.sort_array(F.collect_list(F.struct("no", "share"))).alias("of"))
     size = F.lit(slots // shards) + (F.col("shard") < slots % shards).cast("int")
     rows = (
@@ -75,7 +76,7 @@ def shard_counts(sources: DataFrame, slots: int, shards: int, seed: int) -> Data
     )
     # upper ends of the fractions' intervals; a draw falls into one of them
     ends = F.aggregate(
-        "part", F.array(F.lit(0.0)), lambda a, p: F.concat(a, F.array(F.element_at(a, -1) + p / F.col("total")))
+        "part", F.array(F.lit(0.0)), lambda a, p: F.concat(a, F.array(F.element_at(a, -1) + F.coalesce(p / F.nullif(F.col("total"), F.lit(0.0)), F.lit(0.0))))
     )
     uniform = lambda i: F.pmod(F.xxhash64(F.lit(seed), F.lit("draw"), F.col("shard"), i), F.lit(1 << 52)) / float(1 << 52)
     numbers = F.when(F.col("rest") > 0, F.sequence(F.lit(1), F.col("rest").cast("int"))).otherwise(F.array().cast("array<int>"))
@@ -165,7 +166,7 @@ class Mix:
             .withColumn("chunk", F.explode(chunks))
             .select("no", "shard", "chunk", (F.col("first") + low).alias("low"), (F.col("first") + high).alias("high"))
             .repartition("no", "chunk", "shard")  # a large source's draws to many tasks
-            .join(F.broadcast(blocks), "no")
+            .join(blocks.filter("blocks > 0"), "no")  # a row per source
             .withColumn("draw", F.explode(F.sequence("low", "high")))
         )
         used = F.floor(F.col("draw") / F.col("blocks")).cast("int")

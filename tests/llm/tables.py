@@ -1,12 +1,10 @@
-import os
+"""Small awkward tables, as fixtures."""
+
 import random
-import sys
 
 import pytest
 from pyspark.sql import functions as F
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, row int, spans string, N_Words int, severity string"
 
 

@@ -1,18 +1,20 @@
 """The contract queries over the given small tables: against SQL, or a plain version."""
 
+import os
 from collections import Counter, defaultdict
 from zlib import crc32
 
 import plain
 import pytest
 from check_oracle import compare, connect
-from conftest import SF_DIR
 
 import __spark_entry__ as contract
 import corpus_pipeline
 from salescompass.llm.oracle import ORACLE
 from salescompass.llm.queries import QUERIES
 
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
 
 @pytest.fixture(scope="module")
 def duck():

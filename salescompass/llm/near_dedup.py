@@ -250,7 +250,7 @@ class NearDuplicates:
             if open_.isEmpty():
                 return labels
             if not turn:
-                open_ = open_.drop("own").join(self._own_weights(open_, texts), "node")
+                open_ = stored(open_.drop("own").join(self._own_weights(open_, texts), "node"), "open")
             outside = open_.filter("outside")
         return components(links.union(self._links_outside(open_, texts)))
 

@@ -23,10 +23,11 @@ SAMPLE = 12_000  # labelled rows that a model is fitted on, those of the smalles
 FEATURE_BITS = 20
 PREFIXES = (4, 5, 6, 7)  # bytes
 LEAST_TEXTS = 5  # sample texts that must hold a word
-ASSOCIATION = 4.0  # standard errors between a word's toxic share and the sample's
+ASSOCIATION = 4.0  # standard errors by which a word's toxic share exceeds the sample's
 MARKER = 0.8  # toxic share of the texts that hold a marker word
 GRADES = 3
-PENALTY = 2e-4
+PENALTY = 2e-3
+TOXIC_FROM = 0.3  # probability of a severity above 0; toxic texts are rare in the sample, so less than one half tells
 STEPS = 800
 
 
@@ -134,7 +135,7 @@ def _fit(table: pa.Table) -> pa.Table:
     hits = np.bincount(index, toxic[text], minlength=len(names))
     share = toxic.mean()
     error = np.sqrt(np.maximum(share * (1 - share), 1e-12) / np.maximum(texts, 1))
-    telling = (texts >= LEAST_TEXTS) & (np.abs(hits / np.maximum(texts, 1) - share) >= ASSOCIATION * error)
+    telling = (texts >= LEAST_TEXTS) & (hits / np.maximum(texts, 1) - share >= ASSOCIATION * error)
     empty = pa.table({"feature": pa.array([], pa.int32()), "value": pa.array([], pa.float64())})
     if not telling.any() or share in (0.0, 1.0):
         return empty
@@ -143,7 +144,7 @@ def _fit(table: pa.Table) -> pa.Table:
     column = np.cumsum(telling) - 1
     use = telling[index]
     x = np.zeros((len(toxic), int(telling.sum())))
-    x[text[use], column[index[use]]] = np.log1p(count[use])
+    x[text[use], column[index[use]]] = 1 + np.log(count[use])
     scale = np.sqrt((x**2).mean(axis=0))
     weights, thresholds = fit_cumulative_link(x / scale, _grades(toxic, markers))
     kept = np.flatnonzero(weights)
@@ -172,7 +173,8 @@ def fit_severity(docs: DataFrame, labels: DataFrame, label: str = "toxic", sampl
 
 
 def severity(text: Column, model: SeverityModel) -> Column:
-    """Struct of ``severity`` (expected grade), ``grade`` (the median) and ``toxic`` (probably above 0)."""
+    """Struct of ``severity`` (expected grade), ``toxic`` (a severity above 0 has at least the
+    probability TOXIC_FROM) and ``grade`` (the median, 1 at least if toxic)."""
 
     @F.arrow_udf("struct<severity:double,grade:int,toxic:boolean>")
     def grade(column: pa.Array) -> pa.Array:
@@ -184,11 +186,12 @@ def severity(text: Column, model: SeverityModel) -> Column:
             of, feature, counts = feature_counts(texts[low:high], known)
             if len(of):
                 weight = model.weights[np.searchsorted(model.features, feature)]
-                eta[low:high] = np.bincount(of, weight * np.log1p(counts), minlength=high - low)
+                eta[low:high] = np.bincount(of, weight * (1 + np.log(counts)), minlength=high - low)
         above = model.above(eta)
-        level = (above >= 0.5).sum(axis=1)
+        toxic = (above[:, :1] >= TOXIC_FROM).any(axis=1)
+        level = np.maximum((above >= 0.5).sum(axis=1), toxic)
         return pa.StructArray.from_arrays(
-            [pa.array(above.sum(axis=1), pa.float64()), pa.array(level, pa.int32()), pa.array(level > 0)], ["severity", "grade", "toxic"]
+            [pa.array(above.sum(axis=1), pa.float64()), pa.array(level, pa.int32()), pa.array(toxic)], ["severity", "grade", "toxic"]
         )
 
     return grade(text)

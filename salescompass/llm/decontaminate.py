@@ -247,7 +247,7 @@ def n_marked(spans: str = "spans"):
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """The documents without any hit word, with their own columns."""
-    names = {"n_words", "spans", "items"} & set(docs.columns)
+    names = [c for c in docs.columns if c.lower() in ("n_words", "spans", "items")]
     held = docs.withColumnsRenamed({c: f"_own_{c}" for c in names})
     clean = contamination(held, benchmark, **settings).filter(F.size("spans") == 0).drop("n_words", "spans", "items")
     return clean.withColumnsRenamed({f"_own_{c}": c for c in names}).select(*[F.col(f"`{c}`") for c in docs.columns])

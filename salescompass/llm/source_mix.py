@@ -165,7 +165,8 @@ class Mix:
             .filter("count > 0")
             .withColumn("chunk", F.explode(chunks))
             .select("no", "shard", "chunk", (F.col("first") + low).alias("low"), (F.col("first") + high).alias("high"))
-            .repartition("no", "chunk", "shard")  # a large source's draws to many tasks
+            # a large source's draws to many tasks; a number given keeps AQE from joining these few bytes, each of which makes many rows
+            .repartition(int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "no", "chunk", "shard")
             .join(blocks.filter("blocks > 0"), "no")  # a row per source
             .withColumn("draw", F.explode(F.sequence("low", "high")))
         )

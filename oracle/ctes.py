@@ -43,7 +43,7 @@ CTES: dict[str, str] = {
                cast(null as varchar) as opportunity_id, props as metadata, ts as row_timestamp
         from events""",
     "located_events": """
-        select e.*, a.territory_id from advisor_events e join advisor_dim a on e.advisor_id = a.advisor_id""",
+        select e.*, a.territory_id from advisor_events e left join advisor_dim a on e.advisor_id = a.advisor_id""",
     "fund_flows": """
         select 'L' || l_orderkey || '-' || l_linenumber as flow_id, 'F' || l_partkey as fund_id,
                'A' || o_custkey as advisor_id,
@@ -71,18 +71,15 @@ CTES: dict[str, str] = {
         select event_type as service_type, cast(ts as date) as usage_date,
                cast(cast(value as decimal(18,2)) * cast(0.01 as decimal(3,2)) as decimal(20,4)) as credits_used
         from events""",
-    "alert_log": """
-        select 'ALERT_' || (user_id % 5) as name, 'DISTRIBUTION' as schema_name, ts as scheduled_time,
-               case when value > 100 then 'TRIGGERED' else 'CONDITION_FALSE' end as state
-        from events where event_type = 'error'""",
     "refresh_log": """
         select 'DT_' || (event_id % 3) as name, 'DISTRIBUTION' as schema_name,
                case event_type when 'click' then 'FULL' else 'INCREMENTAL' end as refresh_action, ts as refresh_start_time
         from events where event_type in ('click', 'view')""",
+    "check_time": "select cast(max(usage_date) + 1 as timestamp) as checked_at from usage_history",
     "ev_now": "select max(ts) as now from events",
     "fl_now": "select max(cast(l_shipdate as date)) as today from lineitem",
     "op_now": "select max(last_modified) as today from opportunity",
-    "snaps": "select unnest([0, 7, 14, 21]) as back",
+    "snaps": "select cast(unnest(range(0, 91, 7)) as integer) as back",
     "activity": """
         select back, advisor_id,
                count(*) filter (where event_type = 'CALL' and event_timestamp >= now - to_days(back) - interval 30 day) as calls,
@@ -94,8 +91,8 @@ CTES: dict[str, str] = {
         where event_timestamp <= now - to_days(back)
         group by back, advisor_id""",
     "open_opps": """
-        select advisor_id, count(*) as n, sum(coalesce(amount, 0)) as v from opportunity
-        where stage not in ('Closed Won', 'Closed Lost') group by advisor_id""",
+        select back, advisor_id, count(*) as n, sum(coalesce(amount, 0)) as v from opportunity, op_now, snaps
+        where stage not in ('Closed Won', 'Closed Lost') and created_date <= today - back group by back, advisor_id""",
     "aum_12m": """
         select back, advisor_id, sum(abs(flow_amount)) as flow
         from fund_flows, fl_now, snaps
@@ -106,7 +103,7 @@ CTES: dict[str, str] = {
                cast(now as date) - s.back as score_date,
                least(100.0, greatest(0.0, coalesce(c.calls, 0) * 3 + coalesce(c.meetings, 0) * 8
                  + coalesce(c.emails, 0) * cast(0.5 as double)
-                 + case when coalesce(c.idle, 999) <= 0 then 10 when c.idle <= 7 then 8 when c.idle <= 14 then 5
+                 + case when coalesce(c.idle, 999) = 0 then 10 when c.idle <= 7 then 8 when c.idle <= 14 then 5
                         when c.idle <= 30 then 2 else 0 end)) as engagement_score,
                coalesce(c.calls, 0) as call_count_30d, coalesce(c.meetings, 0) as meeting_count_30d,
                coalesce(c.emails, 0) as email_count_30d, c.last_ts as last_activity_timestamp,
@@ -117,7 +114,7 @@ CTES: dict[str, str] = {
         from advisor_dim a cross join snaps s cross join ev_now
              left join territory_dim t on a.territory_id = t.territory_id
              left join activity c on a.advisor_id = c.advisor_id and c.back = s.back
-             left join open_opps o on a.advisor_id = o.advisor_id
+             left join open_opps o on a.advisor_id = o.advisor_id and o.back = s.back
              left join aum_12m m on a.advisor_id = m.advisor_id and m.back = s.back
         where a.active""",
     "adv": "select * from adv_hist where back = 0",
@@ -135,9 +132,8 @@ CTES: dict[str, str] = {
     "net_30d": """
         select territory_id, sum(flow_amount) as net from fund_flows, fl_now where flow_date >= today - 30
         group by territory_id""",
-    "thm_hist": "{heat:net_all}",
-    "thm": "select * from thm_hist where as_of_date = (select max(as_of_date) from thm_hist)",
-    "thm_30d_hist": "{heat:net_30d}",
+    "thm": "{heat:net_all}",
+    "thm_30d": "{heat:net_30d}",
     "dq": """
         select 'STAGING' as table_schema, 'advisor_events' as table_name, 'NULL_COUNT' as metric_name,
                'row_timestamp' as column_name, count(*) filter (where row_timestamp is null) as value from advisor_events
@@ -158,11 +154,11 @@ CTES: dict[str, str] = {
                where not exists (select 1 from advisor_dim a where a.advisor_id = e.advisor_id)""",
     "dq_rows": "select dq.*, now as measurement_time from dq, ev_now",
     "a_stale": """
-        select 'EVENTS_STALE' as alert, coalesce(max(row_timestamp) < max(now) - interval 30 minute, false) as fired,
-               cast(date_diff('second', max(row_timestamp), max(now)) as double) as value,
-               case when max(row_timestamp) < max(now) - interval 30 minute
+        select 'EVENTS_STALE' as alert, coalesce(max(row_timestamp) < max(checked_at) - interval 30 minute, false) as fired,
+               cast(date_diff('second', max(row_timestamp), max(checked_at)) as double) as value,
+               case when max(row_timestamp) < max(checked_at) - interval 30 minute
                     then 'Advisor events are stale. Last row: ' || strftime(max(row_timestamp), '%Y-%m-%d %H:%M:%S') end as message
-        from advisor_events, ev_now""",
+        from advisor_events, check_time""",
     "plat": """
         select count(*) filter (where engagement_score < 30) as r, count(*) as n from adv
         where advisor_tier = 'PLATINUM'""",
@@ -190,6 +186,15 @@ CTES: dict[str, str] = {
         select 'FULL_REFRESH' as alert, n > 0 as fired, cast(n as double) as value,
                case when n > 0 then 'Full refreshes in the last hour: ' || n end as message
         from full_runs""",
+    "own_alerts": """
+        select alert, fired from a_stale union all select alert, fired from a_attrition union all select alert, fired from a_outflow
+        union all select alert, fired from a_usage union all select alert, fired from a_refresh""",
+    "alert_log": """
+        select 'ALERT_' || (user_id % 5) as name, 'DISTRIBUTION' as schema_name, ts as scheduled_time,
+               case when value > 100 then 'TRIGGERED' else 'CONDITION_FALSE' end as state
+        from events where event_type = 'error'
+        union all select 'ALERT_' || alert, 'DISTRIBUTION', checked_at, case when fired then 'TRIGGERED' else 'CONDITION_FALSE' end
+        from own_alerts, check_time""",
     "sdocs": """
         select fund_id, fund_name, fund_category, benchmark,
                fund_name || ' is a ' || fund_category || ' fund benchmarked against ' || coalesce(benchmark, 'N/A')
@@ -214,7 +219,7 @@ _HEAT = """
                  avg(a.engagement_score) * cast(0.4 as double)
                  + least(cast(50 as double), cast(coalesce(n.net, 0) as double) / 1e6) * cast(0.4 as double)
                  + (1 - count(*) filter (where a.engagement_score < 30)::double / count(*)) * 20)) end as territory_heat_score
-        from territory_dim t left join adv_hist a on t.territory_id = a.territory_id
+        from territory_dim t left join adv a on t.territory_id = a.territory_id
              left join {net} n on t.territory_id = n.territory_id
         where t.active
         group by t.territory_id, t.territory_name, t.region, t.territory_mgr, n.net, a.score_date"""

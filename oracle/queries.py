@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from oracle.ctes import bm25, d, mil, with_ctes
 
 _SQL: dict[str, str] = {}
@@ -20,7 +22,7 @@ _SQL["load_append"] = f"""
     select flow_type, share_class, count(*) as loaded_rows, {d("sum(flow_amount)")} as amount
     from fund_flows group by flow_type, share_class"""
 _SQL["zero_copy_opportunities"] = _SQL["opportunity_summary"] = f"""
-    select advisor_id, n as open_opportunity_count, {d("v")} as open_opportunity_value from open_opps"""
+    select advisor_id, n as open_opportunity_count, {d("v")} as open_opportunity_value from open_opps where back = 0"""
 _SQL["row_numbering"] = """
     select event_id, n, 'Event_' || lpad(cast(n as varchar), 9, '0') as label
     from (select event_id, row_number() over (order by event_id) - 1 as n from events)"""
@@ -39,7 +41,7 @@ _ENGAGEMENT = f"""
            last_activity_timestamp, cast(days_since_last_activity as integer) as days_since_last_activity,
            {d("aum_amount")} as aum_amount, open_opportunity_count, {d("open_opportunity_value")} as open_opportunity_value
     from adv"""
-_SQL["dt_advisor_engagement_score"] = _SQL["stream_refresh"] = _ENGAGEMENT
+_SQL["dt_advisor_engagement_score"] = _ENGAGEMENT
 _SQL["dt_fund_flow_attribution"] = f"""
     select fund_id, fund_name, fund_category, advisor_id, advisor_name, territory_id, territory_name, flow_date,
            flow_type, {d("flow_amount")} as flow_amount, transaction_count, {d("capture_rate")} as capture_rate
@@ -55,22 +57,17 @@ def _heat_rows(source: str, where: str = "") -> str:
     from {source} {where}"""
 
 
-_SQL["dt_territory_heat_map"] = _heat_rows("thm_hist")
-_SQL["territory_heat_map_30d"] = _heat_rows(
-    "thm_30d_hist", "where as_of_date = (select max(as_of_date) from thm_30d_hist)"
-)
+_SQL["dt_territory_heat_map"] = _heat_rows("thm")
+_SQL["territory_heat_map_30d"] = _heat_rows("thm_30d")
 _SQL["latest_snapshot"] = f"""
     select advisor_id, score_date, {d("engagement_score")} as engagement_score from adv_hist
     where score_date = (select max(score_date) from adv_hist)"""
 _SQL["pipeline_signals"] = f"""
-    select a.advisor_id, a.advisor_name, t.territory_name, a.tier, count(distinct o.opportunity_id) as open_opps,
-           {mil("sum(coalesce(o.amount, 0))", 2)} as pipeline_m,
-           case when count(distinct o.opportunity_id) > 3 then 'HOT'
-                when count(distinct o.opportunity_id) > 1 then 'WARM' else 'COLD' end as signal
-    from advisor_dim a join territory_dim t on a.territory_id = t.territory_id
-         left join opportunity o on a.advisor_id = o.advisor_id and o.stage not in ('Closed Won', 'Closed Lost')
-    group by a.advisor_id, a.advisor_name, t.territory_name, a.tier
-    having count(distinct o.opportunity_id) > 0
+    select a.advisor_id, a.advisor_name, t.territory_name, a.tier, open_opps, {mil("pipeline", 2)} as pipeline_m,
+           case when open_opps > 3 then 'HOT' when open_opps > 1 then 'WARM' else 'COLD' end as signal
+    from (select advisor_id, count(distinct opportunity_id) as open_opps, sum(coalesce(amount, 0)) as pipeline
+          from opportunity where stage not in ('Closed Won', 'Closed Lost') group by advisor_id) deals
+         join advisor_dim a using (advisor_id) join territory_dim t using (territory_id)
     order by pipeline_m desc nulls last, a.advisor_id limit 15"""
 _RISK = """case when engagement_score < 20 or (days_since_last_activity > 21 and aum_amount > 10000000) then 'HIGH'
                 when engagement_score > 40 and days_since_last_activity <= 14 then 'LOW' else 'MEDIUM' end"""
@@ -138,7 +135,7 @@ _SQL["money_format"] = f"""
     select advisor_id, {_money("aum_amount")} as aum, {_money("open_opportunity_value")} as pipeline from adv"""
 
 # -- metric layer -------------------------------------------------------------------------------
-_LOGICAL = {"advisor_eng": "adv_hist", "fund_flows": "ffa", "territory": "thm_hist"}
+_LOGICAL = {"advisor_eng": "adv", "fund_flows": "ffa", "territory": "thm"}
 _DIMENSION = {"advisor_eng": "territory_name", "fund_flows": "fund_category", "territory": "region"}
 _METRICS = {
     "advisor_eng": {
@@ -176,20 +173,20 @@ _SQL["semantic_facts_advisor_eng"] = f"""
     select advisor_id, advisor_name, territory_id, territory_name, advisor_tier, score_date,
            {d("aum_amount")} as aum_amount, {d("engagement_score")} as engagement_score, call_count_30d,
            meeting_count_30d, open_opportunity_count, {d("open_opportunity_value")} as open_opportunity_value
-    from adv_hist"""
+    from adv"""
 _SQL["semantic_facts_fund_flows"] = f"""
     select fund_id, fund_name, fund_category, advisor_id, territory_id, flow_date, flow_type,
            {d("flow_amount")} as flow_amount, {d("capture_rate")} as capture_rate from ffa"""
 _SQL["semantic_facts_territory"] = f"""
     select territory_id, territory_name, region, territory_mgr, as_of_date, {d("total_aum")} as total_aum,
            advisor_count, {d("avg_engagement_score")} as avg_engagement_score, {d("net_flows_30d")} as net_flows_30d,
-           at_risk_advisor_count, {d("territory_heat_score")} as territory_heat_score from thm_hist"""
+           at_risk_advisor_count, {d("territory_heat_score")} as territory_heat_score from thm"""
 _SQL["default_measures_advisor_eng"] = f"""
     select territory_name, {d("sum(aum_amount)")} as aum_amount, {d("avg(engagement_score)")} as engagement_score,
            cast(sum(call_count_30d) as bigint) as call_count_30d, cast(sum(meeting_count_30d) as bigint) as meeting_count_30d,
            cast(sum(open_opportunity_count) as bigint) as open_opportunity_count,
            {d("sum(open_opportunity_value)")} as open_opportunity_value
-    from adv_hist group by territory_name"""
+    from adv group by territory_name"""
 _SQL["default_measures_fund_flows"] = f"""
     select fund_category, {d("sum(flow_amount)")} as flow_amount,
            {d("avg(cast(capture_rate as double))")} as capture_rate from ffa group by fund_category"""
@@ -197,7 +194,7 @@ _SQL["default_measures_territory"] = f"""
     select region, {d("sum(total_aum)")} as total_aum, cast(sum(advisor_count) as bigint) as advisor_count,
            {d("avg(avg_engagement_score)")} as avg_engagement_score, {d("sum(net_flows_30d)")} as net_flows_30d,
            cast(sum(at_risk_advisor_count) as bigint) as at_risk_advisor_count,
-           {d("avg(territory_heat_score)")} as territory_heat_score from thm_hist group by region"""
+           {d("avg(territory_heat_score)")} as territory_heat_score from thm group by region"""
 _SQL["synonym_resolve"] = """
     with asked as (
       select case event_type when 'click' then 'Calls' when 'purchase' then ' meetings' when 'view' then 'phone calls'
@@ -288,7 +285,7 @@ def _advisor_list(where: str) -> str:
 
 _SQL["advisor_list"] = _advisor_list("where territory_name = 'ASIA' and advisor_tier = 'GOLD'")
 _SQL["advisor_list_unfiltered"] = _advisor_list("")
-_SQL["distinct_territories"] = "select distinct territory_name from thm_hist"
+_SQL["distinct_territories"] = "select distinct territory_name from thm"
 _SQL["engagement_board"] = f"""
     select advisor_name, territory_name, advisor_tier as tier, {d("a.engagement_score")} as engagement_score,
            {d("a.aum_amount")} as aum_amount, {d("a.open_opportunity_value")} as open_opportunity_value, call_count_30d,
@@ -310,12 +307,12 @@ _SQL["top_opportunities"] = f"""
     from opportunity order by amount desc nulls last, opportunity_id limit 10"""
 _SQL["ingest_freshness"] = """
     select max(row_timestamp) as latest_event, count(*) as total_events_24h, count(distinct advisor_id) as unique_advisors,
-           date_diff('second', max(row_timestamp), max(now)) as seconds_lag
-    from advisor_events, ev_now where row_timestamp >= now - interval 24 hour"""
+           date_diff('second', max(row_timestamp), max(checked_at)) as seconds_lag
+    from advisor_events, check_time where row_timestamp >= checked_at - interval 24 hour"""
 _SQL["derived_table_health"] = """
     select 'advisor_engagement_score' as table_name, count(*) as row_count, 'Target: 1h' as target_lag from adv
     union all select 'fund_flow_attribution', count(*), 'Target: 1d' from ffa
-    union all select 'territory_heat_map', count(*), 'Target: 4h' from thm_hist"""
+    union all select 'territory_heat_map', count(*), 'Target: 4h' from thm"""
 for _key, _hours in (("alert_history", 24), ("alert_history_6h", 6)):
     _SQL[_key] = f"""
     select name as alert_name, schema_name, scheduled_time, state from alert_log
@@ -424,8 +421,8 @@ _SQL["dq_row_count"] = "select * from dq_rows where metric_name = 'ROW_COUNT'"
 _SQL["dq_orphan_count"] = "select * from dq_rows where metric_name = 'ORPHAN_COUNT'"
 _SQL["dq_freshness"] = """
     select 'STAGING' as table_schema, 'advisor_events' as table_name, 'FRESHNESS' as metric_name, c as column_name,
-           date_diff('second', max(row_timestamp), max(now)) as value, max(now) as measurement_time
-    from advisor_events, ev_now, (values ('row_timestamp'), ('event_timestamp')) v(c) group by c"""
+           date_diff('second', max(row_timestamp), max(checked_at)) as value, max(checked_at) as measurement_time
+    from advisor_events, check_time, (values ('row_timestamp'), ('event_timestamp')) v(c) group by c"""
 _SQL["dq_report"] = _SQL["dq_status_4h"] = "select * from dq_rows"
 _SQL["dq_status"] = """
     select *, case when metric_name in ('NULL_COUNT', 'DUPLICATE_COUNT') and value > 0 then 'WARNING' else 'OK' end as status
@@ -446,9 +443,8 @@ _SQL["alert_report"] = " union all ".join(_SQL[k] for k in _ALERTS)
 # -- streaming ------------------------------------------------------------------------------------
 _SQL["stream_ingest"] = f"""
     select event_id, advisor_id, territory_id, event_type, event_timestamp, fund_id, {d("aum_amount")} as aum_amount,
-           opportunity_id, case when event_type = 'EVENT_ATTENDANCE' then '{{}}'
-             else '{{"host":"local","source":"event_producer","version":"2.0"}}' end as metadata, row_timestamp
-    from located_events"""
+           opportunity_id, case when event_type = 'EVENT_ATTENDANCE' then '{{}}' else replace(metadata, ': ', ':') end as metadata, row_timestamp
+    from located_events where territory_id is not null"""
 _ISO = "strftime({0}, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'"
 _SQL["stream_bad_records"] = """
     select left('{"event_id":"' || event_id || '","advisor_id":"' || advisor_id || '","territory_id":"' || territory_id
@@ -461,8 +457,11 @@ _SQL["stream_stats"] = """
 _SQL["stream_dedup"] = f"""
     select event_id, advisor_id, territory_id, event_type, event_timestamp, {d("aum_amount")} as aum_amount
     from located_events"""
+_BEFORE = "(select * from events where ts < (select date_trunc('day', max(ts)) from events))"
+_FIRST = re.sub(r"\bfrom events\b", f"from {_BEFORE}", with_ctes(_ENGAGEMENT))
+_SQL["stream_refresh"] = f"select *, 1 as delivery from ({_FIRST}) union all select *, 2 as delivery from ({with_ctes(_ENGAGEMENT)})"
 _SQL["stream_quality"] = "select * from dq_rows where table_name = 'advisor_events' and metric_name <> 'ORPHAN_COUNT'"
-_SQL["incremental_flow_merge"] = f"""
+_SQL["incremental_flow_merge"] = _SQL["stream_flow_merge"] = f"""
     select fund_id, advisor_id, territory_id, flow_date, flow_type, {d("sum(flow_amount)")} as flow_amount,
            count(*) as transaction_count
     from fund_flows group by fund_id, advisor_id, territory_id, flow_date, flow_type"""
@@ -471,10 +470,16 @@ _SQL["incremental_flow_merge"] = f"""
 _SQL["search_documents"] = "select * from sdocs"
 _SQL["search_topk"] = bm25("(select doc_id, text as body from documents)", "(select item_id as query_id, text as body from benchmark)")
 _FUND_BODIES = "(select fund_id as doc_id, search_text as body from sdocs)"
-_SQL["fund_search_topk"] = bm25(_FUND_BODIES, "(select query_id, body from fqueries)")
-_SQL["fund_search_filtered"] = bm25(
-    _FUND_BODIES, "(select query_id, body from fqueries)",
-    "where p.doc_id in (select fund_id from fund_dim where fund_category = 'ECONOMY')",
+def _with_fund(sql: str) -> str:
+    return f"select b.*, fund_name, fund_category from ({sql}) b join fund_dim on b.doc_id = fund_id"
+
+
+_SQL["fund_search_topk"] = _with_fund(bm25(_FUND_BODIES, "(select query_id, body from fqueries)"))
+_SQL["fund_search_filtered"] = _with_fund(
+    bm25(
+        _FUND_BODIES, "(select query_id, body from fqueries)",
+        "where p.doc_id in (select fund_id from fund_dim where fund_category = 'ECONOMY')",
+    )
 )
 _SQL["vector_topk"] = """
     select query_id, vec_id, score, rank from (
@@ -485,4 +490,4 @@ _SQL["vector_topk"] = """
             from centroids c join units u on c.pos = u.pos group by c.label, u.vec_id))
     where rank <= 5"""
 
-ORACLE: dict[str, str] = {name: with_ctes(sql) for name, sql in _SQL.items()}
+ORACLE: dict[str, str] = {name: sql if name == "stream_refresh" else with_ctes(sql) for name, sql in _SQL.items()}

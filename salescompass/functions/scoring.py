@@ -43,7 +43,8 @@ def clamp(value: Column, low: float, high: float) -> Column:
 
 
 def recency_points(days: Column) -> Column:
-    return _first_match([(days <= limit, F.lit(points)) for limit, points in RECENCY_POINTS], F.lit(0))
+    (today, most), *later = RECENCY_POINTS
+    return _first_match([(days == today, F.lit(most)), *[(days <= limit, F.lit(points)) for limit, points in later]], F.lit(0))
 
 
 def engagement_score(calls: Column, meetings: Column, emails: Column, days: Column) -> Column:

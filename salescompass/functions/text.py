@@ -14,6 +14,7 @@ def short_label(text: Column, length: int = 6) -> Column:
     return F.substring(F.upper(F.trim(text)), 1, length)
 
 
+# fixed value: the wording of a fund's search document
 def fund_text(name: Column, category: Column, benchmark: Column, asset_class: Column) -> Column:
     """Search document of a fund."""
     return F.concat(

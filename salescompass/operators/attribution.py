@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from salescompass.functions import money
 from salescompass.operators.skew import dimension_join, heavy_keys, skew_join
 
+STATE_KEY = ["fund_id", "advisor_id", "territory_id", "flow_date", "flow_type"]
 FLOW_GRAIN = ["fund_id", "advisor_id", "territory_name", "flow_date", "flow_type"]
 
 
@@ -57,18 +58,17 @@ def flow_attribution(
 
 def flow_state(flows: DataFrame) -> DataFrame:
     """Additive state of the flow facts: one row per advisor, fund, day and type."""
-    return flows.groupBy("fund_id", "advisor_id", "territory_id", "flow_date", "flow_type").agg(
+    return flows.groupBy(*STATE_KEY).agg(
         F.sum("flow_amount").cast("decimal(28,2)").alias("flow_amount"),
         F.count(F.lit(1)).alias("transaction_count"),
     )
 
 
-def merge_flow_batch(batch: DataFrame, state: DataFrame) -> DataFrame:
-    """State after one more batch of raw flows; sums and counts are additive."""
-    keys = ["fund_id", "advisor_id", "territory_id", "flow_date", "flow_type"]
+def merge_flow_batch(state: DataFrame, batch: DataFrame, summed: bool = False) -> DataFrame:
+    """State after one more batch of raw flows (or of its sums); sums and counts are additive."""
     return (
-        state.unionByName(flow_state(batch))
-        .groupBy(*keys)
+        state.unionByName(batch if summed else flow_state(batch))
+        .groupBy(*STATE_KEY)
         .agg(
             F.sum("flow_amount").cast("decimal(28,2)").alias("flow_amount"),
             F.sum("transaction_count").alias("transaction_count"),

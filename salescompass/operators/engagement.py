@@ -7,6 +7,9 @@ advisors, and the joins meet unique keys on both sides.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,19 +21,38 @@ CLOSED_STAGES = ("Closed Won", "Closed Lost")
 ACTIVITY_COLUMNS = {"CALL": "call_count_30d", "MEETING": "meeting_count_30d", "EMAIL": "email_count_30d"}
 
 
+@dataclass(frozen=True)
+class Run:
+    """One run of the engagement table: the instant it sees as now, per source."""
+
+    as_of: object
+    flows_as_of: object = None
+    opps_as_of: object = None  # none: opportunities of any date
+
+
+def activity_by_run(events: DataFrame, runs: Sequence, window_days: int = 30) -> DataFrame:
+    """Per advisor and run: calls, meetings and emails in the window, and the last event of any type."""
+    aggregates, days = {}, []
+    for i, as_of in enumerate(runs):
+        seen = F.col("event_timestamp") <= dates.instant(as_of)
+        recent = seen & (F.col("event_timestamp") >= dates.before(as_of, days=window_days))
+        for kind, name in ACTIVITY_COLUMNS.items():
+            aggregates[f"{name}_{i}"] = F.count_if((F.col("event_type") == kind) & recent)
+        aggregates[f"last_{i}"] = F.max(F.when(seen, F.col("event_timestamp")))
+        days.append(dates.day(as_of))
+    totals = events.groupBy("advisor_id").agg(*[c.alias(n) for n, c in aggregates.items()])
+    rows = F.array(*[
+        F.struct(F.lit(i).alias("run"), *[F.col(f"{n}_{i}").alias(n) for n in ACTIVITY_COLUMNS.values()], F.col(f"last_{i}").alias("last_activity_timestamp"))
+        for i in range(len(runs))
+    ])
+    each = totals.select("advisor_id", F.explode(rows).alias("r")).select("advisor_id", "r.*")
+    idle = F.datediff(F.get(F.array(*days), F.col("run")), F.col("last_activity_timestamp").cast("date"))
+    return each.filter(F.col("last_activity_timestamp").isNotNull()).withColumn("days_since_last_activity", idle)
+
+
 def activity_counts(events: DataFrame, as_of, window_days: int = 30) -> DataFrame:
     """Per advisor: calls, meetings and emails in the window, and the last event of any type."""
-    now = dates.instant(as_of)
-    seen = events.filter(F.col("event_timestamp") <= now)
-    recent = F.col("event_timestamp") >= dates.before(as_of, days=window_days)
-    counts = [
-        F.count_if((F.col("event_type") == kind) & recent).alias(name) for kind, name in ACTIVITY_COLUMNS.items()
-    ]
-    return (
-        seen.groupBy("advisor_id")
-        .agg(*counts, F.max("event_timestamp").alias("last_activity_timestamp"))
-        .withColumn("days_since_last_activity", dates.days_between(F.col("last_activity_timestamp"), as_of))
-    )
+    return activity_by_run(events, [as_of], window_days).drop("run")
 
 
 def open_only(opps: DataFrame, closed=CLOSED_STAGES) -> DataFrame:
@@ -38,24 +60,38 @@ def open_only(opps: DataFrame, closed=CLOSED_STAGES) -> DataFrame:
     return opps.filter(~F.col("stage").isin(*closed))
 
 
+def opportunity_by_run(opps: DataFrame, runs: Sequence, closed=CLOSED_STAGES) -> DataFrame:
+    """Per advisor and run: open opportunities created by then.  Stages are those of today; they have no history."""
+    amount = F.coalesce(F.col("amount"), F.lit(0).cast("decimal(18,2)"))
+    aggregates = []
+    for i, as_of in enumerate(runs):
+        known = F.lit(True) if as_of is None else F.col("created_date") <= dates.day(as_of)
+        aggregates += [F.count_if(known).alias(f"n_{i}"), F.sum(F.when(known, amount)).alias(f"v_{i}")]
+    rows = F.array(*[
+        F.struct(F.lit(i).alias("run"), F.col(f"n_{i}").alias("open_opportunity_count"), F.col(f"v_{i}").alias("open_opportunity_value"))
+        for i in range(len(runs))
+    ])
+    totals = open_only(opps, closed).groupBy("advisor_id").agg(*aggregates)
+    return totals.select("advisor_id", F.explode(rows).alias("r")).select("advisor_id", "r.*").filter("open_opportunity_count > 0")
+
+
 def opportunity_summary(opps: DataFrame, closed=CLOSED_STAGES) -> DataFrame:
-    return (
-        open_only(opps, closed)
-        .groupBy("advisor_id")
-        .agg(
-            F.count(F.lit(1)).alias("open_opportunity_count"),
-            F.sum(F.coalesce(F.col("amount"), F.lit(0).cast("decimal(18,2)"))).alias("open_opportunity_value"),
-        )
-    )
+    return opportunity_by_run(opps, [None], closed).drop("run")
+
+
+def aum_by_run(flows: DataFrame, runs: Sequence, months: int = 12) -> DataFrame:
+    """Absolute flow per advisor and run over the ``months`` before it."""
+    within = [F.col("flow_date").between(dates.months_before(as_of, months), dates.day(as_of)) for as_of in runs]
+    totals = flows.groupBy("advisor_id").agg(*[F.sum(F.when(w, F.abs("flow_amount"))).alias(f"f_{i}") for i, w in enumerate(within)])
+    rows = F.array(*[F.struct(F.lit(i).alias("run"), F.col(f"f_{i}").alias("total_flow_12m")) for i in range(len(runs))])
+    each = totals.select("advisor_id", F.explode(rows).alias("r")).select("advisor_id", "r.*")
+    return each.filter(F.col("total_flow_12m").isNotNull())
 
 
 def aum_summary(flows: DataFrame, as_of, months: int = 12) -> DataFrame:
     """Absolute flow per advisor over the last ``months``."""
-    return (
-        flows.filter(F.col("flow_date").between(dates.months_before(as_of, months), dates.day(as_of)))
-        .groupBy("advisor_id")
-        .agg(F.sum(F.abs("flow_amount")).alias("total_flow_12m"))
-    )
+    in_window = F.col("flow_date").between(dates.months_before(as_of, months), dates.day(as_of))
+    return aum_by_run(flows.filter(in_window), [as_of], months).drop("run")
 
 
 def advisor_engagement(
@@ -67,20 +103,27 @@ def advisor_engagement(
     as_of,
     flows_as_of=None,
 ) -> DataFrame:
-    """One scored row per active advisor.
+    """One scored row per active advisor."""
+    return engagement_runs(advisors, territories, events, opps, flows, [Run(as_of, flows_as_of)])
+
+
+def engagement_runs(
+    advisors: DataFrame, territories: DataFrame, events: DataFrame, opps: DataFrame, flows: DataFrame, runs: Sequence[Run]
+) -> DataFrame:
+    """One scored row per active advisor and run; every fact table is read once for all runs.
 
-    The three summaries keep the advisor partitioning left by their aggregations, so the
-    joins add no shuffle but the advisors' own.
+    The summaries are a row per advisor and run, so the joins meet unique keys.
     """
     active = advisors.filter("active").select(
-        "advisor_id", "advisor_name", "territory_id", F.col("tier").alias("advisor_tier")
+        "advisor_id", "advisor_name", "territory_id", F.col("tier").alias("advisor_tier"),
+        F.explode(F.sequence(F.lit(0), F.lit(len(runs) - 1))).alias("run"),
     )
     names = territories.select("territory_id", "territory_name")
-    flows_as_of = as_of if flows_as_of is None else flows_as_of
+    keys = ["advisor_id", "run"]
     joined = (
-        active.join(activity_counts(events, as_of), "advisor_id", "left")
-        .join(opportunity_summary(opps), "advisor_id", "left")
-        .join(aum_summary(flows, flows_as_of), "advisor_id", "left")
+        active.join(activity_by_run(events, [r.as_of for r in runs]), keys, "left")
+        .join(opportunity_by_run(opps, [r.opps_as_of for r in runs]), keys, "left")
+        .join(aum_by_run(flows, [r.as_of if r.flows_as_of is None else r.flows_as_of for r in runs]), keys, "left")
     )
     joined = dimension_join(joined, names, "territory_id", "left")
     counted = list(ACTIVITY_COLUMNS.values())
@@ -90,7 +133,7 @@ def advisor_engagement(
         "territory_id",
         "territory_name",
         "advisor_tier",
-        dates.day(as_of).alias("score_date"),
+        F.get(F.array(*[dates.day(r.as_of) for r in runs]), F.col("run")).alias("score_date"),
         scoring.engagement_score(*[F.col(c) for c in counted], F.col("days_since_last_activity")).alias(
             "engagement_score"
         ),

@@ -10,15 +10,14 @@ same work; rows of all other keys shuffle exactly as in a plain join.
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROWS_PER_TASK = 2_000_000  # a key below this never needs spreading
-MAX_HEAVY_KEYS = 2_000  # a heavy key holds at least 1 / MAX_HEAVY_KEYS of the rows
+SEEN_PER_TASK = 400  # sampled rows to expect of a key that fills one task
 BROADCAST_ROWS = 1_000_000
-_TRACKED = 20_000
 
 _SALT = "_salt"
 
@@ -27,7 +26,7 @@ def spread(df: DataFrame) -> DataFrame:
     """Spread a plain file scan that has fewer splits than the cluster has cores.
 
     For work that is heavy per row over a few small files.  A large scan has
-    splits enough and is returned as it is, without a shuffle.
+    splits enough and is returned as it is, without a shuffle.  The rows are the same.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
@@ -48,33 +47,28 @@ def dimension_join(
 
 
 def heavy_keys(df: DataFrame, *keys: str, rows_per_task: int | None = None) -> dict[str, dict]:
-    """Per key column, the values too frequent for one task, with their row counts.
+    """Per key column, the values too frequent for one task, with their estimated row counts.
 
-    One pass over the key columns with mergeable frequent-items sketches: no shuffle by
-    key, and each answer is bounded by MAX_HEAVY_KEYS values.  A key the sketch misjudges
-    is only spread differently; join results never depend on these counts.
+    The floor is absolute: a key of ``rows_per_task`` rows is heavy in any table.  Each column
+    is sampled so thinly that such a key shows SEEN_PER_TASK times, and the sample is
+    counted by key like any aggregate.  At most rows / rows_per_task values can be
+    heavy, a few bytes per task of the table.  A key the sample misjudges is only
+    spread differently; join results never depend on these counts.
     """
-    sketches = [F.expr(f"approx_top_k({key}, {MAX_HEAVY_KEYS}, {_TRACKED})") for key in keys]
-    total, *frequent = df.agg(F.count(F.lit(1)), *sketches).first()
-    floor = max(rows_per_task or ROWS_PER_TASK, total / MAX_HEAVY_KEYS)
-    return {
-        key: {e["item"]: e["count"] for e in entries or [] if e["item"] is not None and e["count"] > floor}
-        for key, entries in zip(keys, frequent)
-    }
+    floor = rows_per_task or ROWS_PER_TASK
+    fraction = min(1.0, SEEN_PER_TASK / floor)
+    found = {}
+    for key in keys:
+        seen = (df if fraction == 1.0 else df.select(key).sample(fraction, seed=1)).groupBy(key).agg(F.count(F.lit(1)).alias("seen"))
+        heavy = seen.filter(F.col(key).isNotNull() & (F.col("seen") > floor * fraction))
+        found[key] = {r[0]: r[1] / fraction for r in heavy.collect()}
+    return found
 
 
-def _fan_out(key: str, heavy: dict, rows_per_task: int) -> Column:
-    """Number of salts of a row's key: a power of two, 1 for keys that are not heavy.
-
-    Powers of two leave a dozen or so classes, each one hashed ``IN`` list.
-    """
-    classes = defaultdict(list)
-    for value, rows in heavy.items():
-        classes[2 ** math.ceil(math.log2(max(2, rows / rows_per_task)))].append(value)
-    fan = F
-    for salts, values in sorted(classes.items(), reverse=True):
-        fan = fan.when(F.col(key).isin(values), F.lit(salts))
-    return fan.otherwise(F.lit(1))
+def _salts(df: DataFrame, key: str, heavy: dict, rows_per_task: int) -> DataFrame:
+    """The heavy values with the number of tasks that each needs."""
+    rows = [(value, math.ceil(max(2, n / rows_per_task))) for value, n in heavy.items()]
+    return df.sparkSession.createDataFrame(rows, T.StructType([df.schema[key], T.StructField("_fan", T.IntegerType())]))
 
 
 def skew_join(
@@ -99,7 +93,9 @@ def skew_join(
         return left.join(right, key, how)
     if spread_by is None:
         spread_by = F.xxhash64(*[c for c in left.columns if c != key])
-    fan = _fan_out(key, heavy, rows_per_task or ROWS_PER_TASK)
-    salted_left = left.withColumn(_SALT, F.pmod(spread_by, fan).cast("int"))
-    salted_right = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), fan - 1)))
+    # bounded: at most one row for every ``rows_per_task`` rows of the table
+    salts = F.broadcast(_salts(left, key, heavy, rows_per_task or ROWS_PER_TASK))
+    fan = F.coalesce("_fan", F.lit(1))
+    salted_left = left.withColumn("_by", spread_by).join(salts, key, "left").withColumn(_SALT, F.pmod("_by", fan).cast("int")).drop("_by", "_fan")
+    salted_right = right.join(salts, key, "left").withColumn(_SALT, F.explode(F.sequence(F.lit(0), fan - 1))).drop("_fan")
     return salted_left.join(salted_right, [key, _SALT], how).drop(_SALT)

@@ -65,9 +65,11 @@ def vector_topk(
     """
     types = dict(queries.dtypes), dict(vectors.dtypes)
     schema = f"query_id {types[0]['query_id']}, vec_id {types[1]['vec_id']}, score double"
+    queries = queries.select("query_id", "vector").persist()  # counted, then collected
     n_queries, width = queries.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
     if n_queries * (width or 0) <= max_broadcast:
-        batch = queries.select("query_id", "vector").toPandas()
+        batch = queries.toPandas()
+        queries.unpersist()
         query_ids, matrix = batch["query_id"].to_numpy(), _unit_rows(batch["vector"]) if n_queries else None
 
         def scan(parts):
@@ -81,9 +83,9 @@ def vector_topk(
     return top_per_query(candidates, k, [F.desc("score"), F.asc("vec_id")])
 
 
-def _dealt(blocks: int):
-    """Block of a row by its position in its split: even whatever the ids."""
-    return F.pmod(F.monotonically_increasing_id(), F.lit(blocks)).cast("int")
+def _dealt(key: str, blocks: int):
+    """Block of a row by its id's hash: the same when a task is run again."""
+    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
 
 
 def _blocked(queries, vectors, k, n_queries, rows_per_block, schema) -> DataFrame:
@@ -94,8 +96,8 @@ def _blocked(queries, vectors, k, n_queries, rows_per_block, schema) -> DataFram
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
     # a row gets its own block first and is then repeated for every block of the other side
-    left = vectors.select("vec_id", "embedding", _dealt(vector_blocks).alias("vb")).withColumn("qb", every(query_blocks))
-    right = queries.select("query_id", "vector", _dealt(query_blocks).alias("qb")).withColumn("vb", every(vector_blocks))
+    left = vectors.select("vec_id", "embedding", _dealt("vec_id", vector_blocks).alias("vb")).withColumn("qb", every(query_blocks))
+    right = queries.select("query_id", "vector", _dealt("query_id", query_blocks).alias("qb")).withColumn("vb", every(vector_blocks))
 
     def score(vector_part: pd.DataFrame, query_part: pd.DataFrame) -> pd.DataFrame:
         if vector_part.empty or query_part.empty:

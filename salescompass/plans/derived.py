@@ -8,12 +8,13 @@ attribution, so the slower table never delays it.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salescompass.operators.attribution import flow_attribution
-from salescompass.operators.engagement import advisor_engagement
+from salescompass.operators.engagement import Run, engagement_runs
 from salescompass.operators.territory import territory_heat_map
 from salescompass.sources import sinks
 from salescompass.sources.workspace import Workspace, define
@@ -24,22 +25,19 @@ TARGET_LAG = {
     "fund_flow_attribution": "1 day",
     "territory_heat_map": "4 hours",
 }
-# runs kept in the history table, in days before the newest one
-SNAPSHOT_DAYS_BACK = (0, 7, 14, 21)
+# runs kept in the history table, in days before the newest one: weekly over the 90 days that trends ask for
+SNAPSHOT_DAYS_BACK = tuple(range(0, 91, 7))
 
 
-def engagement_at(ws: Workspace, days_back: int = 0) -> DataFrame:
-    """The engagement table as a run ``days_back`` days before the newest data sees it."""
-    shift = dt.timedelta(days=days_back)
-    return advisor_engagement(
-        ws.table("advisor_dim"),
-        ws.table("territory_dim"),
-        ws.table("advisor_events"),
-        ws.table("opportunity"),
-        ws.table("fund_flows"),
-        as_of=ws.as_of("advisor_events") - shift,
-        flows_as_of=ws.as_of("fund_flows") - shift,
-    )
+def engagement_at(ws: Workspace, days_back: Sequence[int] = (0,)) -> DataFrame:
+    """The engagement table as runs so many days before the newest data see it."""
+
+    def run(back: int) -> Run:
+        shift = dt.timedelta(days=back)
+        return Run(*[ws.as_of(source) - shift for source in ("advisor_events", "fund_flows", "opportunity")])
+
+    facts = [ws.table(t) for t in ("advisor_dim", "territory_dim", "advisor_events", "opportunity", "fund_flows")]
+    return engagement_runs(*facts, [run(back) for back in days_back])
 
 
 def attribution(ws: Workspace) -> DataFrame:
@@ -63,17 +61,12 @@ def _engagement_score(ws: Workspace) -> DataFrame:
 
 
 def _engagement_history(ws: Workspace) -> DataFrame:
-    """One run per snapshot date, each adding its own partition."""
+    """All runs in one pass over the facts, a partition for each score date; the newest is the current table."""
 
     def write(path: str) -> None:
-        for days_back in sorted(SNAPSHOT_DAYS_BACK, reverse=True):
-            current = days_back == 0
-            snapshot = (
-                ws.table("advisor_engagement_score")
-                if current
-                else sinks.stamped(engagement_at(ws, days_back), "computed_at")
-            )
-            sinks.write_snapshot(snapshot, path, "score_date")
+        earlier = sinks.stamped(engagement_at(ws, [d for d in SNAPSHOT_DAYS_BACK if d]), "computed_at")
+        runs = ws.table("advisor_engagement_score").unionByName(earlier)
+        sinks.write_snapshot(runs.hint("rebalance", "score_date"), path, "score_date")
 
     return ws.stored("advisor_engagement_history", write)
 
@@ -88,7 +81,7 @@ def _attribution(ws: Workspace) -> DataFrame:
 def _heat_map(ws: Workspace) -> DataFrame:
     return ws.stored(
         "territory_heat_map",
-        lambda path: sinks.overwrite(heat_map(ws, ws.table("advisor_engagement_history")), path),
+        lambda path: sinks.overwrite(heat_map(ws, ws.table("advisor_engagement_score")), path),
     )
 
 

@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fixtures.messages import DELIVERIES, deliveries
 from salescompass.functions import dates, money, scoring, text
 from salescompass.operators import alerts, attribution, engagement, quality, rows, search, vectors
 from salescompass.operators.classify import classify
 from salescompass.operators.skew import spread
 from salescompass.plans import context, derived, questions, reports, semantic
 from salescompass.plans.verified import LOGICAL_TABLES, VERIFIED, VIEWS, current_advisors, current_territories
-from salescompass.sources import sinks
-from salescompass.sources.landing import EVENT_TYPES
-from salescompass.sources.workspace import Workspace
-from salescompass.streaming import feed, ingest, refresh
+from salescompass.sources import sinks, telemetry
+from salescompass.sources.workspace import Workspace, define
+from salescompass.streaming import ingest, refresh
 
 Query = Callable[[Workspace], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -66,6 +68,11 @@ def _events_now(ws: Workspace):
     return ws.as_of("advisor_events")
 
 
+def _checked_at(ws: Workspace):
+    """When checks of freshness run: at the close of the last day with recorded usage, not at the newest event."""
+    return dt.datetime.combine(ws.as_of("usage_history") + dt.timedelta(days=1), dt.time())
+
+
 # -- landing tables -----------------------------------------------------------------------
 _COUNTED = ["territory_dim", "fund_dim", "advisor_dim", "advisor_events", "fund_flows", "opportunity"]
 
@@ -94,8 +101,9 @@ def _(ws):
 
     def write(path):
         flows = ws.table("fund_flows")
-        for kept in (F.col("flow_type") == "INFLOW", F.col("flow_type") != "INFLOW"):
-            sinks.append(flows.filter(kept).select("flow_type", "share_class", "flow_amount"), path)
+        inflow = F.col("flow_type").eqNullSafe("INFLOW")
+        for kept in (inflow, ~inflow):
+            sinks.append(sinks.stamped(flows.filter(kept).select("flow_type", "share_class", "flow_amount")), path)
 
     loaded = ws.stored("appended_flows", write)
     return loaded.groupBy("flow_type", "share_class").agg(
@@ -289,6 +297,7 @@ METRIC_DIMENSION = {"advisor_eng": "territory_name", "fund_flows": "fund_categor
 
 
 def _metric(table: str, name: str) -> Query:
+    """Over the current book: the layer itself takes the newest run of a state table."""
     return lambda ws: semantic.metric_query(table, _Logical(ws)[table], [name], [METRIC_DIMENSION[table]])
 
 
@@ -330,8 +339,9 @@ def _(ws):
     asked = {"click": "Calls", "purchase": " meetings", "view": "phone calls", "signup": "AUM", "error": "region"}
     terms = F.create_map(*[F.lit(x) for pair in asked.items() for x in pair])
     questions_ = ws.source("events").select(F.element_at(terms, F.col("event_type")).alias("term"))
-    resolved = semantic.synonym_resolve(questions_, semantic.synonyms(ws.spark))
-    return resolved.groupBy("term", "logical_table", "kind", "canonical").agg(F.count(F.lit(1)).alias("asked"))
+    asked_terms = questions_.groupBy("term").agg(F.count(F.lit(1)).alias("asked"))
+    resolved = semantic.synonym_resolve(asked_terms, semantic.synonyms(ws.spark))
+    return resolved.select("term", "logical_table", "kind", "canonical", "asked")
 
 
 @query("logical_view_sql")
@@ -413,7 +423,7 @@ def _(ws):
 
 @query("ingest_freshness")
 def _(ws):
-    return reports.ingest_freshness(ws.table("advisor_events"), _events_now(ws))
+    return reports.ingest_freshness(ws.table("advisor_events"), _checked_at(ws))
 
 
 @query("derived_table_health")
@@ -601,7 +611,7 @@ def _(ws):
 @query("dq_freshness")
 def _(ws):
     checks = [("FRESHNESS", "row_timestamp"), ("FRESHNESS", "event_timestamp")]
-    return quality.dq_report(ws.table("advisor_events"), "advisor_events", "STAGING", checks, _events_now(ws))
+    return quality.dq_report(ws.table("advisor_events"), "advisor_events", "STAGING", checks, _checked_at(ws))
 
 
 @query("dq_report")
@@ -633,7 +643,7 @@ def _(ws):
 
 # -- alerts -----------------------------------------------------------------------------------------
 ALERTS: dict[str, Query] = {
-    "alert_events_stale": lambda ws: alerts.events_stale(ws.table("advisor_events"), _events_now(ws)),
+    "alert_events_stale": lambda ws: alerts.events_stale(ws.table("advisor_events"), _checked_at(ws)),
     "alert_high_attrition": lambda ws: alerts.high_attrition(ws.table("advisor_engagement_score"), _events_now(ws)),
     "alert_fund_outflows": lambda ws: alerts.fund_outflows(ws.table("fund_flows"), _flows_now(ws)),
     "alert_usage_budget": lambda ws: alerts.usage_budget(ws.table("usage_history"), ws.as_of("usage_history")),
@@ -647,28 +657,47 @@ def _(ws):
     return alerts.alert_report([condition(ws) for condition in ALERTS.values()])
 
 
+def _alert_history(ws: Workspace) -> DataFrame:
+    """Recorded alert runs, and the run of our own conditions appended to them."""
+
+    def write(path):
+        sinks.append(alerts.as_history(QUERIES["alert_report"](ws), _checked_at(ws)), path)
+
+    return telemetry.alert_history(ws.spark, ws.source_dir).unionByName(ws.stored("alert_runs", write))
+
+
+define("alert_history", _alert_history)
+
+
 # -- streaming --------------------------------------------------------------------------------------
 def _feed(ws: Workspace) -> str:
+    """Message files, one for each delivery."""
+
     def write() -> str:
         path = ws.path("message_feed")
-        feed.messages(ws.table("located_events")).write.mode("overwrite").text(path)
+        sent = deliveries(ws.table("located_events"))
+        sent.repartition(DELIVERIES, "delivery").sortWithinPartitions("delivery").write.mode("overwrite").partitionBy("delivery").text(path)
         return path
 
     return ws.once("message_feed", write)
 
 
-def _ingested(ws: Workspace) -> dict[str, str]:
+def _ingest(ws: Workspace, name: str, **options) -> dict[str, str]:
     """Run the ingest query over the message files once; where its outputs are."""
 
     def run() -> dict[str, str]:
-        paths = {part: ws.path(f"ingest/{part}") for part in ("events", "dead_letters", "stats")}
-        raw = ingest.read_files(ws.spark, _feed(ws))
+        paths = {part: ws.path(f"{name}/{part}") for part in ("events", "dead_letters", "stats")}
+        raw = ingest.read_files(ws.spark, _feed(ws), **options).select("value")
         ingest.ingest_stream(
-            raw, paths["events"], paths["dead_letters"], paths["stats"], ws.path("ingest/checkpoint")
+            raw, paths["events"], paths["dead_letters"], paths["stats"], ws.path(f"{name}/checkpoint")
         ).awaitTermination()
         return paths
 
-    return ws.once("ingest", run)
+    return ws.once(name, run)
+
+
+def _ingested(ws: Workspace) -> dict[str, str]:
+    return _ingest(ws, "ingest")
 
 
 @query("stream_ingest")
@@ -690,38 +719,47 @@ def _(ws):
 
 @query("stream_dedup")
 def _(ws):
-    def run() -> str:
-        sink = ws.path("dedup/events")
-        good = ingest.good_rows(ingest.parse(ingest.read_files(ws.spark, _feed(ws))))
-        unique = ingest.dedup_within_watermark(good)
-        unique.writeStream.option("checkpointLocation", ws.path("dedup/checkpoint")).trigger(availableNow=True).start(
-            sink, format="parquet", outputMode="append"
-        ).awaitTermination()
-        return sink
-
-    kept = ws.spark.read.parquet(ws.once("dedup", run))
-    return kept.select("event_id", "advisor_id", "territory_id", "event_type", "event_timestamp", "aum_amount")
+    """One file per batch: repeats come in a later batch than their first, and first messages of earlier days come late."""
+    landed = ingest.landed_events(ws.spark, _ingest(ws, "ingest_by_file", maxFilesPerTrigger=1)["events"])
+    return landed.select("event_id", "advisor_id", "territory_id", "event_type", "event_timestamp", "aum_amount")
 
 
 @query("stream_refresh")
 def _(ws):
-    """The engagement table rebuilt from streamed events."""
+    """The engagement table rebuilt after each of two deliveries; the second brings the newest day.
 
-    def run() -> str:
-        target, sink = ws.path("refresh/engagement"), _ingested(ws)["events"]
-        landed = ws.spark.read.parquet(sink)
-        changes = ws.spark.readStream.schema(landed.schema).parquet(sink)
+    Each rebuild takes its "now" from the events landed by then.
+    """
+
+    def run() -> list[str]:
+        target, source = ws.path("refresh/engagement"), ws.path("refresh/events")
+        events = ingest.landed_events(ws.spark, _ingested(ws)["events"])
+        newest_day = F.date_trunc("day", events.agg(F.max("event_timestamp")).scalar())
+        late = F.col("event_timestamp") >= newest_day
+
+        def landed() -> DataFrame:
+            return ws.spark.read.schema(events.schema).parquet(source)
+
+        def now():
+            return landed().agg(F.max("event_timestamp")).first()[0]
 
         def rebuild() -> DataFrame:
             return engagement.advisor_engagement(
-                ws.table("advisor_dim"), ws.table("territory_dim"), ingest.landed_events(ws.spark, sink),
-                ws.table("opportunity"), ws.table("fund_flows"), _events_now(ws), _flows_now(ws),
+                ws.table("advisor_dim"), ws.table("territory_dim"), landed(), ws.table("opportunity"), ws.table("fund_flows"),
+                now(), _flows_now(ws),
             )
 
-        refresh.refresh_stream(changes, rebuild, target, ws.path("refresh/checkpoint")).awaitTermination()
-        return target
+        for kept in (~late, late):
+            sinks.append(events.filter(kept), source)
+            changes = ws.spark.readStream.schema(events.schema).parquet(source)
+            refresh.refresh_stream(
+                changes, rebuild, target, ws.path("refresh/checkpoint"), history=ws.path("refresh/history"), as_of=now
+            ).awaitTermination()
+        return refresh.finished_versions(ws.spark, target)
 
-    return refresh.latest_version(ws.spark, ws.once("refresh", run))
+    runs = ws.once("refresh", run)
+    tables = [ws.spark.read.parquet(path).withColumn("delivery", F.lit(i + 1)) for i, path in enumerate(runs)]
+    return reduce(DataFrame.unionByName, tables)
 
 
 @query("stream_quality")
@@ -740,7 +778,7 @@ def _(ws):
         refresh.refresh_stream(changes, measure, target, ws.path("quality/checkpoint")).awaitTermination()
         return target
 
-    return ws.spark.read.parquet(ws.once("quality", run)).drop("version")
+    return refresh.latest_version(ws.spark, ws.once("quality", run))
 
 
 @query("incremental_flow_merge")
@@ -751,7 +789,24 @@ def _(ws):
     state = ws.stored(
         "flow_state", lambda path: sinks.overwrite(attribution.flow_state(flows.filter(F.col("flow_date") < cutoff)), path)
     )
-    return attribution.merge_flow_batch(flows.filter(F.col("flow_date") >= cutoff), state)
+    return attribution.merge_flow_batch(state, flows.filter(F.col("flow_date") >= cutoff))
+
+
+@query("stream_flow_merge")
+def _(ws):
+    """The same state kept by a stream that takes the flows in several batches."""
+
+    def run() -> str:
+        state, source = ws.path("flow_merge/state"), ws.path("flow_merge/flows")
+        flows = ws.table("fund_flows")
+        newest = F.date_sub(dates.day(_flows_now(ws)), 90)
+        for kept in (F.col("flow_date") < newest, F.col("flow_date") >= newest):
+            sinks.append(flows.filter(kept), source)
+            changes = ws.spark.readStream.schema(flows.schema).parquet(source)
+            refresh.merge_flows_stream(changes, state, ws.path("flow_merge/checkpoint")).awaitTermination()
+        return state
+
+    return refresh.current_flows(ws.spark, ws.once("flow_merge", run)).drop("month")
 
 
 # -- retrieval --------------------------------------------------------------------------------------
@@ -763,13 +818,16 @@ def _fund_documents(ws: Workspace) -> DataFrame:
 
 
 def _index(ws: Workspace, name: str, docs: DataFrame) -> search.Index:
-    """Search index of (doc_id, text), stored clustered by term."""
-    stored = ws.stored(
-        f"{name}_postings", lambda path: sinks.overwrite(search.postings(spread(docs)), path, ["term", "doc_id"])
-    )
-    terms = ws.stored(f"{name}_terms", lambda path: sinks.overwrite(search.term_stats(stored), path))
-    corpus = ws.stored(f"{name}_corpus", lambda path: sinks.overwrite(search.corpus_stats(docs, stored), path))
-    return search.Index(stored, terms, corpus)
+    """Search index of (doc_id, text, attributes), stored with a row per document."""
+    documents = ws.stored(f"{name}_index", lambda path: sinks.overwrite(search.index_documents(spread(docs)), path))
+    terms = ws.stored(f"{name}_terms", lambda path: sinks.overwrite(search.term_stats(documents), path))
+    corpus = ws.stored(f"{name}_corpus", lambda path: sinks.overwrite(search.corpus_stats(documents), path))
+    return search.Index(documents, terms, corpus)
+
+
+def _fund_index(ws: Workspace) -> search.Index:
+    docs = _fund_documents(ws).select(F.col("fund_id").alias("doc_id"), "fund_name", "fund_category", F.col("search_text").alias("text"))
+    return _index(ws, "funds", docs)
 
 
 @query("search_documents")
@@ -793,16 +851,14 @@ def _fund_queries(ws: Workspace) -> DataFrame:
 
 @query("fund_search_topk")
 def _(ws):
-    docs = _fund_documents(ws).select(F.col("fund_id").alias("doc_id"), F.col("search_text").alias("text"))
-    return search.search_topk(search.query_terms(_fund_queries(ws)), _index(ws, "funds", docs))
+    """Fund id, name and category of the five best funds for every question."""
+    return search.search_topk(search.query_terms(_fund_queries(ws)), _fund_index(ws))
 
 
 @query("fund_search_filtered")
 def _(ws):
-    """The same questions answered with ECONOMY funds only."""
-    docs = _fund_documents(ws).select(F.col("fund_id").alias("doc_id"), F.col("search_text").alias("text"))
-    allowed = ws.table("fund_dim").filter(F.col("fund_category") == "ECONOMY").select(F.col("fund_id").alias("doc_id"))
-    return search.search_topk(search.query_terms(_fund_queries(ws)), _index(ws, "funds", docs), allowed=allowed)
+    """The same questions answered with ECONOMY funds only, by the category kept in the index."""
+    return search.search_topk(search.query_terms(_fund_queries(ws)), _fund_index(ws), where=F.col("fund_category") == "ECONOMY")
 
 
 @query("vector_topk")

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salescompass.operators.rows import latest_snapshot
+
 _AGGREGATES = {"sum": F.sum, "avg": lambda c: F.avg(c.cast("double"))}
 
 
@@ -43,6 +45,7 @@ class LogicalTable:
     facts: tuple[Fact, ...]
     dimensions: tuple[Dimension, ...]
     metrics: tuple[Metric, ...]
+    snapshot: str | None = None  # the date of a run, in tables whose rows are a state and not a flow
 
     def metric(self, name: str) -> Metric:
         return next(m for m in self.metrics if m.name == name)
@@ -80,6 +83,7 @@ SEMANTIC: dict[str, LogicalTable] = {
             Metric("total_pipeline_value", "sum", "open_opportunity_value",
                    ("pipeline value", "pipeline", "opportunity amount", "potential AUM")),
         ),
+        snapshot="score_date",
     ),
     "fund_flows": LogicalTable(
         facts=(Fact("flow_amount", "sum"), Fact("capture_rate", "avg")),
@@ -127,34 +131,55 @@ SEMANTIC: dict[str, LogicalTable] = {
             Metric("avg_heat_score", "avg", "territory_heat_score",
                    ("heat score", "territory score", "health score")),
         ),
+        snapshot="as_of_date",
     ),
 }
 # ----------------------------------------------------------------------------------------
 
 
-def semantic_rows(table: str, df: DataFrame) -> DataFrame:
+def _of_run(logical: LogicalTable, df: DataFrame, dims: Sequence[str], all_runs: bool) -> DataFrame:
+    """The newest run of a state table, unless the answer is by run date or all runs are asked for.
+
+    A book counted at several dates must not be added up.
+    """
+    if logical.snapshot is None or all_runs or logical.snapshot in dims:
+        return df
+    return latest_snapshot(df, logical.snapshot)
+
+
+def semantic_rows(table: str, df: DataFrame, all_runs: bool = False) -> DataFrame:
     """Row-level view of a logical table: its dimensions and facts only."""
     logical = SEMANTIC[table]
-    return df.select(*[d.name for d in logical.dimensions], *[f.name for f in logical.facts])
+    return _of_run(logical, df, (), all_runs).select(*[d.name for d in logical.dimensions], *[f.name for f in logical.facts])
 
 
 def metric_query(
-    table: str, df: DataFrame, metrics: Sequence[str], dims: Sequence[str] = (), filters: Sequence[Column] = ()
+    table: str,
+    df: DataFrame,
+    metrics: Sequence[str],
+    dims: Sequence[str] = (),
+    filters: Sequence[Column] = (),
+    all_runs: bool = False,
 ) -> DataFrame:
-    """Metrics of one logical table by some of its dimensions."""
+    """Metrics of one logical table by some of its dimensions.
+
+    ``all_runs`` is for a filter that picks a run itself.
+    """
     logical = SEMANTIC[table]
     unknown = set(dims) - {d.name for d in logical.dimensions}
     if unknown:
         raise ValueError(f"not dimensions of {table}: {sorted(unknown)}")
+    df = _of_run(logical, df, dims, all_runs)
     for predicate in filters:
         df = df.filter(predicate)
     return df.groupBy(*dims).agg(*[logical.metric(m).column() for m in metrics])
 
 
-def default_measures(table: str, df: DataFrame, dims: Sequence[str] = ()) -> DataFrame:
+def default_measures(table: str, df: DataFrame, dims: Sequence[str] = (), all_runs: bool = False) -> DataFrame:
     """Every fact of a logical table under its default aggregation."""
-    facts = SEMANTIC[table].facts
-    return df.groupBy(*dims).agg(*[_AGGREGATES[f.default_aggregation](F.col(f.name)).alias(f.name) for f in facts])
+    logical = SEMANTIC[table]
+    aggregates = [_AGGREGATES[f.default_aggregation](F.col(f.name)).alias(f.name) for f in logical.facts]
+    return _of_run(logical, df, dims, all_runs).groupBy(*dims).agg(*aggregates)
 
 
 def describe(spark: SparkSession) -> DataFrame:

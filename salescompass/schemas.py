@@ -52,7 +52,7 @@ FUND_FLOWS = _struct(
 OPPORTUNITY = _struct(
     _required("opportunity_id"), _required("advisor_id"), _required("territory_id"), _required("stage"),
     _optional("amount", MONEY), _optional("close_date", T.DateType()), _optional("fund_id"),
-    _optional("created_date", _TS), _optional("last_modified", _TS), _required("row_timestamp", _TS),
+    _optional("created_date", T.DateType()), _optional("last_modified", T.DateType()), _required("row_timestamp", _TS),
 )
 
 ACCOUNT = _struct(
@@ -78,8 +78,3 @@ MESSAGE = _struct(
     _optional("event_timestamp"), _optional("fund_id"), _optional("aum_amount", T.DoubleType()),
     _optional("opportunity_id"), _optional("metadata"), _optional("row_timestamp"), _optional("_corrupt"),
 )
-
-DQ_RESULTS = _struct(
-    _required("table_schema"), _required("table_name"), _required("metric_name"), _optional("column_name"),
-    _required("value", T.LongType()), _required("measurement_time", _TS),
-)

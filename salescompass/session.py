@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -29,18 +30,21 @@ def build_session(app: str = "salescompass", master: str | None = None, **conf:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session may fall back to a folder of its own; on a cluster a
-    machine-local folder would be invisible to the other executors.
+    Only a session whose one process does all the work (``local[n]``) may go without: it gets a
+    folder of its own, and the setting then names it.  ``use_local_dir`` lets the caller choose.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    fallback = tempfile.mkdtemp(prefix="salescompass-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+    return use_local_dir(spark, tempfile.mkdtemp(prefix="salescompass-"))
+
+
+def use_local_dir(spark: SparkSession, path: str) -> str:
+    spark.conf.set("spark.checkpoint.dir", path)
+    spark.sparkContext.setCheckpointDir(path)
+    return path
 
 
 def run_dir(spark: SparkSession, *parts: str) -> str:

@@ -118,7 +118,8 @@ def located_events(events: DataFrame, advisors: DataFrame) -> DataFrame:
     where = advisors.select("advisor_id", "territory_id")
     positioned = events.withColumn("_row", F.monotonically_increasing_id())
     heavy = heavy_keys(events, "advisor_id")["advisor_id"]
-    return skew_join(positioned, where, "advisor_id", spread_by=F.col("_row"), heavy=heavy).drop("_row")
+    # events of unknown advisors stay, without a territory
+    return skew_join(positioned, where, "advisor_id", "left", spread_by=F.col("_row"), heavy=heavy).drop("_row")
 
 
 def fund_flows(spark: SparkSession, source_dir: str, n_suppliers: int, n_nations: int) -> DataFrame:

@@ -9,12 +9,14 @@ queries scan a finished table and a lost executor costs a re-read, not a recompu
 from __future__ import annotations
 
 import datetime as dt
+import importlib
 import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salescompass.schemas import LANDING
 from salescompass.session import digest, run_dir
 from salescompass.sources import landing, sinks, telemetry
 
@@ -41,7 +43,11 @@ class Workspace:
         which is how a shared table replaces a landing table.
         """
         if name in self.external:
-            return self.external[name]()
+            return declared(self.external[name](), name)
+        if name == "account":
+            raise KeyError("account has no landing files: name its table in ``external``")
+        if name not in _TABLES:
+            importlib.import_module("salescompass.plans.derived")  # which defines the derived tables
         return _TABLES[name](self)
 
     def source(self, name: str) -> DataFrame:
@@ -91,6 +97,12 @@ class Workspace:
         return self.spark.read.schema(schema).parquet(path)
 
 
+def declared(df: DataFrame, name: str) -> DataFrame:
+    """A table from outside with the declared type of each column it shares with our schema."""
+    types = {f.name: f.dataType for f in LANDING[name].fields} if name in LANDING else {}
+    return df.select(*[F.col(c).cast(types[c]) if c in types else F.col(c) for c in df.columns])
+
+
 _TIME_COLUMNS = {
     "advisor_events": "event_timestamp",
     "fund_flows": "flow_date",

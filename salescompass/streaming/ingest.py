@@ -1,10 +1,11 @@
 """Event messages -> landing table.
 
-One query reads the source once.  Each micro-batch is parsed, split into good rows and
-dead letters, reduced to one row per event id, checked against the rows already landed
-and appended.  Delivery is at least once, so the same message may come again, in the
-same batch or much later; a repeat carries the same event time, so looking at the landed
-rows of the batch's own dates finds it however late it is.
+One query reads the source once, in batches of bounded size.  Each batch is parsed, split
+into good rows and dead letters, reduced to one row per event, checked against the rows
+already landed and appended.  Delivery is at least once, so the same message may come again,
+in the same batch or much later.  A repeat has the event id and the event date of its first
+delivery, whatever batch either comes in, so looking at the landed rows of the batch's own
+dates finds it however late it is; late first deliveries land like any other.
 
 A batch that is run again after a failure finds its own rows landed and adds none, and its
 dead letters and counters overwrite the folder named after the batch.
@@ -16,6 +17,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
@@ -23,16 +25,24 @@ from salescompass.schemas import ADVISOR_EVENTS, MESSAGE
 
 REQUIRED = ("event_id", "advisor_id", "territory_id", "event_type", "event_timestamp", "row_timestamp")
 EMPTY_METADATA = "{}"
+EVENT_KEY = ("event_date", "event_id")
+FILES_PER_BATCH = 1000
+KAFKA_PER_BATCH = 5_000_000
+
+SINK = T.StructType(
+    [f for f in ADVISOR_EVENTS] + [T.StructField("batch_id", T.LongType()), T.StructField("event_date", T.DateType())]
+)
 
 
 def read_files(spark: SparkSession, path: str, **options) -> DataFrame:
-    """Streaming lines of a growing folder, one message per line."""
-    return spark.readStream.options(**options).text(path)
+    """Streaming lines of a growing folder, one message per line, so many files at a time."""
+    return spark.readStream.options(**{"maxFilesPerTrigger": FILES_PER_BATCH, **options}).schema("value string").text(path)
 
 
 def read_kafka(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:
     """Streaming values of a topic (needs Spark's Kafka package on the class path)."""
     source = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+    source = source.option("maxOffsetsPerTrigger", KAFKA_PER_BATCH)
     return source.options(**options).load().select(F.col("value").cast("string").alias("value"))
 
 
@@ -69,28 +79,32 @@ def bad_rows(parsed: DataFrame) -> DataFrame:
 
 
 def one_per_event(rows: DataFrame) -> DataFrame:
-    """One row per event id: the earliest loaded.
+    """One row per event (id and date): the earliest loaded.
 
     ``min`` is combined on the map side, so a message repeated a million times
     leaves each task as one row.
     """
-    rest = [c for c in rows.columns if c not in ("event_id", "row_timestamp")]
+    rest = [c for c in rows.columns if c not in (*EVENT_KEY, "row_timestamp")]
     first = F.min(F.struct("row_timestamp", *rest)).alias("r")
-    return rows.groupBy("event_id").agg(first).select("event_id", "r.*").select(*rows.columns)
+    return rows.groupBy(*EVENT_KEY).agg(first).select(*EVENT_KEY, "r.*").select(*rows.columns)
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+def landed_on(spark: SparkSession, sink: str, days: list) -> DataFrame | None:
+    """Landed rows of the given days: only their partitions are read.  None before the first landing."""
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+        table = spark.read.schema(SINK).parquet(sink)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
+    return table.filter(F.col("event_date").isin(days))
 
 
 def not_landed(rows: DataFrame, landed: DataFrame | None) -> DataFrame:
     """Rows whose event is not landed yet."""
     if landed is None:
         return rows
-    return rows.join(landed.select("event_date", "event_id"), ["event_date", "event_id"], "left_anti")
+    return rows.join(landed.select(*EVENT_KEY), list(EVENT_KEY), "left_anti")
 
 
 def land_batch(sink: str, dead_letters: str, stats: str) -> Callable[[DataFrame, int], None]:
@@ -100,20 +114,14 @@ def land_batch(sink: str, dead_letters: str, stats: str) -> Callable[[DataFrame,
         spark = batch.sparkSession
         parsed = parse(batch).withColumn("event_date", F.to_date("event_timestamp")).persist()
         is_bad = F.col("error").isNotNull()
-        good_date = F.when(~is_bad, F.col("event_date"))
-        received, errors, first, last = parsed.agg(
-            F.count(F.lit(1)), F.count_if(is_bad), F.min(good_date), F.max(good_date)
+        received, errors, days = parsed.agg(
+            F.count(F.lit(1)), F.count_if(is_bad), F.collect_set(F.when(~is_bad, F.col("event_date")))
         ).first()
-
-        def landed() -> DataFrame | None:
-            """Landed rows of the dates this batch touches (partition pruning)."""
-            table = _read_or_none(spark, sink) if first else None
-            return table.filter(F.col("event_date").between(F.lit(first), F.lit(last))) if table else None
-
-        new = not_landed(one_per_event(good_rows(parsed)), landed())
+        landed = landed_on(spark, sink, days) if days else None
         (
-            new.withColumn("metadata", F.coalesce(F.try_parse_json("metadata"), F.parse_json(F.lit(EMPTY_METADATA))))
-            .withColumn("batch_id", F.lit(batch_id))
+            not_landed(one_per_event(good_rows(parsed)), landed)
+            .withColumn("metadata", F.coalesce(F.try_parse_json("metadata"), F.parse_json(F.lit(EMPTY_METADATA))))
+            .withColumn("batch_id", F.lit(batch_id).cast("long"))
             # AQE merges small dates and splits a crowded one
             .hint("rebalance", "event_date")
             .write.mode("append")
@@ -121,8 +129,8 @@ def land_batch(sink: str, dead_letters: str, stats: str) -> Callable[[DataFrame,
             .parquet(sink)
         )
         bad_rows(parsed).write.mode("overwrite").parquet(f"{dead_letters}/batch_id={batch_id}")
-        done = landed()
-        inserted = done.filter(F.col("batch_id") == batch_id).count() if done is not None else 0
+        # rows of this batch, however often it ran: files of other batches are skipped by their statistics
+        inserted = landed_on(spark, sink, days).filter(F.col("batch_id") == batch_id).count() if days else 0
         counters = spark.createDataFrame([(received, inserted, errors)], "received long, inserted long, errors long")
         counters.write.mode("overwrite").parquet(f"{stats}/batch_id={batch_id}")
         parsed.unpersist()
@@ -144,20 +152,4 @@ def ingest_stream(
 
 def landed_events(spark: SparkSession, sink: str) -> DataFrame:
     """The landed table in its declared column order."""
-    return spark.read.parquet(sink).select(*ADVISOR_EVENTS.fieldNames())
-
-
-def dedup_within_watermark(rows: DataFrame, delay: str = "1 hour", fan_out: int = 16) -> DataFrame:
-    """Stateful alternative without a sink lookup: state is bounded by the watermark.
-
-    A first pass keyed by (event id, source task) takes the copies of a much repeated
-    message off the hot key; the second pass keeps one row per event id.  Repeats
-    arriving after the watermark pass through.
-    """
-    marked = (
-        rows.withColumn("_time", F.col("event_timestamp").cast("timestamp"))
-        .withWatermark("_time", delay)
-        .withColumn("_task", F.pmod(F.spark_partition_id(), F.lit(fan_out)))
-    )
-    local = marked.dropDuplicatesWithinWatermark(["event_id", "_task"])
-    return local.dropDuplicatesWithinWatermark(["event_id"]).drop("_time", "_task")
+    return spark.read.schema(SINK).parquet(sink).select(*ADVISOR_EVENTS.fieldNames())

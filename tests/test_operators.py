@@ -49,6 +49,24 @@ def test_dimension_join_beyond_the_limit(spark, hot):
         assert collected(dimension_join(hot, right, "k", how, limit=399)) == plain
 
 
+def test_many_keys_above_the_floor_are_all_found(spark):
+    """The floor is absolute: 3,000 heavy keys are 3,000 heavy keys in a table of any size."""
+    df = spark.range(3000 * 12).select((F.col("id") % 3000).alias("k")).union(spark.range(50_000).select((F.col("id") + 10_000).alias("k")))
+    heavy = heavy_keys(df, "k", rows_per_task=10)["k"]
+    assert set(heavy) == set(range(3000)) and set(heavy.values()) == {12.0}
+    right = df.distinct().withColumn("v", F.col("k") * 2)
+    joined = skew_join(df.withColumn("_row", F.monotonically_increasing_id()), right, "k", spread_by=F.col("_row"), heavy=heavy, rows_per_task=10)
+    assert joined.count() == df.count() and joined.filter("v != 2 * k").isEmpty()
+
+
+def test_sampled_heavy_keys(spark):
+    df = spark.range(400_000).select(F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+    heavy = heavy_keys(df, "k", rows_per_task=50_000)["k"]
+    assert set(heavy) == {-1} and abs(heavy[-1] / 200_000 - 1) < 0.2
+    plan = df.sample(0.01, 1).groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
 def test_small_inputs_have_no_heavy_keys(hot):
     assert heavy_keys(hot, "k") == {"k": {}}
 
@@ -96,7 +114,7 @@ def test_latest_snapshot(spark):
 def test_merge_flow_batch(spark, ws):
     flows = ws.table("fund_flows")
     older, newer = F.col("flow_date") < "1998-01-01", F.col("flow_date") >= "1998-01-01"
-    merged = merge_flow_batch(flows.filter(newer), flow_state(flows.filter(older)))
+    merged = merge_flow_batch(flow_state(flows.filter(older)), flows.filter(newer))
     assert collected(merged) == collected(flow_state(flows))
 
 
@@ -128,25 +146,34 @@ DOCS = [
 
 @pytest.fixture(scope="module")
 def index(spark):
-    docs = spark.createDataFrame(DOCS, "doc_id int, text string")
-    postings = search.postings(docs).cache()
-    return search.Index(postings, search.term_stats(postings), search.corpus_stats(docs, postings))
+    docs = spark.createDataFrame([(i, t, i % 2) for i, t in DOCS], "doc_id int, text string, odd int").repartition(3)
+    documents = search.index_documents(docs).cache()
+    return search.Index(documents, search.term_stats(documents), search.corpus_stats(documents))
 
 
-@pytest.mark.parametrize("max_broadcast", [1000, 0])
-def test_search_against_brute_force(spark, index, max_broadcast):
-    questions = [(1, "growth fund"), (2, "BOND bond"), (3, "équity"), (4, "nothing here")]
+@pytest.mark.parametrize(("max_terms", "cells"), [(1000, 10**6), (2, 1)])
+def test_search_against_brute_force(spark, index, max_terms, cells, monkeypatch):
+    monkeypatch.setattr(search, "CELLS", cells)
+    questions = [(1, "growth fund"), (2, "BOND bond"), (3, "équity"), (4, "nothing here"), (5, "fund")]
     queries = search.query_terms(spark.createDataFrame(questions, "query_id int, text string"))
-    found = search.search_topk(queries, index, k=2, max_broadcast=max_broadcast).orderBy("query_id", "rank").collect()
+    found = search.search_topk(queries, index, k=2, max_terms=max_terms).orderBy("query_id", "rank").collect()
     for query_id, question in questions:
         mine = [(r["doc_id"], r["score"]) for r in found if r["query_id"] == query_id]
         assert mine == brute_bm25(DOCS, question, 2)
+    assert all(r["odd"] == r["doc_id"] % 2 for r in found)
 
 
 def test_search_filter(spark, index):
     queries = search.query_terms(spark.createDataFrame([(1, "bond")], "query_id int, text string"))
-    allowed = spark.createDataFrame([(3,)], "doc_id int")
-    assert [r["doc_id"] for r in search.search_topk(queries, index, allowed=allowed).collect()] == [3]
+    assert [r["doc_id"] for r in search.search_topk(queries, index, where=F.col("odd") == 1).collect()] == [3]
+
+
+def test_search_shuffles_no_pairs(spark, index):
+    """Only each task's best rows are exchanged, by query."""
+    queries = search.query_terms(spark.createDataFrame([(1, "bond fund")], "query_id int, text string"))
+    plain = search.Index(index.documents.drop("odd"), index.terms, index.corpus)
+    plan = search.search_topk(queries, plain)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(query_id" in plan and "MapInArrow" in plan
 
 
 # -- vectors ------------------------------------------------------------------------------------

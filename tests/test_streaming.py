@@ -86,14 +86,39 @@ def test_much_repeated_message(feed):
     assert feed.read("events").count() == 2
 
 
-def test_dedup_within_watermark(spark, feed):
-    feed.deliver(*[message(n % 10) for n in range(100)])
-    rows = ingest.good_rows(ingest.parse(ingest.read_files(spark, f"{feed.root}/in")))
-    sink = f"{feed.root}/dedup"
-    ingest.dedup_within_watermark(rows).writeStream.format("parquet").outputMode("append").option(
-        "checkpointLocation", f"{feed.root}/dedup_checkpoint"
-    ).trigger(availableNow=True).start(sink).awaitTermination()
-    assert sorted(r["event_id"] for r in spark.read.parquet(sink).collect()) == [f"E{n}" for n in range(10)]
+def day(n, date):
+    return message(n, event_timestamp=f"{date}T10:00:00+00:00")
+
+
+def test_batch_borders_do_not_matter(spark, tmp_path):
+    """Repeats, dates out of order and a late first delivery: the same rows in one batch and in four."""
+    files = [
+        [day(0, "2024-01-05"), day(1, "2024-01-05")], [day(1, "2024-01-05"), day(2, "2024-01-06"), day(1, "2024-01-02")],
+        [day(3, "1970-01-01"), day(0, "2024-01-05")], [day(3, "1970-01-01"), day(4, "2024-01-07")],
+    ]
+    landed = []
+    for options in ({}, {"maxFilesPerTrigger": 1}):
+        feed = Feed(spark, tmp_path / str(len(options)))
+        for lines in files:
+            feed.deliver(*lines)
+        raw = ingest.read_files(spark, f"{feed.root}/in", **options)
+        ingest.ingest_stream(raw, *feed.paths).awaitTermination()
+        landed.append(sorted((r["event_id"], str(r["event_date"])) for r in feed.read("events").collect()))
+        stats = feed.read("stats").agg(F.count("*"), F.sum("received"), F.sum("inserted")).first()
+        assert tuple(stats) == (4 if options else 1, 9, 6)
+    assert landed[0] == landed[1] and ("E3", "1970-01-01") in landed[0] and len(landed[0]) == 6
+
+
+def test_lookup_reads_only_the_days_of_the_batch(spark, feed):
+    import datetime as dt
+
+    feed.deliver(*[day(n, f"2024-01-{n:02d}") for n in range(1, 10)], day(11, "1970-01-01"))
+    feed.run()
+    found = ingest.landed_on(spark, f"{feed.root}/events", [dt.date(1970, 1, 1), dt.date(2024, 1, 9)])
+    plan = found.select("event_id")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan or "event_date" in plan.split("PartitionFilters")[1][:80]
+    assert sorted(r["event_id"] for r in found.collect()) == ["E11", "E9"]
+    assert ingest.landed_on(spark, f"{feed.root}/nothing", [dt.date(1970, 1, 1)]) is None
 
 
 def test_refresh_keeps_latest_version(spark, feed):
@@ -111,14 +136,42 @@ def test_refresh_keeps_latest_version(spark, feed):
     assert run() == 3
 
 
+def test_unfinished_versions_are_not_read_and_old_ones_go(spark, feed):
+    target = f"{feed.root}/counts"
+    rebuild = lambda: spark.read.text(f"{feed.root}/in").agg(F.count(F.lit(1)).alias("n"))
+    for n in range(5):
+        feed.deliver(str(n))
+        changes = spark.readStream.text(f"{feed.root}/in")
+        refresh.refresh_stream(
+            changes, rebuild, target, f"{feed.root}/refresh_checkpoint", keep=2,
+            history=f"{feed.root}/history", as_of=lambda: "2024-01-01 00:00:00",
+        ).awaitTermination()
+    assert [v[-1] for v in refresh.finished_versions(spark, target)] == ["3", "4"]
+    spark.range(7).write.parquet(f"{target}/version=000000009")
+    os.remove(f"{target}/version=000000009/_SUCCESS")
+    assert refresh.latest_version(spark, target).first()["n"] == 5
+    history = spark.read.parquet(f"{feed.root}/history").drop("refresh")
+    assert history.count() == 5 and history.columns == ["name", "schema_name", "refresh_action", "refresh_start_time"]
+
+
 def test_flow_state_stream_equals_batch(spark, ws, tmp_path):
     flows = ws.table("fund_flows")
-    source = str(tmp_path / "flows")
-    for part in (F.col("flow_type") == "INFLOW", F.col("flow_type") != "INFLOW"):
-        flows.filter(part).coalesce(1).write.mode("append").parquet(source)
-    stream = spark.readStream.schema(flows.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    state = str(tmp_path / "state")
-    refresh.merge_flows_stream(stream, state, str(tmp_path / "checkpoint")).awaitTermination()
-    merged, whole = refresh.latest_version(spark, state), flow_state(flows)
+    source, state = str(tmp_path / "flows"), str(tmp_path / "state")
+    month = F.date_format("flow_date", "yyyy-MM")
+    last = flows.agg(F.max(month)).first()[0]
+
+    def files():
+        """Files of the months without late flows."""
+        return {f for m, path in refresh._state_months(spark, state, 99).items() if m != last for f in spark.read.parquet(path).inputFiles()}
+
+    before = None
+    for kept in (month != last, month == last):
+        flows.filter(kept).repartition(2).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(flows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        refresh.merge_flows_stream(stream, state, str(tmp_path / "checkpoint")).awaitTermination()
+        if before is None:
+            before = files()
+    assert before and before == files()  # months without new flows keep their files
+    merged, whole = refresh.current_flows(spark, state).drop("month"), flow_state(flows)
     assert merged.exceptAll(whole.select(merged.columns)).isEmpty()
     assert merged.count() == whole.count()

@@ -27,7 +27,7 @@ def test_engagement_is_unique_per_advisor(ws):
 
 def test_heat_map_counts_every_advisor(ws):
     per_date = ws.table("territory_heat_map").groupBy("as_of_date").agg(F.sum("advisor_count").alias("n")).collect()
-    assert len(per_date) == len(derived.SNAPSHOT_DAYS_BACK)
+    assert len(per_date) == 1
     assert {r["n"] for r in per_date} == {ws.table("advisor_engagement_score").count()}
 
 
@@ -146,3 +146,33 @@ def test_no_cross_joins(ws, name):
 def test_alert_rows_union(ws):
     rows = [QUERIES[n](ws) for n in QUERIES if n.startswith("alert_") and n not in ("alert_report", "alert_history", "alert_history_6h")]
     assert alert_report(rows).count() == 5
+
+
+def test_metrics_add_up_to_the_current_book(ws):
+    """Totals count every advisor once, whatever the history holds."""
+    from salescompass.plans.registry import QUERIES
+
+    total = lambda name, column: sum(r[column] for r in QUERIES[name](ws).collect())
+    kpi = QUERIES["kpi_overview"](ws).first()
+    engaged = ws.table("advisor_engagement_score")
+    assert float(total("metric_total_aum", "total_aum")) == pytest.approx(float(kpi["total_aum"]))
+    assert total("metric_total_advisor_count", "total_advisor_count") == engaged.count()
+    assert QUERIES["dt_territory_heat_map"](ws).count() == ws.table("territory_dim").filter("active").count()
+    assert QUERIES["semantic_facts_advisor_eng"](ws).count() == engaged.count()
+
+
+def test_metrics_by_run_date_keep_all_runs(ws):
+    from salescompass.plans import semantic
+
+    history = ws.table("advisor_engagement_history")
+    by_date = semantic.metric_query("advisor_eng", history, ["total_calls_30d"], ["score_date"])
+    assert by_date.count() == len(derived.SNAPSHOT_DAYS_BACK)
+    assert semantic.semantic_rows("advisor_eng", history, all_runs=True).count() == history.count()
+
+
+def test_account_is_read_by_its_external_name(spark, ws):
+    with pytest.raises(KeyError, match="external"):
+        ws.table("account")
+    given = spark.createDataFrame([("C1", "A1", "T001", "Name", "2024-01-02 03:04:05")], "account_id string, advisor_id string, territory_id string, account_name string, last_activity string")
+    shared = Workspace(spark, ws.source_dir, {"account": lambda: given})
+    assert dict(shared.table("account").dtypes)["last_activity"] == "timestamp_ntz"

@@ -16,6 +16,18 @@ select w.doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(n, 0))::bigint
 from w left join kept using (doc_id)
 """
 
+OP3 = r"""
+with l as (select doc_id, case when coalesce(text, '') = '' then [] else string_split(text, chr(10)) end as ls from documents),
+pos as (select doc_id, ls, unnest(range(1, len(ls) - 1)) as i from l where len(ls) >= 3),
+win as (select doc_id, i, array_to_string(ls[i : i + 2], chr(10)) as s from pos),
+least as (select s, min(struct_pack(d := doc_id, i := i)) as m from win group by s),
+gone as (select distinct doc_id, unnest(range(i, i + 3)) as k from win join least using (s) where m <> struct_pack(d := doc_id, i := i)),
+each as (select doc_id, unnest(ls) as line, unnest(range(1, len(ls) + 1)) as k from l),
+kept as (select doc_id, string_agg(line, chr(10) order by k) as t, count(*) as n from each anti join gone using (doc_id, k) group by doc_id)
+select l.doc_id, len(ls)::bigint as n_lines, (len(ls) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from l left join kept using (doc_id)
+"""
+
 OP4 = r"""
 with u as (select page_id, coalesce(substr(url, nullif(strpos(url, '://'), 0) + 3), '') as rest from pages),
 h as (select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
@@ -45,4 +57,4 @@ select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
 from d left join words using (doc_id) left join items using (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op1_substring_dedup": OP1, "op4_url_filter": OP4, "op6_decontamination": OP6}
+ORACLE: dict[str, str] = {"op1_substring_dedup": OP1, "op3_line_dedup": OP3, "op4_url_filter": OP4, "op6_decontamination": OP6}

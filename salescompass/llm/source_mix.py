@@ -134,7 +134,7 @@ class Mix:
     empty table, or one without words, takes nothing.
     """
 
-    def __init__(self, docs: DataFrame, weights=WEIGHTS, budget: float = 1.5, most: float = 2.0, block: int = 64, shards: int = 8, seed: int = 0, row: Column | None = None):
+    def __init__(self, docs: DataFrame, weights=WEIGHTS, budget: float = 1.5, most: float = 2.0, block: int = 32, shards: int = 8, seed: int = 0, row: Column | None = None):
         self.block, self.seed = block, seed
         sized = stored(
             docs.select(

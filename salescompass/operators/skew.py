@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 ROWS_PER_TASK = 2_000_000  # a key below this never needs spreading
 SEEN_PER_TASK = 400  # sampled rows to expect of a key that fills one task
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64_000_000
 
 _SALT = "_salt"
 
@@ -32,16 +32,30 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def broadcast_within(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a side whose counted ``rows`` are within ``limit``; above it, none."""
-    return F.broadcast(df) if rows <= limit else df
+def _width(df: DataFrame) -> tuple[int, list[Column]]:
+    """Bytes of a row's fixed part, and the lengths of its strings."""
+    strings = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    return 16 + 8 * len(df.columns), [F.coalesce(F.octet_length(c), F.lit(0)) for c in strings]
+
+
+def size_in_bytes(df: DataFrame) -> int:
+    """Measured size of the rows: their number and their strings' lengths, one row to the driver."""
+    fixed, strings = _width(df)
+    rows, *lengths = df.agg(F.count(F.lit(1)), *[F.coalesce(F.sum(s), F.lit(0)) for s in strings]).first()
+    return rows * fixed + sum(lengths)
+
+
+def broadcast_within(df: DataFrame, rows: int, limit: int = BROADCAST_BYTES, string_bytes: int = 64) -> DataFrame:
+    """Broadcast hint for a side of counted ``rows`` with short strings, if that is within ``limit`` bytes."""
+    fixed, strings = _width(df)
+    return F.broadcast(df) if rows * (fixed + string_bytes * len(strings)) <= limit else df
 
 
 def dimension_join(
-    left: DataFrame, dimension: DataFrame, key: str, how: str = "inner", limit: int = BROADCAST_ROWS
+    left: DataFrame, dimension: DataFrame, key: str, how: str = "inner", limit: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Join a table that should be small: broadcast when its count proves it, else ``skew_join``."""
-    if dimension.count() <= limit:
+    """Join a table that should be small: broadcast when its measured bytes prove it, else ``skew_join``."""
+    if size_in_bytes(dimension) <= limit:
         return left.join(F.broadcast(dimension), key, how)
     return skew_join(left, dimension, key, how)
 

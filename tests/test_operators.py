@@ -46,7 +46,7 @@ def test_dimension_join_beyond_the_limit(spark, hot):
     for how in ("inner", "left"):
         plain = collected(hot.join(right, "k", how))
         assert collected(dimension_join(hot, right, "k", how)) == plain
-        assert collected(dimension_join(hot, right, "k", how, limit=399)) == plain
+        assert collected(dimension_join(hot, right, "k", how, limit=399 * 8)) == plain
 
 
 def test_many_keys_above_the_floor_are_all_found(spark):
@@ -78,8 +78,8 @@ def test_skew_join_rejects_right(spark, hot):
 
 def test_broadcast_needs_small_count(spark):
     df = spark.range(10)
-    assert "broadcast" in broadcast_within(df, 10, 10)._jdf.queryExecution().toString().lower()
-    assert "broadcast" not in broadcast_within(df, 11, 10)._jdf.queryExecution().toString().lower()
+    assert "broadcast" in broadcast_within(df, 10, 240)._jdf.queryExecution().toString().lower()
+    assert "broadcast" not in broadcast_within(df, 11, 240)._jdf.queryExecution().toString().lower()
 
 
 @pytest.mark.parametrize("step", [1, 997])

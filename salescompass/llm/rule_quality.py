@@ -10,6 +10,8 @@ from __future__ import annotations
 import math
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -60,6 +62,25 @@ def _paths(node, bounds: dict[int, tuple[float, float]], found: set[Bounds]) ->
     _paths(node.rightChild(), {**bounds, k: (max(low, cut), high)}, found)
 
 
+def _fires(rules: list[Bounds]):
+    """Array of 0 and 1 per rule, for the sample rows of a fit.
+
+    Hundreds of candidate rules as one column expression would cost the driver more to
+    compile than the fit; only the few rules that get a weight are compiled.
+    """
+
+    @F.arrow_udf("array<double>")
+    def fires(column: pa.Array) -> pa.Array:
+        values = [f.to_numpy(zero_copy_only=False) for f in column.flatten()]
+        hit = np.ones((len(column), len(rules)))
+        for i, bounds in enumerate(rules):
+            for k, above, up_to in bounds:
+                hit[:, i] *= (values[k] > above) & (values[k] <= up_to)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(column) + 1) * len(rules), pa.int32()), pa.array(hit.ravel()))
+
+    return fires
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
@@ -101,9 +122,8 @@ def fit_rules(docs: DataFrame, labels: DataFrame, label: str = "quality", sample
             share = known.agg(F.avg("label")).first()[0]
             return RuleModel(math.log(share / (1 - share)), ())
         rules = sorted(found)
-        fires = F.array(*[condition(bounds, "s").cast("double") for bounds in rules])
-        lasso = LogisticRegression(featuresCol="r", labelCol="label", elasticNetParam=1.0, regParam=PENALTY, maxIter=100)
-        model = lasso.fit(known.select("label", array_to_vector(fires).alias("r")))
+        lasso = LogisticRegression(featuresCol="r", labelCol="label", elasticNetParam=1.0, regParam=PENALTY, tol=1e-4)
+        model = lasso.fit(known.select("label", array_to_vector(_fires(rules)(F.col("s"))).alias("r")))
         return RuleModel(float(model.intercept), tuple((r, float(w)) for r, w in zip(rules, model.coefficients) if w))
     finally:
         known.unpersist()

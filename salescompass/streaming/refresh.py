@@ -13,6 +13,7 @@ from salescompass.functions import dates
 from salescompass.operators.attribution import flow_state, merge_flow_batch
 
 KEEP_VERSIONS = 3
+_NULL = "__HIVE_DEFAULT_PARTITION__"  # folder value that Spark writes for a null
 
 
 def _folders(spark: SparkSession, path: str, name: str) -> dict[str, str]:
@@ -86,7 +87,7 @@ def latest_version(spark: SparkSession, target: str) -> DataFrame:
 
 
 def _state_months(spark: SparkSession, state: str, before: int) -> dict[str, str]:
-    """Month to its newest folder among finished versions below ``before``."""
+    """Month (``_NULL`` for flows without a date) to its newest folder among finished versions below ``before``."""
     newest: dict[str, str] = {}
     for version, path in sorted(_folders(spark, state, "version").items()):
         if int(version) < before and _finished(spark, path):
@@ -107,7 +108,7 @@ def merge_flows_stream(flows: DataFrame, state: str, checkpoint: str) -> Streami
         spark = batch.sparkSession
         before = _state_months(spark, state, batch_id)
         sums = flow_state(batch).persist()
-        touched = [r[0] for r in sums.select(month).distinct().collect()]
+        touched = [_NULL if r[0] is None else r[0] for r in sums.select(month).distinct().collect()]
         known = [before[m] for m in touched if m in before]
         merged = merge_flow_batch(spark.read.parquet(*known), sums, summed=True) if known else sums
         merged.withColumn("month", month).write.mode("overwrite").partitionBy("month").parquet(f"{state}/version={batch_id:09d}")

@@ -175,3 +175,18 @@ def test_flow_state_stream_equals_batch(spark, ws, tmp_path):
     merged, whole = refresh.current_flows(spark, state).drop("month"), flow_state(flows)
     assert merged.exceptAll(whole.select(merged.columns)).isEmpty()
     assert merged.count() == whole.count()
+
+
+def test_flow_merge_keeps_earlier_flows_without_a_date(spark, ws, tmp_path):
+    flows = ws.table("fund_flows").limit(40)
+    dates = F.when(F.crc32(F.col("advisor_id").cast("string")) % 2 == 0, F.col("flow_date"))
+    flows = spark.createDataFrame(flows.withColumn("flow_date", dates).collect(), flows.schema)
+    source, state = str(tmp_path / "flows"), str(tmp_path / "state")
+    undated = flows.filter("flow_date is null")
+    for batch in (flows, undated, flows):
+        batch.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(flows.schema).parquet(source)
+        refresh.merge_flows_stream(stream, state, str(tmp_path / "checkpoint")).awaitTermination()
+    merged, whole = refresh.current_flows(spark, state).drop("month"), flow_state(flows.unionAll(undated).unionAll(flows))
+    assert not undated.isEmpty() and merged.count() == whole.count()
+    assert merged.exceptAll(whole.select(merged.columns)).isEmpty()

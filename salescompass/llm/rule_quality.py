@@ -89,13 +89,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int
     """At most ``sample`` labelled documents that are not held out: ``doc_id, label, text``.
 
     A doc_id with several labels has the smallest.  Labels without an id or value do not count.
+    Of rows that repeat a doc_id the one with the smallest hash of its text stands for all.
     """
     chosen = (
         labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
         .groupBy("doc_id").agg(F.min(label).cast("double").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``sample`` rows
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # at most ``sample`` rows, whatever repeats a doc_id; tasks pass on one row for each
+    least = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    return rows.groupBy("doc_id", "label").agg(least).select("doc_id", "label", "text")
 
 
 def fit_rules(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, seed: int = 7) -> RuleModel:

@@ -310,6 +310,15 @@ def test_rule_quality(spark):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {i for i, r in rows.items() if r["score"] >= 0.5}
 
 
+def test_a_repeated_doc_id_is_one_sample_row(spark):
+    docs, labels = labelled(spark)
+    often = docs.crossJoin(spark.range(50)).filter("doc_id = 0").select(F.lit(0).cast("long").alias("doc_id"), F.concat("text", F.lit(" "), F.col("id")).alias("text"))
+    rows = rule_quality.labelled_sample(docs.select("doc_id", "text").unionAll(often), labels, "quality", sample=300).collect()
+    assert 0 in (ids := {r["doc_id"] for r in rows}) and len(rows) == len(ids) <= 300
+    empty = spark.createDataFrame([(0, None)] * 3, "doc_id long, text string")
+    assert [tuple(r) for r in rule_quality.labelled_sample(empty, labels, "quality").collect()] == [(0, 1.0, None)]
+
+
 def test_rule_quality_without_two_classes(spark):
     docs, labels = labelled(spark)
     none = rule_quality.fit_rules(docs, labels.limit(0))

@@ -126,7 +126,7 @@ def fit_rules(docs: DataFrame, labels: DataFrame, label: str = "quality", sample
             share = known.agg(F.avg("label")).first()[0]
             return RuleModel(math.log(share / (1 - share)), ())
         rules = sorted(found)
-        lasso = LogisticRegression(featuresCol="r", labelCol="label", elasticNetParam=1.0, regParam=PENALTY, tol=1e-4)
+        lasso = LogisticRegression(featuresCol="r", labelCol="label", elasticNetParam=1.0, regParam=PENALTY)
         model = lasso.fit(known.select("label", array_to_vector(_fires(rules)(F.col("s"))).alias("r")))
         return RuleModel(float(model.intercept), tuple((r, float(w)) for r, w in zip(rules, model.coefficients) if w))
     finally:

@@ -319,6 +319,14 @@ def test_a_repeated_doc_id_is_one_sample_row(spark):
     assert [tuple(r) for r in rule_quality.labelled_sample(empty, labels, "quality").collect()] == [(0, 1.0, None)]
 
 
+def test_rule_weights_are_fitted_to_the_default_tolerance(spark, monkeypatch):
+    asked = []
+    lasso = rule_quality.LogisticRegression
+    monkeypatch.setattr(rule_quality, "LogisticRegression", lambda **settings: asked.append(lasso(**settings)) or asked[0])
+    rule_quality.fit_rules(*labelled(spark))
+    assert (asked[0].getTol(), asked[0].getMaxIter()) == (1e-6, 100)
+
+
 def test_rule_quality_without_two_classes(spark):
     docs, labels = labelled(spark)
     none = rule_quality.fit_rules(docs, labels.limit(0))

@@ -1,8 +1,8 @@
 """Mixing sources to target weights, with DataFrame operations only.
 
 Each source's words form one stream in document order, cut into blocks of fixed length.
-The mix is a number of output shards; every shard draws how many blocks it takes from
-each source.  Draws of a source are numbered over all shards, and draw j takes block
+The mix is a number of output shards; each source's draws of blocks are fixed over all
+shards and dealt to them.  Draws of a source are numbered over all shards, and draw j takes block
 ``permutation(j mod blocks)`` of pass ``j div blocks``, so a source is used up once in
 random order before any of its blocks comes again.
 """
@@ -53,51 +53,40 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, budget: float = 1.5, most:
     )
 
 
-def shard_counts(sources: DataFrame, slots: int, shards: int, seed: int) -> DataFrame:
+def sums_before(df: DataFrame, order: list[str], **sums: Column) -> DataFrame:
+    """Adds the sum of each column over all rows before, in the order of ``order``.
+
+    Range partitions are summed on their own and shifted by the parts before them, as in
+    ``stream_positions``; only a row per part goes into one task.
+    """
+    parts = stored(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "mix-order")
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    totals = parts.groupBy("_part").agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()])
+    shift = totals.select("_part", *[F.coalesce(F.sum(f"_{n}").over(earlier), F.lit(0)).alias(f"_{n}") for n in sums])
+    out = parts.withColumns({n: F.coalesce(F.sum(c).over(inside), F.lit(0)) for n, c in sums.items()}).join(F.broadcast(shift), "_part")
+    return out.withColumns({n: F.col(n) + F.col(f"_{n}") for n in sums}).drop("_part", *[f"_{n}" for n in sums])
+
+
+def shard_counts(sources: DataFrame, block: int, shards: int, seed: int) -> DataFrame:
     """Blocks that each output shard takes from each source: ``no, shard, count``.
 
-    A shard's expected counts are its slots times the sources' shares.  Their whole parts
-    are taken as they are, and a multinomial draw over the fractions fills the slots left,
-    which keeps each source near its target.  All sources sit in one row (a few bytes for
-    each source) that is repeated per shard; no join.
+    A source's draws over all shards are its target divided by the mean words of its blocks
+    (the last may be short); the fraction left gives one draw more with its probability.
+    They are dealt to the shards in turn, on from where the source before ended, so shards
+    differ by one draw at most and no draw lies beyond the passes that the target allows.
     """
-    total = F.nullif(F.sum("target").over(Window.partitionBy()), F.lit(0.0))
-    share = F.coalesce(F.col("target") / total, F.lit(0.0))
-    one = sources.withColumn("share", share).agg(F.sort_array(F.collect_list(F.struct("no", "share"))).alias("of"))
-    size = F.lit(slots // shards) + (F.col("shard") < slots % shards).cast("int")
-    rows = (
-        one.filter(F.size("of") > 0)
-        .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-        .withColumn("size", size)
-        .withColumn("whole", F.transform("of", lambda s: F.floor(s["share"] * F.col("size") + 1e-9)))
-        .withColumn("part", F.zip_with("of", "whole", lambda s, w: F.greatest(s["share"] * F.col("size") - w, F.lit(0.0))))
-        .withColumn("rest", F.col("size") - F.aggregate("whole", F.lit(0).cast("long"), lambda a, w: a + w))
-        .withColumn("total", F.aggregate("part", F.lit(0.0), lambda a, p: a + p))
-    )
-    # upper ends of the fractions' intervals; a draw falls into one of them
-    ends = F.aggregate(
-        "part", F.array(F.lit(0.0)), lambda a, p: F.concat(a, F.array(F.element_at(a, -1) + F.coalesce(p / F.nullif(F.col("total"), F.lit(0.0)), F.lit(0.0))))
-    )
-    uniform = lambda i: F.pmod(F.xxhash64(F.lit(seed), F.lit("draw"), F.col("shard"), i), F.lit(1 << 52)) / float(1 << 52)
-    numbers = F.when(F.col("rest") > 0, F.sequence(F.lit(1), F.col("rest").cast("int"))).otherwise(F.array().cast("array<int>"))
-    counts = F.transform(
-        F.sequence(F.lit(0), F.size("of") - 1),
-        lambda i: F.struct(
-            F.get("of", i)["no"].alias("no"),
-            (
-                F.get("whole", i)
-                + F.size(F.filter("draws", lambda u: (u >= F.get("ends", i)) & (u < F.get("ends", i + 1))))
-            ).alias("count"),
-        ),
-    )
-    # the last end is 1 but for rounding
-    closed = F.concat(F.slice("ends", F.lit(1), F.size("ends") - 1), F.array(F.lit(2.0)))
+    blocks = F.ceil(F.col("source_size") / block)
+    draws = F.coalesce(F.col("target") * blocks / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))
+    uniform = F.pmod(F.xxhash64(F.lit(seed), F.lit("draw"), F.col("no")), F.lit(1 << 52)) / float(1 << 52)
+    whole = F.floor(F.col("draws") + 1e-9)
+    total = (whole + (uniform < F.col("draws") - whole).cast("int")).cast("long")
+    fixed = sources.withColumn("draws", draws).select("no", total.alias("total"))
+    ahead = F.pmod(F.col("shard") - F.col("before"), F.lit(shards))  # the source's draws before the shard's first
     return (
-        rows.withColumn("ends", ends)
-        .withColumn("ends", closed)
-        .withColumn("draws", F.transform(numbers, uniform))
-        .select("shard", F.explode(counts).alias("c"))
-        .select("c.no", "shard", "c.count")
+        sums_before(fixed, ["no"], before=F.col("total"))
+        .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+        .select("no", "shard", F.floor((F.col("total") + shards - 1 - ahead) / shards).cast("long").alias("count"))
     )
 
 
@@ -146,14 +135,12 @@ class Mix:
         sources = sized.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
         # a row per source, so small that Spark broadcasts it by its file size
         self.sources = stored(source_targets(sources, weights, budget, most), "mix-sources")
-        total = self.sources.agg(F.sum("target")).first()[0] or 0.0
-        slots = -int(-total // block)
         known = sized.join(self.sources, sized["source"].eqNullSafe(self.sources["source"])).drop(self.sources["source"])
         self.docs = stored(stream_positions(known, ["doc_id", "tie"]), "mix-docs")
-        counts = stored(shard_counts(self.sources, slots, shards, seed), "mix-counts")
-        self.plan = self._plan(counts, int(most))
+        counts = stored(shard_counts(self.sources, block, shards, seed), "mix-counts")
+        self.plan = self._plan(counts)
 
-    def _plan(self, counts: DataFrame, passes: int) -> DataFrame:
+    def _plan(self, counts: DataFrame) -> DataFrame:
         """``no, shard, draw, pass, block``: a row per drawn block."""
         earlier = Window.partitionBy("no").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
         blocks = self.sources.select("no", F.ceil(F.col("source_size") / self.block).cast("long").alias("blocks"))
@@ -171,10 +158,8 @@ class Mix:
             .withColumn("draw", F.explode(F.sequence("low", "high")))
         )
         used = F.floor(F.col("draw") / F.col("blocks")).cast("int")
-        # rounding may ask for a draw more than the passes hold
         return (
             draws.withColumn("pass", used)
-            .filter(F.col("pass") < passes)
             .withColumn("block", permuted(F.pmod("draw", "blocks"), F.col("blocks"), F.lit(self.seed), F.col("no"), F.col("pass")))
             .select("no", "shard", "draw", "pass", "block")
         )

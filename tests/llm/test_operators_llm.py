@@ -269,6 +269,20 @@ def test_mixed_documents(awkward):
     assert +Counter(taken) == got
 
 
+def test_tiny_sources_meet_their_targets(spark):
+    sizes = {"big": 60_000} | {f"s{i:02}": n for i, n in enumerate([1, 40, 100, 33, 64, 300] * 4)} | {"z0": 9000, "z1": 9000}
+    rows = [(i, "w " * (n // 3 + (n % 3 > k)), s) for i, (s, n, k) in enumerate((s, n, k) for s, n in sizes.items() for k in range(3))]
+    mix = source_mix.Mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    taken, wanted = Counter(), plain.targets(sizes, source_mix.WEIGHTS)
+    for r in mix.taken().collect():
+        taken[rows[r["doc_id"]][2]] += r["taken"]
+    full = {s for s, n in sizes.items() if wanted[s] == 2 * n}
+    assert len(full) >= 24 and {s: taken[s] for s in full} == {s: 2 * sizes[s] for s in full}
+    assert all(abs(taken[s] - wanted[s]) < 64 for s in sizes)
+    shards = Counter(r["shard"] for r in mix.plan.collect())
+    assert len(shards) == 8 and max(shards.values()) - min(shards.values()) <= 1
+
+
 def test_shares_when_nothing_or_one_source_has_words(spark):
     df = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")
     assert {(r["target"], r["taken"]) for r in source_mix.Mix(df).taken().collect()} == {(0.0, 0)}

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from salescompass.llm.permute import permuted
-from salescompass.llm.storage import stored
+from salescompass.llm.storage import stored, unused
+from salescompass.operators.rows import number_rows
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)  # by code point order of the sources, repeating
@@ -33,23 +34,20 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, budget: float = 1.5, most:
     min(most x size, level x weight) with one level for all.  The shares' total as a
     function of the level is concave and made of straight pieces, one for each number of
     sources that are cut off (in the order of size / weight); the level sought is therefore the largest at
-    which any piece reaches the budget.  Windows run over one row per source.
+    which any piece reaches the budget.  Sources are numbered and summed up in range partitions,
+    whatever their number; one task holds a row per part.
     """
-    number = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     weight = F.get(F.array(*[F.lit(float(w)) for w in weights]), F.pmod(F.col("no"), F.lit(len(weights))))
     limit = most * F.col("source_size")
-    by_ratio = Window.orderBy(limit / F.col("weight"), "no").rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy()
-    cut = F.coalesce(F.sum(limit).over(by_ratio), F.lit(0.0))
-    left = F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(by_ratio), F.lit(0.0))
-    piece = (budget * F.sum("source_size").over(every) - cut) / left
-    return (
-        sizes.withColumn("no", number)
-        .withColumn("weight", weight)
-        .withColumn("piece", piece)
-        .withColumn("level", F.max("piece").over(every))
-        .withColumn("target", F.least(limit, F.col("level") * F.col("weight")).cast("double"))
-        .select("no", "source", "source_size", "weight", "target")
+    last = unused("_last", sizes)
+    numbered = number_rows(sizes.withColumn(last, F.col("source").isNull()), last, "source", name="no").drop(last)
+    ranked = numbered.withColumn("no", F.col("no").cast("int")).withColumn("weight", weight).withColumn("ratio", limit / F.col("weight"))
+    ranked = stored(sums_before(ranked, ["ratio", "no"], cut=limit, passed=F.col("weight")), "mix-ranked")
+    words, heavy = ranked.agg(F.sum("source_size"), F.sum("weight")).first()
+    piece = (budget * F.lit(words or 0) - F.col("cut")) / (F.lit(heavy or 0.0) - F.col("passed"))
+    level = ranked.agg(F.max(piece)).first()[0] or 0.0
+    return ranked.withColumn("target", F.least(limit, F.lit(level) * F.col("weight")).cast("double")).select(
+        "no", "source", "source_size", "weight", "target"
     )
 
 

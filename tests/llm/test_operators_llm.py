@@ -283,6 +283,21 @@ def test_tiny_sources_meet_their_targets(spark):
     assert len(shards) == 8 and max(shards.values()) - min(shards.values()) <= 1
 
 
+def test_many_sources_are_shared_out_in_parts(spark):
+    rng = random.Random(7)
+    sizes = {f"s{i:04}": rng.choice([0, 1, 30, 500, 4000]) for i in range(2000)} | {None: 70, "": 9}
+    df = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    shared = source_mix.stored(source_mix.source_targets(df.repartition(5)), "test-targets")
+    wanted = plain.targets(sizes, source_mix.WEIGHTS)
+    got = {r["source"]: r for r in shared.collect()}
+    assert set(got) == set(sizes) and all(abs(got[s]["target"] - t) < 1e-6 * max(t, 1) for s, t in wanted.items())
+    assert [got[s]["no"] for s in sorted(filter(None, sizes))] == list(range(1, 2001)) and (got[""]["no"], got[None]["no"]) == (0, 2001)
+    # no window, and no array, holds all sources
+    for out in (source_mix.source_targets(df), source_mix.shard_counts(shared, 32, 8, 0)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "collect_list" not in plan and all("_part" in line for line in plan.splitlines() if "Window [" in line)
+
+
 def test_shares_when_nothing_or_one_source_has_words(spark):
     df = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")
     assert {(r["target"], r["taken"]) for r in source_mix.Mix(df).taken().collect()} == {(0.0, 0)}

@@ -57,4 +57,30 @@ select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
 from d left join words using (doc_id) left join items using (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op1_substring_dedup": OP1, "op3_line_dedup": OP3, "op4_url_filter": OP4, "op6_decontamination": OP6}
+# crc32 from its table of 256 steps; DuckDB has no such function
+OP13 = r"""
+with recursive bits(i, c, k) as (select range, range::bigint, 0 from range(256) union all
+  select i, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, k + 1 from bits where k < 8),
+tbl as (select list(c order by i) as t from bits where k = 8),
+r as (select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[a-z\x{00C0}-\x{00FF}]+')) as w from documents),
+d as (select doc_id, w, count(*) as n, hex(encode(doc_id::varchar || ':' || w)) as x from r group by doc_id, w),
+h as (select w, n, xor(list_reduce(list_prepend(4294967295::bigint, [('0x' || substr(x, 2 * i + 1, 2))::bigint for i in range(length(x) // 2)]),
+  lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) as h from d, tbl),
+e as (select case when h % 199 = 0 then substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) else w end as word, n from h),
+words as (select word, sum(n)::bigint as n from e where length(word) >= 6 group by word having sum(n) >= 5),
+places as (select word, n, unnest(range(length(word))) as i from words),
+holes as (select word, n, i, substr(word, 1, i) || '*' || substr(word, i + 2) as hole from places),
+cuts as (select distinct word, n, substr(word, 1, i) || substr(word, i + 2) as cut from places),
+near as (select a.word, b.word as near, b.n as near_n from holes a join holes b using (hole) where a.word <> b.word
+  union all select cuts.word, words.word, words.n from cuts join words on cut = words.word
+  union all select words.word, cuts.word, cuts.n from cuts join words on cut = words.word),
+best as (select word, count(*) as n_near, min(struct_pack(less := -near_n, near := near)) as b from near group by word),
+forms as (select words.word, n, coalesce(n_near, 0)::bigint as n_near, case when -b.less >= 5 * n then b.near end as form,
+  case when -b.less >= 5 * n then -b.less end as form_n from words left join best using (word)),
+chain as (select word, coalesce(form, word) as root, form is not null as on_way from forms
+  union all select c.word, coalesce(f.form, f.word), f.form is not null from chain c join forms f on f.word = c.root where c.on_way)
+select word, form, root, n, n_near, form_n from forms join (select word, root from chain where not on_way) using (word)
+"""
+
+ORACLE: dict[str, str] = {"op1_substring_dedup": OP1, "op3_line_dedup": OP3, "op4_url_filter": OP4, "op6_decontamination": OP6, "op13_spelling_variants": OP13}

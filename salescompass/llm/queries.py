@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescompass.llm import (
-    decontaminate, fingerprints, line_dedup, near_dedup, rule_quality, sharding, source_mix, substring_dedup, toxicity, url_filter,
+    decontaminate, fingerprints, line_dedup, near_dedup, rule_quality, sharding, source_mix, spelling, substring_dedup, token_files, toxicity,
+    url_filter, whitening,
 )
 
 
@@ -83,10 +85,26 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.graded(docs, model).select("doc_id", "severity", "grade", "toxic")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components_of(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    definition = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text()
+    return token_files.write_token_files(_table(spark, sf_dir, "documents"), definition).documents()
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(spelling.count_words(_table(spark, sf_dir, "documents"), typo_every=199))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_source_mix, op3_line_dedup, op4_url_filter, op5_fingerprints, op6_decontamination,
-        op7_sharding, op8_rule_quality, op9_near_dedup, op10_toxicity,
+        op7_sharding, op8_rule_quality, op9_near_dedup, op10_toxicity, op11_embedding_whitening,
+        op12_token_files, op13_spelling_variants,
     )
 }

@@ -21,6 +21,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,23 +92,24 @@ def count_words(
     return rows.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_count)
 
 
-def _class_counts(word: Column) -> list[Column]:
+def _class_counts(word: Column) -> Column:
     """How many of the word's letters are in each class: those of equal code point modulo CLASSES."""
     classes = ["".join(chr(c) for c in _LETTERS if c % CLASSES == i) for i in range(CLASSES)]
-    return [F.length(word) - F.length(F.translate(word, letters, "")) for letters in classes]
+    return F.array(*[F.length(word) - F.length(F.translate(word, letters, "")) for letters in classes])
 
 
-def _neighbours(counts: list[Column]) -> Column:
-    """Blocks that a word visits: those of words without one of its letters, and those with a letter
-    of a later class in place of one of an earlier class."""
+def _cell(counts: Column, change: dict[int, int]) -> Column:
+    """Name of the block of the words with these counts of letters, changed by an edit."""
+    moved = [counts[i] + change[i] if i in change else counts[i] for i in range(CLASSES)]
+    possible = [counts[i] > 0 for i, by in change.items() if by < 0]
+    return F.when(possible[0], F.concat_ws(",", *moved)) if possible else F.concat_ws(",", *moved)
 
-    def block(change: dict[int, int]) -> Column:
-        moved = [c + change.get(i, 0) for i, c in enumerate(counts)]
-        possible = F.least(*moved) >= 0
-        return F.when(possible, F.concat_ws(",", *moved))
 
+def _neighbours(counts: Column) -> Column:
+    """Blocks that a word visits: those of words without one of its letters, and those with a letter
+    of a later class in place of one of an earlier class."""
     changes = [{i: -1} for i in range(CLASSES)] + [{i: -1, j: 1} for i, j in combinations(range(CLASSES), 2)]
-    return F.filter(F.array(*[block(c) for c in changes]), lambda b: b.isNotNull())
+    return F.array_compact(F.array(*[_cell(counts, c) for c in changes]))
 
 
 def letter_counts(codes: np.ndarray) -> np.ndarray:
@@ -158,13 +160,16 @@ class _Block:
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[str], list[int]]]:
     """Neighbouring rows of one block and one kind (members or visitors) and length, from sorted batches."""
     for batch in batches:
+        keys = [batch.column(c) for c in ("cell", "block", "visits", "size")]
+        new = np.zeros(len(batch), bool)
+        new[::BLOCK] = True
+        for key in keys:
+            new[1:] |= pc.not_equal(key[1:], key[:-1]).to_numpy(zero_copy_only=False)
+        begins = np.flatnonzero(new)
+        values = zip(*(key.take(pa.array(begins)).to_pylist() for key in keys), strict=True)
         words, ns = batch.column("word").to_pylist(), batch.column("n").to_pylist()
-        keys = list(zip(*(batch.column(c).to_pylist() for c in ("cell", "block", "visits", "size")), strict=True))
-        begin = 0
-        for end in range(1, len(keys) + 1):
-            if end == len(keys) or keys[end] != keys[begin] or end - begin >= BLOCK:
-                yield keys[begin], words[begin:end], ns[begin:end]
-                begin = end
+        for key, begin, end in zip(values, begins.tolist(), [*begins[1:].tolist(), len(batch)], strict=True):
+            yield key, words[begin:end], ns[begin:end]
 
 
 def _compare(batches):
@@ -205,8 +210,8 @@ def near_words(words: DataFrame) -> DataFrame:
     ``words`` (word, n) are distinct and of Latin-1 letters.  A word has at most as many near
     words as it has edits, so the result grows with the words.
     """
-    counts = _class_counts(F.col("word"))
-    placed = words.select("word", "n", F.concat_ws(",", *counts).alias("cell"), _neighbours(counts).alias("near_cells"))
+    placed = words.select("word", "n", _class_counts(F.col("word")).alias("counts"))
+    placed = placed.select("word", "n", _cell(F.col("counts"), {}).alias("cell"), _neighbours(F.col("counts")).alias("near_cells"))
     cells = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     cells = stored(cells, "spelling-cells")
     hashed = F.pmod(F.xxhash64("word"), F.col("blocks")).cast("int").alias("block")

@@ -25,28 +25,43 @@ def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def number_rows(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def number_rows(df: DataFrame, *keys: str, name: str = "n", position: Column | None = None) -> DataFrame:
     """Dense numbers 0, 1, 2, … in the order of ``keys``; nulls come first.
 
     A window without partitions would put the whole table into one task.  Instead the rows
     are range-partitioned by the keys and sorted inside each part; a row's number is its
     position in the part plus the rows of all parts before (one small row per part).  The
     sorted table is stored once, so a part keeps its content when a task is run again.
+
+    ``position`` orders rows of equal keys, which are else in any order but all in one part.
+    It must be repeatable for a row, like ``monotonically_increasing_id()`` at a table scan.
     """
-    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    part, inside, size, start, tie = (unused(c, df) for c in ("_part", "_inside", "_size", "_start", "_position"))
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    order = list(keys)
+    if position is not None:
+        df, order = df.withColumn(tie, position), [*order, tie]
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order).drop(tie)
     path = run_dir(df.sparkSession, "numbered", uuid.uuid4().hex[:12])
-    placed = ordered.withColumns({"_part": F.spark_partition_id(), "_inside": position})
+    placed = ordered.withColumns({part: F.spark_partition_id(), inside: number})
     placed.write.parquet(path)
     placed = df.sparkSession.read.schema(placed.schema).parquet(path)
-    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    sizes = placed.groupBy(part).agg(F.count(F.lit(1)).alias(size))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(part, F.coalesce(F.sum(size).over(before), F.lit(0)).alias(start))
     # one row per part: their number is the shuffle's partition count, whatever the data
     return (
-        placed.join(F.broadcast(starts), "_part")
-        .withColumn(name, (F.col("_start") + F.col("_inside")).cast("long"))
-        .drop("_part", "_inside", "_start")
+        placed.join(F.broadcast(starts), part)
+        .withColumn(name, (F.col(start) + F.col(inside)).cast("long"))
+        .drop(part, inside, start)
     )
 
 

@@ -121,7 +121,7 @@ def _(ws):
 
 @query("row_numbering")
 def _(ws):
-    numbered = rows.number_rows(ws.source("events").select("event_id", "ts"), "event_id")
+    numbered = rows.number_rows(ws.source("events").select("event_id", "ts"), "event_id", position=F.monotonically_increasing_id())
     return numbered.select("event_id", "n", F.concat(F.lit("Event_"), F.lpad(F.col("n").cast("string"), 9, "0")).alias("label"))
 
 

@@ -22,15 +22,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescompass.llm.components import components
+from salescompass.llm.components import components, connected, joining
 from salescompass.llm.storage import stored
 from salescompass.llm.words import Words, byte_texts, lists, mix, pieces, unit
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 40, 6  # a pair of similarity 0.8 shares no band with a probability of 5e-6
-SMALL_BAND = 8  # members that are all compared with each other at once
-CENTRES, ROUNDS = 2, 2  # of larger bands: members that the others are compared with, and how often
+SMALL_BAND = 8  # members that are compared as pairs
+ROUNDS = 2  # times that members outside their bands' largest components are compared with one member of it
 BLOCK = 256  # documents on each side that are compared in one task
 
 
@@ -174,8 +174,8 @@ def _links_of_blocks(similarity: float, size: int):
             label, other_label = left.column("label").to_numpy(), right.column("label").to_numpy()
             node, other_node = left.column("node").to_numpy(), right.column("node").to_numpy()
             i, j = np.nonzero((shared >= similarity * total) & (label[:, None] != other_label))
-            _, first = np.unique(np.stack([i, other_label[j]], axis=1), axis=0, return_index=True)  # one for each component
-            a, b = np.minimum(node[i[first]], other_node[j[first]]), np.maximum(node[i[first]], other_node[j[first]])
+            keep = joining(label[i], other_label[j])
+            a, b = np.minimum(node[i[keep]], other_node[j[keep]]), np.maximum(node[i[keep]], other_node[j[keep]])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return compare
@@ -230,29 +230,32 @@ class NearDuplicates:
     def _labels(self) -> DataFrame:
         """``node, label`` of the nodes that have a link.
 
-        Members of a small band are all compared with each other.  In a larger one, members
-        outside its largest component are compared with a few pseudorandom members, others in
-        every round: nearly all copies of a text join one component so.  The others are then
-        compared with all members, block by block, and only links leave a block.
+        Every member is compared with one other, the centre of one of its bands; nearly all
+        copies of a text join one component so.  From then on only bands that hold several
+        components matter: their members outside the largest component are compared with one
+        member of it.  What is left is compared completely, but for members of one component:
+        pairs in small bands, blocks of members in larger ones, of which only links leave a task.
         """
         in_bands = self.nodes.select("node", "size", F.explode("bands").alias("key"))
-        shared = in_bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        # stored, so that both sides of the join are plain exchanges, of which AQE can split a crowded key
+        shared = stored(in_bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "bands")
         members = stored(in_bands.join(shared, "key"), "members")
         texts = self._member_texts(members)
-        small, open_ = members.filter(F.col("n") <= SMALL_BAND), members.filter(F.col("n") > SMALL_BAND).withColumn("own", F.lit(0).cast("long"))
-        pairs, outside, links = self._small_pairs(small), open_, None
+        labels = components(self._linked(self._pairs_with_centre(members, members, 0), texts))
+        open_ = members.withColumn("own", F.lit(0).cast("long"))
         for turn in range(ROUNDS):
-            pairs = self._pairs_with_centres(outside, open_, turn) if turn else pairs.union(self._pairs_with_centres(outside, open_, turn))
-            found = self._linked(pairs.distinct(), texts)
-            links = stored(links.union(found) if turn else found, "links")
-            labels = components(links)
-            open_ = stored(self._open(open_.select("key", "node", "size", "own"), labels), "open")
+            open_ = stored(self._open(open_.select("key", "node", "size", "n", "own"), labels), "open")
             if open_.isEmpty():
                 return labels
             if not turn:
                 open_ = stored(open_.drop("own").join(self._own_weights(open_, texts), "node"), "open")
-            outside = open_.filter("outside")
-        return components(links.union(self._links_outside(open_, texts)))
+            pairs = self._pairs_with_centre(open_.filter("outside"), open_.filter("label = largest"), turn + 1)
+            labels = connected(labels, self._linked(pairs, texts))
+        open_ = stored(self._open(open_.select("key", "node", "size", "n", "own"), labels), "open")
+        if open_.isEmpty():
+            return labels
+        small = self._linked(self._small_pairs(open_.filter(F.col("n") <= SMALL_BAND)), texts)
+        return connected(labels, small.union(self._links_outside(open_.filter(F.col("n") > SMALL_BAND), texts)))
 
     def _member_texts(self, members: DataFrame) -> DataFrame:
         """``node, text`` of all candidates, once; copies of a row count once."""
@@ -278,7 +281,7 @@ class NearDuplicates:
         least = F.greatest(F.col("least"), F.col("size") * self.similarity)
         marked = labelled.join(bands, "key").withColumn("outside", (F.col("label") != F.col("largest")) & self._enough("size", "own", least))
         unsettled = marked.groupBy("key").agg(F.max("outside").alias("any")).filter("any").select("key")
-        return marked.join(unsettled, "key").select("key", "node", "size", "own", "label", "outside")
+        return marked.join(unsettled, "key").select("key", "node", "size", "n", "own", "label", "largest", "outside")
 
     def _enough(self, size: str, own: str, other) -> Column:
         """Whether what a document can share suffices for the similarity with one of size ``other``."""
@@ -296,15 +299,18 @@ class NearDuplicates:
         return F.least("size", "size_b") >= self.similarity * F.greatest("size", "size_b") - 1e-6
 
     def _small_pairs(self, members: DataFrame) -> DataFrame:
-        other = members.select("key", F.col("node").alias("b"), F.col("size").alias("size_b"))
-        return members.join(other, "key").filter((F.col("node") < F.col("b")) & self._near()).select(F.col("node").alias("a"), "b")
-
-    def _pairs_with_centres(self, some: DataFrame, members: DataFrame, turn: int) -> DataFrame:
-        """Some members with the first member of their band in each of a few pseudorandom orders."""
-        first = [F.min(F.struct(F.xxhash64(F.lit(turn), F.lit(c), "node"), F.col("node").alias("b"), F.col("size").alias("size_b"))) for c in range(CENTRES)]
-        centres = members.groupBy("key").agg(F.array(*first).alias("c")).select("key", F.explode("c").alias("c")).select("key", "c.b", "c.size_b")
+        """Pairs of different components in a band, one of them outside the largest."""
+        other = members.select("key", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("label").alias("label_b"), F.col("outside").alias("outside_b"))
+        apart = (F.col("node") < F.col("b")) & (F.col("label") != F.col("label_b")) & (F.col("outside") | F.col("outside_b"))
+        return members.join(other, "key").filter(apart & self._near()).select(F.col("node").alias("a"), "b").distinct()
+
+    def _pairs_with_centre(self, some: DataFrame, members: DataFrame, turn: int) -> DataFrame:
+        """Each of some members with the centre of one of its bands; the centre is the member of the turn's smallest hash."""
+        least = F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("hash"), F.col("node").alias("b"), F.col("size").alias("size_b")))
+        centres = stored(members.groupBy("key").agg(least.alias("c")).select("key", "c.*"), "centres")
         pairs = some.join(centres, "key").filter((F.col("node") != F.col("b")) & self._near())
-        return pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
+        one = pairs.groupBy("node").agg(F.min(F.struct("hash", "b")).alias("c")).select("node", "c.b")
+        return one.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
 
     def _links_outside(self, members: DataFrame, texts: DataFrame) -> DataFrame:
         """Links of the members outside the largest component of their band to members of other
@@ -340,7 +346,8 @@ class NearDuplicates:
         """A row per document: ``doc_id, class_id``, the smallest doc_id of its class."""
         known = self._known()
         first = known.groupBy("class").agg(F.min("sample.doc_id").alias("class_id"))
-        of_node = known.select("content_1", "content_2", "size", "class").join(first, "class")
+        # stored, so that a crowded content can be split by AQE
+        of_node = stored(known.select("content_1", "content_2", "size", "class").join(first, "class"), "class-ids")
         return self.sketches.join(of_node, ["content_1", "content_2", "size"]).select("doc_id", "class_id")
 
     def kept(self) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import uuid
 
 from pyspark.sql import DataFrame
 
+from salescompass.operators.rows import unused  # noqa: F401  used by the operators
 from salescompass.session import run_dir
 
 
@@ -17,9 +20,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def unused(name: str, df: DataFrame) -> str:
-    """``name``, lengthened until no column of ``df`` has it."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
+def repeatable(df: DataFrame, name: str) -> DataFrame:
+    """``df`` itself if it only scans its input, else a stored copy: behind a shuffle the order of
+    rows, and with it ``monotonically_increasing_id()``, can differ each time that a task runs."""
+    plan = io.StringIO()
+    with contextlib.redirect_stdout(plan):
+        df.explain()
+    return stored(df, name) if "Exchange" in plan.getvalue() else df

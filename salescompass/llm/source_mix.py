@@ -1,10 +1,10 @@
 """Mixing sources to target weights, with DataFrame operations only.
 
 Each source's words form one stream in document order, cut into blocks of fixed length.
-The mix is a number of output shards; each source's draws of blocks are fixed over all
-shards and dealt to them.  Draws of a source are numbered over all shards, and draw j takes block
-``permutation(j mod blocks)`` of pass ``j div blocks``, so a source is used up once in
-random order before any of its blocks comes again.
+The mix is a number of output shards.  How many blocks it takes of a source is fixed by the
+target; how many of them a shard holds is drawn, a multinomial count.  The slots of a source are
+numbered over all shards, and slot j takes block ``permutation(j mod blocks)`` of pass
+``j div blocks``, so a source is used up once in random order before any of its blocks comes again.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from salescompass.llm.permute import permuted
+from salescompass.llm.permute import with_permuted
 from salescompass.llm.storage import stored, unused
 from salescompass.operators.rows import number_rows
 
@@ -66,26 +66,39 @@ def sums_before(df: DataFrame, order: list[str], **sums: Column) -> DataFrame:
     return out.withColumns({n: F.col(n) + F.col(f"_{n}") for n in sums}).drop("_part", *[f"_{n}" for n in sums])
 
 
-def shard_counts(sources: DataFrame, block: int, shards: int, seed: int) -> DataFrame:
-    """Blocks that each output shard takes from each source: ``no, shard, count``.
+def source_draws(sources: DataFrame, block: int, seed: int) -> DataFrame:
+    """Blocks that the whole mix takes from each source: ``no, total``.
 
-    A source's draws over all shards are its target divided by the mean words of its blocks
-    (the last may be short); the fraction left gives one draw more with its probability.
-    They are dealt to the shards in turn, on from where the source before ended, so shards
-    differ by one draw at most and no draw lies beyond the passes that the target allows.
+    The target divided by the mean words of the source's blocks (the last may be short); the
+    fraction left gives one draw more with its probability.  So no draw lies beyond the passes
+    that the target allows.
     """
     blocks = F.ceil(F.col("source_size") / block)
     draws = F.coalesce(F.col("target") * blocks / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))
     uniform = F.pmod(F.xxhash64(F.lit(seed), F.lit("draw"), F.col("no")), F.lit(1 << 52)) / float(1 << 52)
     whole = F.floor(F.col("draws") + 1e-9)
     total = (whole + (uniform < F.col("draws") - whole).cast("int")).cast("long")
-    fixed = sources.withColumn("draws", draws).select("no", total.alias("total"))
-    ahead = F.pmod(F.col("shard") - F.col("before"), F.lit(shards))  # the source's draws before the shard's first
-    return (
-        sums_before(fixed, ["no"], before=F.col("total"))
-        .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-        .select("no", "shard", F.floor((F.col("total") + shards - 1 - ahead) / shards).cast("long").alias("count"))
-    )
+    return sources.withColumn("draws", draws).select("no", total.alias("total"))
+
+
+def _each(rows: DataFrame, count: str) -> DataFrame:
+    """Rows with a number below their ``count`` as ``draw``: in chunks, so that many tasks share a large source."""
+    chunks = F.sequence(F.lit(0).cast("long"), F.ceil(F.col(count) / DRAWS_PER_ROW).cast("long") - 1)
+    low = F.col("chunk") * DRAWS_PER_ROW
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = rows.filter(F.col(count) > 0).withColumn("chunk", F.explode(chunks))
+    # a number given keeps AQE from joining these few bytes, each of which makes many rows
+    spread = spread.repartition(partitions, *[c for c in ("no", "chunk", "shard") if c in spread.columns])
+    return spread.withColumn("draw", F.explode(F.sequence(low, F.least(F.col(count), low + DRAWS_PER_ROW) - 1))).drop("chunk")
+
+
+def shard_counts(draws: DataFrame, shards: int, seed: int) -> DataFrame:
+    """Multinomial counts ``no, shard, count`` of a source's draws in the output shards.
+
+    Every draw falls on a shard by a hashed uniform number of its own, and only the counts leave a task.
+    """
+    uniform = F.xxhash64(F.lit(seed), F.lit("shard"), F.col("no"), F.col("draw"))
+    return _each(draws, "total").groupBy("no", F.pmod(uniform, F.lit(shards)).cast("int").alias("shard")).agg(F.count(F.lit(1)).alias("count"))
 
 
 def stream_positions(docs: DataFrame, order: list[str]) -> DataFrame:
@@ -135,32 +148,18 @@ class Mix:
         self.sources = stored(source_targets(sources, weights, budget, most), "mix-sources")
         known = sized.join(self.sources, sized["source"].eqNullSafe(self.sources["source"])).drop(self.sources["source"])
         self.docs = stored(stream_positions(known, ["doc_id", "tie"]), "mix-docs")
-        counts = stored(shard_counts(self.sources, block, shards, seed), "mix-counts")
+        counts = stored(shard_counts(source_draws(self.sources, block, seed), shards, seed), "mix-counts")
         self.plan = self._plan(counts)
 
     def _plan(self, counts: DataFrame) -> DataFrame:
         """``no, shard, draw, pass, block``: a row per drawn block."""
         earlier = Window.partitionBy("no").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-        blocks = self.sources.select("no", F.ceil(F.col("source_size") / self.block).cast("long").alias("blocks"))
-        chunks = F.sequence(F.lit(0).cast("long"), F.ceil(F.col("count") / DRAWS_PER_ROW).cast("long") - 1)
-        low = F.col("chunk") * DRAWS_PER_ROW
-        high = F.least(F.col("count"), low + DRAWS_PER_ROW) - 1
-        draws = (
-            counts.withColumn("first", F.coalesce(F.sum("count").over(earlier), F.lit(0)))
-            .filter("count > 0")
-            .withColumn("chunk", F.explode(chunks))
-            .select("no", "shard", "chunk", (F.col("first") + low).alias("low"), (F.col("first") + high).alias("high"))
-            # a large source's draws to many tasks; a number given keeps AQE from joining these few bytes, each of which makes many rows
-            .repartition(int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "no", "chunk", "shard")
-            .join(blocks.filter("blocks > 0"), "no")  # a row per source
-            .withColumn("draw", F.explode(F.sequence("low", "high")))
-        )
-        used = F.floor(F.col("draw") / F.col("blocks")).cast("int")
-        return (
-            draws.withColumn("pass", used)
-            .withColumn("block", permuted(F.pmod("draw", "blocks"), F.col("blocks"), F.lit(self.seed), F.col("no"), F.col("pass")))
-            .select("no", "shard", "draw", "pass", "block")
-        )
+        blocks = self.sources.select("no", F.ceil(F.col("source_size") / self.block).cast("long").alias("blocks")).filter("blocks > 0")
+        slots = counts.withColumn("first", F.coalesce(F.sum("count").over(earlier), F.lit(0))).join(blocks, "no")  # a row per source and shard
+        draws = _each(slots, "count").withColumn("draw", F.col("first") + F.col("draw"))
+        draws = draws.withColumn("pass", F.floor(F.col("draw") / F.col("blocks")).cast("int"))
+        slot = F.pmod("draw", "blocks")
+        return with_permuted(draws, "block", slot, F.col("blocks"), F.lit(self.seed), F.col("no"), F.col("pass")).select("no", "shard", "draw", "pass", "block")
 
     def pieces(self) -> DataFrame:
         """The words taken: ``row, pass, low, high`` counted within the document, ``high`` excluded."""

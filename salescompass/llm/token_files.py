@@ -19,6 +19,7 @@ import re
 import struct
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 from operator import attrgetter
 from typing import NamedTuple
 from zlib import crc32
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from salescompass.llm.storage import stored
+from salescompass.llm.storage import repeatable, stored
 from salescompass.session import run_dir
 
 END_ID = 0
@@ -127,7 +128,7 @@ class Encoder:
             found[i] = ids
         ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) + self._first[-1]
         self._first = np.concatenate([self._first, ends])
-        self._ids = np.concatenate([self._ids, np.fromiter((i for ids in found for i in ids), np.uint32, int(ends[-1] - len(self._ids)))])
+        self._ids = np.concatenate([self._ids, np.fromiter(chain.from_iterable(found), np.uint32, int(ends[-1] - len(self._ids)))])
         self._chars += sum(map(len, new))
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
@@ -136,7 +137,7 @@ class Encoder:
         if self._numbers.new:
             self._learn()
         counts = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        number = np.fromiter((n for c in chunks for n in c), np.int64, int(counts.sum()))
+        number = np.fromiter(chain.from_iterable(chunks), np.int64, int(counts.sum()))
         lengths = self._first[number + 1] - self._first[number]
         ends = np.cumsum(lengths)
         ids = self._ids[np.repeat(self._first[number] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
@@ -225,10 +226,14 @@ class TokenFile:
 
 
 def train_dictionary(docs: DataFrame, definition: str, size: int = DICTIONARY_BYTES, sample: int = SAMPLE) -> bytes:
-    """A zstandard dictionary trained on the id arrays of ``sample`` pseudorandom rows (the first
-    SAMPLE_CHARS characters of each), in one task; empty if there is too little to learn from."""
-    row = F.xxhash64("doc_id", F.monotonically_increasing_id())
-    some = docs.select(F.substring("text", 1, SAMPLE_CHARS).alias("text"), row.alias("row")).orderBy("row").limit(sample)
+    """A zstandard dictionary trained on the id arrays of about ``sample`` pseudorandom rows (the first
+    SAMPLE_CHARS characters of each), in one task; empty if there is too little to learn from.
+
+    Rows are taken by the hash of their id and position, so every task passes on its share of them only.
+    """
+    rows = docs.agg(F.count(F.lit(1))).first()[0]
+    taken = F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(1 << 40)) < F.lit(round(min(1.0, sample / max(rows, 1)) * (1 << 40)))
+    some = docs.filter(taken).select(F.substring("text", 1, SAMPLE_CHARS).alias("text"))
 
     def train(table: pa.Table) -> pa.Table:
         encode, kind = Encoder(definition), id_type(definition)
@@ -335,6 +340,7 @@ def write_token_files(
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = repeatable(rows, "token-input")
     dictionary = train_dictionary(rows, definition)
     folder = run_dir(spark, "llm", f"token-files-{uuid.uuid4().hex[:12]}")
     files, root = _open(folder)

@@ -16,12 +16,15 @@ select w.doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(n, 0))::bigint
 from w left join kept using (doc_id)
 """
 
-OP3 = r"""
+OP3 = rf"""
 with l as (select doc_id, case when coalesce(text, '') = '' then [] else string_split(text, chr(10)) end as ls from documents),
-pos as (select doc_id, ls, unnest(range(1, len(ls) - 1)) as i from l where len(ls) >= 3),
-win as (select doc_id, i, array_to_string(ls[i : i + 2], chr(10)) as s from pos),
-least as (select s, min(struct_pack(d := doc_id, i := i)) as m from win group by s),
-gone as (select distinct doc_id, unnest(range(i, i + 3)) as k from win join least using (s) where m <> struct_pack(d := doc_id, i := i)),
+pos as (select doc_id, ls, 'run' as kind, 3 as m, unnest(range(1, len(ls) - 1)) as i from l where len(ls) >= 3
+  union all select doc_id, ls, 'document', len(ls), 1 from l where len(ls) between 1 and 2
+  union all select * from (select doc_id, ls, 'line', 1, unnest(range(1, len(ls) + 1)) as i from l)
+    where len(list_filter(string_split_regex(ls[i], '{_BLANKS}'), x -> x <> '')) >= 8),
+win as (select doc_id, kind, m, i, array_to_string(ls[i : i + m - 1], chr(10)) as s from pos),
+least as (select kind, s, min(struct_pack(d := doc_id, i := i)) as e from win group by kind, s),
+gone as (select distinct doc_id, unnest(range(i, i + m)) as k from win join least using (kind, s) where e <> struct_pack(d := doc_id, i := i)),
 each as (select doc_id, unnest(ls) as line, unnest(range(1, len(ls) + 1)) as k from l),
 kept as (select doc_id, string_agg(line, chr(10) order by k) as t, count(*) as n from each anti join gone using (doc_id, k) group by doc_id)
 select l.doc_id, len(ls)::bigint as n_lines, (len(ls) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256

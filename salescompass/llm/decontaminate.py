@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salescompass.llm.storage import unused
 from salescompass.llm.words import NOT_ALPHANUMERIC, Words, byte_texts, covered, pieces, span_lists
 
 SHINGLE = 3
@@ -246,8 +247,14 @@ def n_marked(spans: str = "spans"):
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
-    """The documents without any hit word, with their own columns."""
-    names = [c for c in docs.columns if c.lower() in ("n_words", "spans", "items")]
-    held = docs.withColumnsRenamed({c: f"_own_{c}" for c in names})
+    """The documents without any hit word, with their own columns, whatever their names.
+
+    Documents with a null or empty text stay, as do all copies of a row that stays; an empty
+    table, and an empty benchmark, change nothing.
+    """
+    held, own = docs, {}
+    for name in [c for c in docs.columns if c.lower() in ("n_words", "spans", "items")]:
+        own[unused(f"_own_{name}", held)] = name
+        held = held.withColumnsRenamed({name: list(own)[-1]})
     clean = contamination(held, benchmark, **settings).filter(F.size("spans") == 0).drop("n_words", "spans", "items")
-    return clean.withColumnsRenamed({f"_own_{c}": c for c in names}).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return clean.withColumnsRenamed(own).select(*[F.col(f"`{c}`") for c in docs.columns])

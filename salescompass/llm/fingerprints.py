@@ -21,12 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from salescompass.llm.storage import repeatable
+
 LANES = 256
 LANE = np.dtype("<i2")  # sums wrap modulo 2**16
 #: A paragraph ends with its line.  Whole articles often stand in one line: there a sentence is one.
 PARAGRAPH_END = r"\n+|(?<=[.!?]) +"
 PART_BYTES = 8_000_000
-MOST_PARTS = 10_000  # beyond, parts grow; they are read as streams
+SAMPLED = 10  # rows for each part that the cuts are taken from
 _RUN_BYTES = 4_000_000
 
 
@@ -140,6 +142,36 @@ def _across(end: str):
     return compare
 
 
+class Cuts:
+    """Cuts of the order by id, hash of the text and position; a part is the number of cuts up to a row.
+
+    Only rows whose id is that of a cut are compared by hash, and only those of its hash by position.
+    """
+
+    def __init__(self, rows: np.ndarray, n: int):
+        """``rows`` x 3 from a sample; ``n`` parts."""
+        rows = rows[np.lexsort(rows.T[::-1])]
+        rows = rows[np.unique(np.arange(1, n) * len(rows) // n)] if len(rows) else rows
+        self.columns = [np.ascontiguousarray(c) for c in rows.T]
+
+    def __len__(self) -> int:
+        return len(self.columns[0])
+
+    def parts(self, columns: list[np.ndarray]) -> np.ndarray:
+        out = np.empty(len(columns[0]), np.int64)
+        todo = [(0, 0, len(self), np.arange(len(out)))]
+        while todo:
+            level, low, high, rows = todo.pop()
+            cuts, values = self.columns[level][low:high], columns[level][rows]
+            left, right = (low + np.searchsorted(cuts, values, side) for side in ("left", "right"))
+            out[rows] = left if level < 2 else right
+            equal = np.flatnonzero(left < right) if level < 2 else []
+            for begin in np.unique(left[equal]) if len(equal) else []:
+                of = equal[left[equal] == begin]
+                todo.append((level + 1, int(begin), int(right[of[0]]), rows[of]))
+        return out
+
+
 def fingerprint_edits(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", end: str = PARAGRAPH_END, part_bytes: int = PART_BYTES
 ) -> DataFrame:
@@ -148,35 +180,40 @@ def fingerprint_edits(
 
     The edited text is the document with its last quarter of code points replaced by the
     beginning of the next document.  Null texts are empty; an empty text has the zero
-    fingerprint.  Null ids come first.  A single document is its own next one.  Other columns are ignored.
+    fingerprint.  Null ids come first.  Equal rows follow one another.  A single document is its
+    own next one.  Other columns are ignored.
 
-    The ids are cut into parts at quantiles, and each part is sorted and read as a stream,
-    which shuffles the texts once.  What follows the last row of a part is found by a small
-    join, one row per part.
+    The rows are cut into parts at quantiles of a sample, also within one id and among equal
+    rows; each part is sorted and read as a stream, which shuffles the texts once.  What
+    follows the last row of a part is found by a small join, one row per part.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = min(MOST_PARTS, math.ceil((size + 1) / part_bytes))
-    cuts = rows.select(F.col("doc_id").cast("double").alias("v")).approxQuantile("v", [i / n for i in range(1, n)], 0.25 / n) if n > 1 else []
-    cuts = np.unique(np.array(cuts, np.float64))
+    rows = repeatable(rows, "fingerprint-input").withColumns({"tie": F.xxhash64("text"), "at": F.monotonically_increasing_id()})
+    size, count = rows.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
+    n = math.ceil(((size or 0) + 1) / part_bytes)
+    first = F.lit(-(2**63)).cast("long")  # a null id
+    keys = [F.coalesce("doc_id", first).alias("id"), "tie", "at"]
+    share = min(1.0, SAMPLED * n / max(count, 1))
+    sample = rows.select(*keys).sample(share, seed=1).toArrow() if n > 1 else pa.table({c: pa.array([], pa.int64()) for c in ("id", "tie", "at")})
+    cuts = Cuts(np.stack([sample.column(c).to_numpy() for c in range(3)], axis=1), n)
 
     @F.arrow_udf("int")
-    def part(column: pa.Array) -> pa.Array:
-        return pa.array(np.searchsorted(cuts, column.cast(pa.float64(), safe=False).fill_null(-np.inf).to_numpy(zero_copy_only=False)), pa.int32())
+    def part(doc_id: pa.Array, tie: pa.Array, at: pa.Array) -> pa.Array:
+        return pa.array(cuts.parts([c.to_numpy(zero_copy_only=False) for c in (doc_id, tie, at)]), pa.int32())
 
-    rows = rows.withColumns({"tie": F.xxhash64("text"), "part": part("doc_id")})
-    inside = rows.repartition("part").sortWithinPartitions("part", "doc_id", "tie").select("part", "doc_id", "text").mapInArrow(_inside(end), RESULT)
+    rows = rows.withColumn("part", part(F.coalesce("doc_id", first), "tie", "at"))
+    order = ["part", "doc_id", "tie", "at"]
+    inside = rows.repartition(n, "part").sortWithinPartitions(*order).select("part", "doc_id", "text").mapInArrow(_inside(end), RESULT)
 
-    place = F.struct("doc_id", "tie")
-    ends = rows.groupBy("part").agg(F.min(place).alias("low"), F.max(place).alias("high"))  # at most MOST_PARTS rows
+    place = F.struct("doc_id", "tie", "at")
+    ends = rows.groupBy("part").agg(F.min(place).alias("low"), F.max(place).alias("high"))  # a row per part
     by_part = Window.orderBy("part")
     whole = by_part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ends = ends.withColumn("next", F.coalesce(F.lead("low").over(by_part), F.first("low").over(whole)))
 
     def texts(of: str, name: str) -> DataFrame:
-        keys = F.broadcast(ends.select(F.col("part").alias("at"), F.col(f"{of}.doc_id").alias("id"), F.col(f"{of}.tie").alias("hash")))
-        found = rows.drop("part").join(keys, rows["doc_id"].eqNullSafe(keys["id"]) & (rows["tie"] == keys["hash"]))
-        return found.groupBy("at").agg(F.first("doc_id").alias(f"{name}_id"), F.first("text").alias(name))
+        keys = F.broadcast(ends.select(F.col("part").alias("of"), F.col(f"{of}.at").alias("row")))  # positions are unique
+        return rows.join(keys, rows["at"] == keys["row"]).select("of", F.col("doc_id").alias(f"{name}_id"), F.col("text").alias(name))
 
-    across = texts("high", "text").join(texts("next", "following"), "at").select(F.col("text_id").alias("doc_id"), "text", "following")
+    across = texts("high", "text").join(texts("next", "following"), "of").select(F.col("text_id").alias("doc_id"), "text", "following")
     return inside.union(across.mapInArrow(_across(end), RESULT))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescompass.llm.permute import permuted
+from salescompass.llm.permute import permuted, with_permuted
+from salescompass.llm.storage import repeatable, unused
 from salescompass.operators.rows import number_rows
 
 
@@ -22,15 +23,17 @@ def place(row: Column, rows: Column, shards: int, seed: int) -> tuple[Column, Co
 def shard_rows(df: DataFrame, keys: list[str], shards: int, seed: int = 0) -> DataFrame:
     """Adds ``row`` (number in the order of ``keys``, then of the row's hash), ``shard`` and ``slot``.
 
-    Reruns agree: the order depends on the rows alone (equal rows are interchangeable).
-    Nulls come first.  An empty table stays empty.  Input columns of these names are replaced.
+    Reruns agree: the order depends on the rows alone (equal rows are interchangeable, and spread
+    over tasks by their positions).  Nulls come first.  An empty table stays empty.  Input
+    columns of the three names are replaced.
     """
-    df = df.drop("row", "shard", "slot")
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    numbered = number_rows(df.withColumn("_tie", tie), *keys, "_tie", name="row").drop("_tie")
+    df = repeatable(df, "shard-input").drop(*[c for c in df.columns if c.lower() in ("row", "shard", "slot") and c not in keys])
+    tie, at = unused("_tie", df), unused("_at", df)
+    hashed = df.withColumn(tie, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    numbered = number_rows(hashed, *keys, tie, name="row", position=F.monotonically_increasing_id()).drop(tie)
     rows = F.lit(numbered.count())  # of a stored table: read from its footers
-    shard, slot = place(F.col("row"), rows, shards, seed)
-    return numbered.withColumns({"shard": shard, "slot": slot})
+    placed = with_permuted(numbered, at, F.col("row"), rows, F.lit("shards"), F.lit(seed))
+    return placed.withColumns({"shard": F.pmod(at, F.lit(shards)).cast("int"), "slot": F.floor(F.col(at) / shards).cast("long")}).drop(at)
 
 
 def row_sizes(text: Column) -> tuple[Column, Column]:

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salescompass.llm.storage import repeatable
 from salescompass.llm.words import Words, byte_texts, covered, lists, mix, pieces, span_lists
 
 CHUNK_BYTES = 4_000_000  # text of a chunk, which one task holds at a time
@@ -231,12 +232,13 @@ def remove_repeats(
     is smaller than any other.  Null and empty texts have no words and an empty kept text.
     Other columns are ignored.  An empty table gives an empty one.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = repeatable(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), "substring-input")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, math.ceil(size / chunk_bytes))
     buckets = max(1, math.ceil(size / 6 / bucket_words))  # a word and its blank are about 6 bytes
     block = (window + 1) // 2
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)).cast("int"))
+    # by the row's position at the scan: equal rows go to different chunks
+    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(chunks)).cast("int"))
     probes = dealt.groupBy("chunk").applyInArrow(_send_probes(block, buckets), _PROBES)
     anchors = probes.groupBy("bucket").applyInArrow(_find_anchors, _PROBES).filter(F.size("keys") > 0)
     extended = dealt.groupBy("chunk").cogroup(anchors.groupBy("chunk")).applyInArrow(_extend(block, window, buckets), _WINDOWS)

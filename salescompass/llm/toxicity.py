@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salescompass.llm.rule_quality import labelled_sample
-from salescompass.llm.storage import stored
+from salescompass.llm.storage import stored, unused
 from salescompass.llm.words import NOT_ALPHANUMERIC, Words, byte_texts, pieces
 
 SAMPLE = 12_000  # labelled rows that a model is fitted on, those of the smallest hash of doc_id
@@ -80,22 +80,39 @@ def _features(batches):
             )
 
 
-def fit_cumulative_link(x: np.ndarray, grade: np.ndarray, penalty: float = PENALTY, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
+class Sparse(NamedTuple):
+    """Texts x features as the places and values that are not zero."""
+
+    text: np.ndarray
+    column: np.ndarray
+    value: np.ndarray
+    shape: tuple[int, int]
+
+    def times(self, weights: np.ndarray) -> np.ndarray:
+        return np.bincount(self.text, self.value * weights[self.column], minlength=self.shape[0])
+
+    def back(self, per_text: np.ndarray) -> np.ndarray:
+        """The transposed matrix times a number for each text."""
+        return np.bincount(self.column, self.value * per_text[self.text], minlength=self.shape[1])
+
+
+def fit_cumulative_link(x: Sparse, grade: np.ndarray, penalty: float = PENALTY, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ascending thresholds for grades 0 … K: accelerated proximal gradient steps on the
     mean negative log-likelihood with an L1 penalty on the weights."""
-    n, k = len(grade), int(grade.max())
+    (n, d), k = x.shape, int(grade.max())
     share = np.array([(grade > j).mean() for j in range(k)])
     thresholds = -np.log(share / (1 - share))
-    weights = np.zeros(x.shape[1])
-    vector = np.ones(x.shape[1]) / max(1, x.shape[1]) ** 0.5
+    weights = np.zeros(d)
+    vector = np.ones(d) / max(1, d) ** 0.5
+    norm = 0.0
     for _ in range(20):  # largest eigenvalue of x'x / n bounds the curvature
-        vector = x.T @ (x @ vector) / n
+        vector = x.back(x.times(vector)) / n
         norm = np.linalg.norm(vector)
         vector = vector / norm if norm else vector
-    step = 1 / (0.5 * (norm if x.shape[1] else 0.0) + 0.5)
+    step = 1 / (0.5 * norm + 0.5)
     looking, momentum, look_thresholds = weights, 1.0, thresholds
     for _ in range(steps):
-        eta = x @ looking
+        eta = x.times(looking)
         # F(upper threshold - eta) and F(lower threshold - eta); their difference is the likelihood
         upper = np.where(grade < k, _logistic(np.append(look_thresholds, np.inf)[grade] - eta), 1.0)
         lower = np.where(grade > 0, _logistic(np.concatenate([[-np.inf], look_thresholds])[grade] - eta), 0.0)
@@ -103,7 +120,7 @@ def fit_cumulative_link(x: np.ndarray, grade: np.ndarray, penalty: float = PENAL
         likely = np.maximum(upper - lower, 1e-12) * n
         by_upper, by_lower = upper * (1 - upper) / likely, lower * (1 - lower) / likely
         by_threshold = np.bincount(grade[grade > 0] - 1, by_lower[grade > 0], minlength=k) - np.bincount(grade[grade < k], by_upper[grade < k], minlength=k)
-        new = looking + step * (x.T @ slope) * -1.0
+        new = looking - step * x.back(slope)
         new = np.sign(new) * np.maximum(np.abs(new) - step * penalty, 0)
         # the order is kept by the likelihood; ``maximum`` guards against a long step
         new_thresholds = np.maximum.accumulate(look_thresholds - step * by_threshold + np.arange(k) * 1e-9)
@@ -143,10 +160,10 @@ def _fit(table: pa.Table) -> pa.Table:
     markers = np.bincount(text, count * marker[index], minlength=len(toxic))
     column = np.cumsum(telling) - 1
     use = telling[index]
-    x = np.zeros((len(toxic), int(telling.sum())))
-    x[text[use], column[index[use]]] = 1 + np.log(count[use])
-    scale = np.sqrt((x**2).mean(axis=0))
-    weights, thresholds = fit_cumulative_link(x / scale, _grades(toxic, markers))
+    place, value = column[index[use]], 1 + np.log(count[use])
+    scale = np.sqrt(np.bincount(place, value**2, minlength=int(telling.sum())) / len(toxic))
+    x = Sparse(text[use], place, value / scale[place], (len(toxic), len(scale)))
+    weights, thresholds = fit_cumulative_link(x, _grades(toxic, markers))
     kept = np.flatnonzero(weights)
     # thresholds go first, as features below zero
     return pa.table({
@@ -202,5 +219,6 @@ def graded(docs: DataFrame, model: SeverityModel) -> DataFrame:
 
     Null and empty texts have no words and the severity of a text without telling words.
     """
-    out = docs.drop("severity", "grade", "toxic").withColumn("_grade", severity(F.col("text"), model))
-    return out.select("*", "_grade.severity", "_grade.grade", "_grade.toxic").drop("_grade")
+    out = docs.drop("severity", "grade", "toxic")
+    at = unused("_grade", out)
+    return out.withColumn(at, severity(F.col("text"), model)).select("*", f"{at}.severity", f"{at}.grade", f"{at}.toxic").drop(at)

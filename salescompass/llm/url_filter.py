@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salescompass.llm.storage import unused
+
 ALLOW, BLOCK = "allow", "block"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -113,11 +115,13 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], url_col: str = "url", d
         found = automaton.matches([t.encode() for t in canonical])
         return pd.Series(np.where(found.any(axis=1), found.argmax(axis=1), -1) if len(rules) else np.full(len(canonical), -1))
 
+    out = pages.drop(*[c for c in pages.columns if c.lower() in ("host", "path", "rule", "verdict") and c != url_col])
+    at = unused("_fit", out)
     host, path = host_and_path(F.col(url_col))
-    judged = pages.withColumns({"host": host, "path": path}).withColumn("_fit", fitting(F.concat(F.lit("."), "host", "path")))
+    judged = out.withColumns({"host": host, "path": path}).withColumn(at, fitting(F.concat(F.lit("."), "host", "path")))
     names = F.array(*[F.lit(rules[i].pattern) for i in ranked]).cast("array<string>")
     verdicts = F.array(*[F.lit(rules[i].verdict) for i in ranked]).cast("array<string>")
-    fit = F.when(F.col("_fit") >= 0, F.col("_fit"))
+    fit = F.when(F.col(at) >= 0, F.col(at))
     return judged.withColumns(
         {"rule": F.get(names, fit), "verdict": F.coalesce(F.get(verdicts, fit), F.lit(default))}
-    ).drop("_fit")
+    ).drop(at)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -41,21 +42,31 @@ def substring_dedup(docs, window=13):
     return out
 
 
-def line_dedup(docs, window=3):
+def line_runs(lines, window, long_line):
+    """Start, end and key of every run of lines that is judged."""
+    for i in range(len(lines) - window + 1):
+        yield i, i + window, ("run", *lines[i : i + window])
+    if window > 1:
+        for i, line in enumerate(lines):
+            if len(words(line)) >= long_line:
+                yield i, i + 1, ("line", line)
+    if 0 < len(lines) < window:
+        yield 0, len(lines), ("document", *lines)
+
+
+def line_dedup(docs, window=3, long_line=8):
     """Documents are (doc_id, text) with distinct ids."""
     first = {}
     for doc_id, text in docs:
-        lines = text.split("\n") if text else []
-        for i in range(len(lines) - window + 1):
-            key = tuple(lines[i : i + window])
+        for i, _, key in line_runs(text.split("\n") if text else [], window, long_line):
             first[key] = min(first.get(key, (id_key(doc_id), i)), (id_key(doc_id), i))
     out = []
     for doc_id, text in docs:
         lines = text.split("\n") if text else []
         gone = set()
-        for i in range(len(lines) - window + 1):
-            if first[tuple(lines[i : i + window])] != (id_key(doc_id), i):
-                gone.update(range(i, i + window))
+        for i, end, key in line_runs(lines, window, long_line):
+            if first[key] != (id_key(doc_id), i):
+                gone.update(range(i, end))
         out.append((doc_id, len(lines), len(gone), sha("\n".join(x for i, x in enumerate(lines) if i not in gone))))
     return out
 
@@ -145,3 +156,19 @@ def fingerprint_rows(docs):
         n = len(text) // 4
         out.append((doc_id, len(text), sha(text[: len(text) - n] + following[:n])))
     return out
+
+
+def feistel(number, n, key, rounds=6):
+    """Cycle-walking Feistel permutation of 0 … n - 1; ``key(step, value)`` is the keyed hash."""
+    rows = max(1, math.ceil(math.sqrt(n)))
+    columns = max(1, math.ceil(n / rows))
+    while True:
+        row, column = divmod(number, columns)
+        for step in range(rounds):
+            if step % 2 == 0:
+                row = (row + key(step, column) % rows) % rows
+            else:
+                column = (column + key(step, row) % columns) % columns
+        number = row * columns + column
+        if number < n:
+            return number

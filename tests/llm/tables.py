@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, row int, spans string, N_Words int, severity string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, row int, spans string, N_Words int, severity string, _tie int, _part string, _inside int, _fit string, _Grade int, _own_n_words int, `_position` int, x int"
 
 
 def _rows():
@@ -27,8 +27,9 @@ def _rows():
         w[rng.randrange(len(w))] = "changed"
         texts.append(" ".join(w))
     sources = ["b", "a", None, "Z", "ä", "", "a"]
-    rows = [(i * 3, t, ["en", None][i % 2], sources[i % 7], len(t) if t else None, 0.1, i, "s", None, "x") for i, t in enumerate(texts)]
-    rows.append((None, "no id " + prose(30), None, None, None, None, None, None, None, None))
+    clashes = (1, "p", None, "f", 2, 3, 4, 5)
+    rows = [(i * 3, t, ["en", None][i % 2], sources[i % 7], len(t) if t else None, 0.1, i, "s", None, "x", *clashes) for i, t in enumerate(texts)]
+    rows.append((None, "no id " + prose(30), *[None] * 16))
     rng.shuffle(rows)
     return rows
 

@@ -50,6 +50,17 @@ def test_line_dedup(awkward, window):
     assert tuples(mine) == sorted(plain.line_dedup(pairs(rows), window), key=lambda r: (KEYS(r), repr(r)))
 
 
+def test_line_dedup_of_long_lines_and_short_documents(spark):
+    long = "one two three four five six seven eight"
+    rows = [
+        (1, f"{long}\nx"), (2, f"y\n{long}"), (3, f"{long}\nx"), (4, f"{long} nine\n{long}  "), (5, "x"), (6, "x"), (7, "x\n"), (8, "x\n"),
+        (9, f"a\n\nb\n{long}\n\nc\x00{long}"), (10, f"c\x00{long}\n{long}\n{long}"), (11, "short line\n\nshort line"), (12, f"\n{long}\r\n{long}\x0b"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    mine = line_dedup.remove_repeated_lines(df).select("doc_id", "n_lines", F.size("removed"), F.sha2("kept_text", 256))
+    assert tuples(mine) == plain.line_dedup(rows)
+
+
 def test_line_dedup_finds_every_run_of_random_lines(spark):
     rng = random.Random(3)
     rows = [(i, "\n".join(rng.choice("abc") for _ in range(rng.randrange(12)))) for i in range(60)]
@@ -108,6 +119,41 @@ def test_sharding(awkward):
     assert (alone[0], alone[1]) == (rows[0]["shard"], rows[0]["slot"])
 
 
+def test_sharding_is_a_plain_feistel_walk(spark):
+    n, shards, seed = 43, 7, 3
+    side = int(n**0.5) + 1
+    hashes = spark.range(side + 1).select("id", *[F.xxhash64(F.xxhash64(F.lit("shards"), F.lit(seed)), F.lit(k), F.col("id")).alias(f"h{k}") for k in range(6)])
+    table = {(k, r["id"]): r[f"h{k}"] for r in hashes.collect() for k in range(6)}
+    out = sharding.shard_rows(spark.range(n).withColumnRenamed("id", "doc_id"), ["doc_id"], shards, seed).collect()
+    for r in out:
+        at = plain.feistel(r["row"], n, lambda step, value: table[step, value])
+        assert (r["shard"], r["slot"]) == (at % shards, at // shards)
+
+
+def test_equal_rows_are_spread(spark):
+    """A third of the rows are equal, a third have one id, and a third have none."""
+    rows = [(7, "the same words in a row")] * 3000 + [(8, f"text {i}") for i in range(3000)] + [(None, "no id here")] * 3000
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = sharding.shard_rows(df, ["doc_id"], 7)
+        parts = sorted(spark.read.parquet(f).count() for f in out.inputFiles())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(parts) == 4 and parts[-1] <= 3 * parts[1] and sorted(r["row"] for r in out.collect()) == list(range(9000))
+    removed = substring_dedup.remove_repeats(df, 3, chunk_bytes=20_000).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum(n_marked("removed")).alias("words"))
+    assert {tuple(r) for r in removed.collect()} == {(7, 3000, 0), (8, 3000, 0), (None, 3000, 0)}
+
+
+def test_chunks_share_one_exchange(spark, empty):  # noqa: F811
+    """The three steps of substring dedup read the texts that one exchange has dealt."""
+    df = spark.createDataFrame([(i, f"a b c {i} " * 9) for i in range(50)], "doc_id long, text string")
+    out = substring_dedup.remove_repeats(df, 5)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+    assert plan.count("ReusedExchange") >= 2
+
+
 def test_sizes(spark):
     df = spark.createDataFrame([(None,), ("",), ("é日",)], "text string")
     assert [tuple(r) for r in df.select(*sharding.row_sizes(F.col("text"))).collect()] == [(16, 0), (16, 0), (21, crc32("é日".encode()))]
@@ -172,6 +218,25 @@ def test_fingerprints_add_up():
     assert fingerprints.likeness(*fingerprints.sums([[], []])[:, None])[0] == 1
 
 
+def test_fingerprint_parts_are_cut_within_hot_ids_and_equal_rows(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    ids = np.concatenate([np.full(7000, 5), np.full(7000, 9), rng.integers(10, 10**6, 7000)])
+    ties = np.concatenate([np.full(7000, 3), rng.integers(0, 2**62, 7000), rng.integers(0, 2**62, 7000)])
+    rows = np.stack([ids, ties, np.arange(21_000)], axis=1)
+    cuts = fingerprints.Cuts(rows[rng.random(21_000) < 0.02], 30)
+    parts = cuts.parts(list(rows.T))
+    sizes = np.bincount(parts, minlength=30)
+    assert len(cuts) == 29 and sizes.max() <= 3 * np.median(sizes)
+    order = np.lexsort(rows.T[::-1])
+    assert (np.diff(parts[order]) >= 0).all()
+    hot = [(5, "one text. And another one.")] * 60 + [(9, "A line of nine."), (None, "no id. At all.")] * 1 + [(i, f"text {i}. " * 5) for i in range(10, 30)]
+    df = spark.createDataFrame(hot, "doc_id long, text string").repartition(5)
+    got = fingerprints.fingerprint_edits(df, part_bytes=150).collect()
+    assert sorted(((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in got), key=lambda r: (KEYS(r), r[2])) == sorted(plain.fingerprint_rows(hot), key=lambda r: (KEYS(r), r[2]))
+
+
 def test_one_document_is_its_own_next(spark):
     df = spark.createDataFrame([(5, "abcdefgh")], "doc_id long, text string")
     row = fingerprints.fingerprint_edits(df).first()
@@ -206,13 +271,43 @@ def test_near_duplicates_in_one_large_group(spark, monkeypatch):
     texts += [" ".join(f"v{rng.randrange(500)}" for _ in range(100)) for _ in range(20)]
     expected = plain.near_classes(texts)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for block, rounds in ((7, 1), (256, 2)):
+    for block, rounds, small in ((7, 1, 2), (256, 2, 8), (16, 0, 4)):
         monkeypatch.setattr(near_dedup, "BLOCK", block)
+        monkeypatch.setattr(near_dedup, "SMALL_BAND", small)
         monkeypatch.setattr(near_dedup, "ROUNDS", rounds)
         got = dict(map(tuple, near_dedup.NearDuplicates(df).classes().collect()))
         assert [got[i] for i in range(len(texts))] == expected
 
 
+@pytest.mark.parametrize("n", [300, 1200])
+def test_links_are_few(spark, monkeypatch, n):
+    """Near copies of one text: the component search gets two links per document at most."""
+    from salescompass.llm import components as module
+    from salescompass.llm.storage import stored
+
+    rng = random.Random(n)
+    base = [f"w{rng.randrange(900)}" for _ in range(200)]
+    texts = []
+    for i in range(n):
+        w = list(base)
+        for _ in range(rng.randrange(3)):
+            w[rng.randrange(200)] = f"n{i}"
+        texts.append(" ".join(w))
+    seen, original = [], module.components
+
+    def counted(links):
+        links = stored(links, "test-links")
+        seen.append(links.count())
+        return original(links)
+
+    monkeypatch.setattr(near_dedup, "components", counted)
+    monkeypatch.setattr(module, "components", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = dict(map(tuple, near_dedup.NearDuplicates(df).classes().collect()))
+    assert set(got.values()) == {0}  # 20 of 196 shingles differ at most, a similarity of 0.81
+    assert 0.6 * n < sum(seen) <= 2 * n  # equal texts are one node
+
+
 def test_repeated_rows_and_ids(spark):
     one = "a b c d e f g h"
     df = spark.createDataFrame([(1, one), (1, one), (1, "other text of this id here"), (2, one), (3, None), (4, "")], "doc_id long, text string")
@@ -249,8 +344,17 @@ def test_mix(awkward):
         assert abs(taken[s] - target) <= 8 * 6 + 0.02 * target, (s, taken[s], target)
     drawn = mix.plan.collect()
     assert len({(r["no"], r["pass"], r["block"]) for r in drawn}) == len(drawn)
-    per_shard = Counter(r["shard"] for r in drawn)
-    assert max(per_shard.values()) - min(per_shard.values()) <= 6
+    walked = Counter()  # every slot takes the block that a plain walk of the permutation gives
+    blocks = {r["no"]: -(-r["source_size"] // 8) for r in mix.sources.collect()}
+    spans = defaultdict(list)
+    for r in mix.docs.collect():
+        spans[r["no"]].append((r["start"], r["start"] + r["size"], r["row"]))
+    for r in drawn:
+        low, high = r["block"] * 8, r["block"] * 8 + 8
+        assert r["draw"] // blocks[r["no"]] == r["pass"]
+        for begin, end, row in spans[r["no"]]:
+            walked[row] += max(0, min(high, end) - max(low, begin))
+    assert +walked == +Counter({r["row"]: r["taken"] for r in mix.pieces().groupBy("row").agg(F.sum(F.col("high") - F.col("low")).alias("taken")).collect()})
     again = source_mix.Mix(df.repartition(4), block=8).taken().collect()
     assert Counter((r["doc_id"], r["taken"]) for r in again) == Counter((r["doc_id"], r["taken"]) for r in out)
 
@@ -279,8 +383,26 @@ def test_tiny_sources_meet_their_targets(spark):
     full = {s for s, n in sizes.items() if wanted[s] == 2 * n}
     assert len(full) >= 24 and {s: taken[s] for s in full} == {s: 2 * sizes[s] for s in full}
     assert all(abs(taken[s] - wanted[s]) < 64 for s in sizes)
-    shards = Counter(r["shard"] for r in mix.plan.collect())
-    assert len(shards) == 8 and max(shards.values()) - min(shards.values()) <= 1
+    assert set(range(8)) == {r["shard"] for r in mix.plan.collect()}
+
+
+def test_shard_counts_are_multinomial(spark):
+    """400 sources of 800 draws over 8 shards: mean 100 and variance 800 x 1/8 x 7/8 in every shard."""
+    import numpy as np
+
+    draws = spark.range(400).select(F.col("id").cast("int").alias("no"), F.lit(800).cast("long").alias("total"))
+    rows = source_mix.shard_counts(draws, 8, 5).collect()
+    counts = np.zeros((400, 8))
+    for r in rows:
+        counts[r["no"], r["shard"]] = r["count"]
+    assert (counts.sum(axis=1) == 800).all()
+    assert abs(counts.mean(axis=0) - 100).max() < 4 * (87.5 / 400) ** 0.5
+    assert abs(counts.var(axis=0) / 87.5 - 1).max() < 4 * (2 / 400) ** 0.5
+    shared = np.corrcoef(counts.T)[np.triu_indices(8, 1)]
+    assert abs(shared + 1 / 7).max() < 4 / 400**0.5  # what one shard has another lacks
+    assert sorted(rows) == sorted(source_mix.shard_counts(draws.repartition(7), 8, 5).collect())
+    other = source_mix.shard_counts(draws, 8, 6).collect()
+    assert sorted(rows) != sorted(other)
 
 
 def test_many_sources_are_shared_out_in_parts(spark):
@@ -293,7 +415,7 @@ def test_many_sources_are_shared_out_in_parts(spark):
     assert set(got) == set(sizes) and all(abs(got[s]["target"] - t) < 1e-6 * max(t, 1) for s, t in wanted.items())
     assert [got[s]["no"] for s in sorted(filter(None, sizes))] == list(range(1, 2001)) and (got[""]["no"], got[None]["no"]) == (0, 2001)
     # no window, and no array, holds all sources
-    for out in (source_mix.source_targets(df), source_mix.shard_counts(shared, 32, 8, 0)):
+    for out in (source_mix.source_targets(df), source_mix.shard_counts(source_mix.source_draws(shared, 32, 0), 8, 0)):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "collect_list" not in plan and all("_part" in line for line in plan.splitlines() if "Window [" in line)
 
@@ -392,7 +514,8 @@ def test_cumulative_link_recovers_its_own_model():
     weights, cuts = np.array([1.5, -1.0, 0.0, 0.5]), np.array([-0.5, 0.8, 2.0])
     u = rng.random(6000)
     grade = (u[:, None] > 1 / (1 + np.exp(x @ weights - cuts[:, None]).T)).sum(axis=1)
-    found, thresholds = toxicity.fit_cumulative_link(x, grade, penalty=1e-4)
+    of, column = np.nonzero(x)
+    found, thresholds = toxicity.fit_cumulative_link(toxicity.Sparse(of, column, x[of, column], x.shape), grade, penalty=1e-4)
     assert np.abs(found - weights).max() < 0.15 and np.abs(thresholds - cuts).max() < 0.15
 
 

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from salescompass.llm.permute import permuted
+from salescompass.llm.permute import permuted, with_permuted
 
 
 def test_permutes_every_range(spark):
@@ -18,3 +18,12 @@ def test_keys_differ_and_runs_agree(spark):
     assert of(1) == of(1) != of(2)
     same_place = sum(a == b for a, b in zip(of(1), range(500)))
     assert same_place < 12  # one is expected of a random permutation
+
+
+def test_written_out_rounds_give_the_same_numbers(spark):
+    sizes = spark.createDataFrame([(n,) for n in [0, *range(1, 40), 1000]], "_n long")
+    rows = sizes.withColumn("_x", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("_n") - 1, F.lit(0).cast("long")))))
+    key = (F.lit("k"), F.col("_n"))
+    both = with_permuted(rows, "y", F.col("_x"), F.col("_n"), *key).withColumn("z", permuted(F.col("_x"), F.col("_n"), *key))
+    assert both.columns == ["_n", "_x", "y", "z"] and both.filter("not (y <=> z)").count() == 0
+    assert both.filter("y is null").count() == 1

@@ -16,7 +16,6 @@ from salescompass.llm.storage import unused
 
 ROUNDS = 6
 WALK = 64
-PLAIN_WALK = 2  # walks that are written out as columns; few numbers need more
 
 
 def permuted(number: Column, n: Column, *key: Column) -> Column:
@@ -47,24 +46,22 @@ def permuted(number: Column, n: Column, *key: Column) -> Column:
 
 
 def with_permuted(df: DataFrame, name: str, number: Column, n: Column, *key: Column) -> DataFrame:
-    """Adds ``permuted(number, n, *key)`` as column ``name``, worked out step by step in generated code.
+    """Adds ``permuted(number, n, *key)`` as column ``name``, the first walk step by step in generated code.
 
-    Every round is a projection of its own, so nothing is worked out twice.  Only a number that is still
-    outside the range after PLAIN_WALK walks goes through the general expression, which Spark interprets.
+    Every round is a projection of its own, so nothing is worked out twice.  Only the few numbers that
+    are outside the range after one walk go through the general expression, which Spark interprets.
     """
     names = {c: unused(f"_{c}", df) for c in ("x", "n", "rows", "columns", "key", "row", "column")}
     x, of, rows, columns, keyed, row, column = (F.col(names[c]) for c in names)
     steps = df.withColumns({names["x"]: number.cast("long"), names["n"]: n.cast("long"), names["key"]: F.xxhash64(*key)})
     steps = steps.withColumn(names["rows"], F.greatest(F.ceil(F.sqrt(of.cast("double"))).cast("long"), F.lit(1).cast("long")))
     steps = steps.withColumn(names["columns"], F.greatest(F.ceil(of / rows).cast("long"), F.lit(1).cast("long")))
-    for walk in range(PLAIN_WALK):
-        steps = steps.withColumns({names["row"]: F.floor(x / columns).cast("long"), names["column"]: F.pmod(x, columns)})
-        for step in range(ROUNDS):
-            if step % 2 == 0:
-                steps = steps.withColumn(names["row"], F.pmod(row + F.pmod(F.xxhash64(keyed, F.lit(step), column), rows), rows))
-            else:
-                steps = steps.withColumn(names["column"], F.pmod(column + F.pmod(F.xxhash64(keyed, F.lit(step), row), columns), columns))
-        new = row * columns + column
-        steps = steps.withColumn(names["x"], new if not walk else F.when(x < of, x).otherwise(new))
+    steps = steps.withColumns({names["row"]: F.floor(x / columns).cast("long"), names["column"]: F.pmod(x, columns)})
+    for step in range(ROUNDS):
+        if step % 2 == 0:
+            steps = steps.withColumn(names["row"], F.pmod(row + F.pmod(F.xxhash64(keyed, F.lit(step), column), rows), rows))
+        else:
+            steps = steps.withColumn(names["column"], F.pmod(column + F.pmod(F.xxhash64(keyed, F.lit(step), row), columns), columns))
+    steps = steps.withColumn(names["x"], row * columns + column)
     further = F.when(x < of, x).otherwise(permuted(number, n, *key))
     return steps.withColumn(name, F.when(of > 0, further)).drop(*names.values())

@@ -30,8 +30,10 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 40, 6  # a pair of similarity 0.8 shares no band with a probability of 5e-6
 SMALL_BAND = 8  # members that are compared as pairs
-ROUNDS = 2  # times that members outside their bands' largest components are compared with one member of it
+ROUNDS = 3  # times that members outside their bands' largest components are compared with one member of it
 BLOCK = 256  # documents on each side that are compared in one task
+VERIFIED = 1000  # pairs whose texts a task holds besides the batch they come in
+PAIRS_AT_ONCE = 1_000_000  # pairs of equal shingles that a comparison of blocks holds
 
 
 def shingles(words: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -137,13 +139,15 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 def _verify(similarity: float, size: int):
     def verify(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = byte_texts(batch.column("text_a")), byte_texts(batch.column("text_b"))
             keep = np.zeros(batch.num_rows, bool)
-            for low, high in pieces(left):
-                distinct = list({t or b"": None for t in left[low:high] + right[low:high]})
-                bags = dict(zip(distinct, _bags(distinct, size), strict=True))
-                for i in range(low, high):
-                    keep[i] = overlap(bags[left[i] or b""], bags[right[i] or b""]) >= similarity
+            for begin in range(0, batch.num_rows, VERIFIED):
+                some = batch.slice(begin, VERIFIED)
+                left, right = byte_texts(some.column("text_a")), byte_texts(some.column("text_b"))
+                for low, high in pieces(left):
+                    distinct = list({t or b"": None for t in left[low:high] + right[low:high]})
+                    bags = dict(zip(distinct, _bags(distinct, size), strict=True))
+                    for i in range(low, high):
+                        keep[begin + i] = overlap(bags[left[i] or b""], bags[right[i] or b""]) >= similarity
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return verify
@@ -164,11 +168,18 @@ def _links_of_blocks(similarity: float, size: int):
             text, hashes, weights = text[order], hashes[order], weights[order]
             low, high = np.searchsorted(hashes, other_hashes), np.searchsorted(hashes, other_hashes, side="right")
             n = high - low
-            source = np.repeat(np.arange(len(n)), n)
-            entry = low[source] + np.arange(len(source)) - np.repeat(np.cumsum(n) - n, n)
             shape = (left.num_rows, right.num_rows)
-            shared = np.zeros(shape, np.int64)
-            np.add.at(shared, (text[entry], other[source]), np.minimum(weights[entry], other_weights[source]))
+            shared = np.zeros(shape[0] * shape[1], np.int64)
+            reached = np.cumsum(n)
+            begin = 0
+            while begin < len(n):  # near copies share most shingles: pairs of equal ones are taken in bounded steps
+                end = max(begin + 1, int(np.searchsorted(reached, (reached[begin - 1] if begin else 0) + PAIRS_AT_ONCE, side="right")))
+                source = np.repeat(np.arange(begin, end), n[begin:end])
+                entry = low[source] + np.arange(len(source)) - np.repeat(reached[begin:end] - n[begin:end] - (reached[begin - 1] if begin else 0), n[begin:end])
+                both = np.minimum(weights[entry], other_weights[source])
+                shared += np.bincount(text[entry] * shape[1] + other[source], both, minlength=len(shared)).astype(np.int64)
+                begin = end
+            shared = shared.reshape(shape)
             sizes = np.bincount(text, weights, minlength=shape[0]), np.bincount(other, other_weights, minlength=shape[1])
             total = sizes[0][:, None] + sizes[1] - shared
             label, other_label = left.column("label").to_numpy(), right.column("label").to_numpy()

@@ -460,6 +460,21 @@ _SQL["stream_dedup"] = f"""
 _BEFORE = "(select * from events where ts < (select date_trunc('day', max(ts)) from events))"
 _FIRST = re.sub(r"\bfrom events\b", f"from {_BEFORE}", with_ctes(_ENGAGEMENT))
 _SQL["stream_refresh"] = f"select *, 1 as delivery from ({_FIRST}) union all select *, 2 as delivery from ({with_ctes(_ENGAGEMENT)})"
+
+
+def _delivered(delivery: int) -> str:
+    """The engagement table over what has come by a delivery; every tenth event comes one later."""
+    sql = with_ctes(_ENGAGEMENT)
+    if delivery == 2:
+        return sql
+    days, late_days, flow_days = {0: (20, 10**4, 400), 1: (5, 20, 60)}[delivery]
+    newest = "(select cast(max(ts) as date) from events)"
+    events = f"(select * from events where cast(ts as date) < {newest} - {days} and (event_id % 10 <> 0 or cast(ts as date) < {newest} - {late_days}))"
+    flows = f"(select * from lineitem where cast(l_shipdate as date) < (select cast(max(l_shipdate) as date) from lineitem) - {flow_days})"
+    return re.sub(r"\bfrom lineitem\b", f"from {flows}", re.sub(r"\bfrom events\b", f"from {events}", sql))
+
+
+_SQL["incremental_engagement"] = " union all ".join(f"select *, {k} as delivery from ({_delivered(k)})" for k in range(3))
 _SQL["stream_quality"] = "select * from dq_rows where table_name = 'advisor_events' and metric_name <> 'ORPHAN_COUNT'"
 _SQL["incremental_flow_merge"] = _SQL["stream_flow_merge"] = f"""
     select fund_id, advisor_id, territory_id, flow_date, flow_type, {d("sum(flow_amount)")} as flow_amount,
@@ -469,6 +484,10 @@ _SQL["incremental_flow_merge"] = _SQL["stream_flow_merge"] = f"""
 # -- retrieval ------------------------------------------------------------------------------------
 _SQL["search_documents"] = "select * from sdocs"
 _SQL["search_topk"] = bm25("(select doc_id, text as body from documents)", "(select item_id as query_id, text as body from benchmark)")
+_SQL["search_postings_topk"] = _SQL["search_topk"]
+_SQL["search_index_refresh"] = bm25(
+    "(select doc_id, text as body from documents where doc_id % 7 <> 3)", "(select item_id as query_id, text as body from benchmark)"
+)
 _FUND_BODIES = "(select fund_id as doc_id, search_text as body from sdocs)"
 def _with_fund(sql: str) -> str:
     return f"select b.*, fund_name, fund_category from ({sql}) b join fund_dim on b.doc_id = fund_id"
@@ -490,4 +509,5 @@ _SQL["vector_topk"] = """
             from centroids c join units u on c.pos = u.pos group by c.label, u.vec_id))
     where rank <= 5"""
 
-ORACLE: dict[str, str] = {name: sql if name == "stream_refresh" else with_ctes(sql) for name, sql in _SQL.items()}
+_WHOLE = ("stream_refresh", "incremental_engagement")  # their expressions differ by delivery
+ORACLE: dict[str, str] = {name: sql if name in _WHOLE else with_ctes(sql) for name, sql in _SQL.items()}

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salescompass.functions import dates, scoring
@@ -126,6 +126,22 @@ def engagement_runs(
         .join(aum_by_run(flows, [r.as_of if r.flows_as_of is None else r.flows_as_of for r in runs]), keys, "left")
     )
     joined = dimension_join(joined, names, "territory_id", "left")
+    return _scored(joined, F.get(F.array(*[dates.day(r.as_of) for r in runs]), F.col("run")))
+
+
+def engagement_of(advisors: DataFrame, territories: DataFrame, activity: DataFrame, opportunities: DataFrame, aum: DataFrame, as_of) -> DataFrame:
+    """One scored row per active advisor from finished summaries, a row per advisor each.
+
+    ``activity`` has the counts of the window and ``last_activity_timestamp``; days since then, and
+    with them the scores, are worked out for ``as_of`` here, so a summary stays as it is while no event comes or goes.
+    """
+    idle = F.datediff(dates.day(as_of), F.col("last_activity_timestamp").cast("date"))
+    active = advisors.filter("active").select("advisor_id", "advisor_name", "territory_id", F.col("tier").alias("advisor_tier"))
+    joined = active.join(activity.withColumn("days_since_last_activity", idle), "advisor_id", "left").join(opportunities, "advisor_id", "left").join(aum, "advisor_id", "left")
+    return _scored(dimension_join(joined, territories.select("territory_id", "territory_name"), "territory_id", "left"), dates.day(as_of))
+
+
+def _scored(joined: DataFrame, score_date: Column) -> DataFrame:
     counted = list(ACTIVITY_COLUMNS.values())
     return joined.select(
         "advisor_id",
@@ -133,7 +149,7 @@ def engagement_runs(
         "territory_id",
         "territory_name",
         "advisor_tier",
-        F.get(F.array(*[dates.day(r.as_of) for r in runs]), F.col("run")).alias("score_date"),
+        score_date.alias("score_date"),
         scoring.engagement_score(*[F.col(c) for c in counted], F.col("days_since_last_activity")).alias(
             "engagement_score"
         ),

@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 
 from fixtures.messages import DELIVERIES, deliveries
 from salescompass.functions import dates, money, scoring, text
-from salescompass.operators import alerts, attribution, engagement, quality, rows, search, vectors
+from salescompass.operators import alerts, attribution, engagement, postings, quality, rows, search, vectors
 from salescompass.operators.classify import classify
 from salescompass.operators.skew import spread
 from salescompass.plans import context, derived, questions, reports, semantic
 from salescompass.plans.verified import LOGICAL_TABLES, VERIFIED, VIEWS, current_advisors, current_territories
 from salescompass.sources import sinks, telemetry
 from salescompass.sources.workspace import Workspace, define
-from salescompass.streaming import ingest, refresh
+from salescompass.streaming import ingest, refresh, segments, sliding
 
 Query = Callable[[Workspace], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -762,6 +762,46 @@ def _(ws):
     return reduce(DataFrame.unionByName, tables)
 
 
+@query("incremental_engagement")
+def _(ws):
+    """The engagement table kept by adding and retracting: its rows after each of three deliveries.
+
+    Events of every tenth id come one delivery late; flows come in the same three steps.
+    """
+
+    def run() -> list[tuple[str, object]]:
+        root = ws.path("incremental_engagement")
+        events, flows = ws.table("advisor_events"), ws.table("fund_flows")
+        late = F.substring("event_id", 2, 18).cast("long") % 10 == 0
+        event_days = [F.date_sub(dates.day(_events_now(ws)), back) for back in (20, 5)]
+        flow_days = [F.date_sub(dates.day(_flows_now(ws)), back) for back in (400, 60)]
+        day, sources = F.to_date("event_timestamp"), {}
+        come = F.when(day < event_days[0], 0).when(day < event_days[1], 1).otherwise(2) + F.when(late, 1).otherwise(0)
+        sources["activity"] = (events.select("advisor_id", "event_type", "event_timestamp", F.least(come, F.lit(2)).alias("delivery")), sliding.activity_window())
+        come = F.when(F.col("flow_date") < flow_days[0], 0).when(F.col("flow_date") < flow_days[1], 1).otherwise(2)
+        sources["flows"] = (flows.select("advisor_id", "flow_date", "flow_amount", come.alias("delivery")), sliding.flow_window())
+        snapshots = []
+        for delivery in range(3):
+            for name, (rows, window) in sources.items():
+                feed = f"{root}/{name}/feed"
+                sinks.append(rows.filter(F.col("delivery") == delivery).drop("delivery"), feed)
+                stream = ws.spark.readStream.schema(rows.drop("delivery").schema).parquet(feed)
+                sliding.sliding_stream(stream, f"{root}/{name}/state", f"{root}/{name}/checkpoint", window).awaitTermination()
+            activity, aum = (sliding.current(ws.spark, f"{root}/{name}/state") for name in sources)
+            table = engagement.engagement_of(
+                ws.table("advisor_dim"), ws.table("territory_dim"), activity.withColumnRenamed("last", "last_activity_timestamp"),
+                engagement.opportunity_summary(ws.table("opportunity")), aum.filter("flows > 0").select("advisor_id", "total_flow_12m"),
+                sliding.now_of(ws.spark, f"{root}/activity/state"),
+            )
+            snapshots.append(f"{root}/table/delivery={delivery}")
+            sinks.overwrite(table, snapshots[-1])
+        return snapshots
+
+    paths = ws.once("incremental_engagement", run)
+    tables = [ws.spark.read.parquet(path).withColumn("delivery", F.lit(i)) for i, path in enumerate(paths)]
+    return reduce(DataFrame.unionByName, tables)
+
+
 @query("stream_quality")
 def _(ws):
     """Checks of the landed events, measured whenever new rows have landed."""
@@ -842,6 +882,58 @@ def _(ws):
     return search.search_topk(search.query_terms(ws.source("benchmark"), "item_id"), index)
 
 
+def _document_postings(ws: Workspace) -> DataFrame:
+    index = _index(ws, "documents", ws.source("documents").select("doc_id", "text"))
+    return ws.stored("documents_postings", lambda path: postings.write_blocks(postings.posting_blocks(index), path))
+
+
+@query("search_postings_topk")
+def _(ws):
+    """The same five documents from an inverted index, without the ranges that cannot hold one of them."""
+    index = _index(ws, "documents", ws.source("documents").select("doc_id", "text"))
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        return ws.stored(f"postings_{name}", lambda path: sinks.overwrite(df, path))
+
+    return postings.search_postings(search.query_terms(ws.source("benchmark"), "item_id"), index, _document_postings(ws), keep).best
+
+
+def _document_changes(ws: Workspace) -> DataFrame:
+    """Changes of the documents in three deliveries: drafts that are replaced, late and withdrawn documents."""
+    n = F.col("doc_id")
+    docs = ws.source("documents").select("doc_id", "text")
+    change = lambda when, delivery, text, deleted=False: F.when(
+        when, F.struct(F.lit(delivery).alias("delivery"), text.alias("text"), F.lit(deleted).alias("deleted"))
+    )
+    late, draft, gone, back = n % 3 == 2, (n % 5 == 0) & (n % 3 != 2), n % 7 == 3, (n % 11 == 4) & (n % 7 != 3)
+    none = F.lit(None).cast("string")
+    each = F.array(
+        change(~late, 0, F.when(draft, F.concat(F.lit("draft draft "), F.reverse("text"))).otherwise(F.col("text"))),
+        change(late, 1, F.col("text")), change(draft, 1, F.col("text")), change(back, 1, none, True),
+        change(back, 2, F.col("text")), change(gone, 2, none, True),
+    )
+    rows = docs.select("doc_id", F.posexplode(F.array_compact(each)).alias("at", "c"))
+    return rows.select("doc_id", "c.text", "c.deleted", "at", "c.delivery")
+
+
+@query("search_index_refresh")
+def _(ws):
+    """The five best documents from an index that has followed three deliveries of changes, merged once on the way."""
+
+    def run() -> str:
+        root, changes = ws.path("search_segments"), _document_changes(ws)
+        index = segments.SegmentedIndex(ws.spark, f"{root}/index", changes.drop("delivery").schema, most=2)
+        for delivery in range(3):
+            sinks.append(changes.filter(F.col("delivery") == delivery).drop("delivery"), f"{root}/feed")
+            stream = ws.spark.readStream.schema(changes.drop("delivery").schema).parquet(f"{root}/feed")
+            segments.index_stream(stream, index, f"{root}/checkpoint").awaitTermination()
+        return f"{root}/index"
+
+    root = ws.once("search_segments", run)
+    index = segments.SegmentedIndex(ws.spark, root, _document_changes(ws).drop("delivery").schema)
+    return search.search_topk(search.query_terms(ws.source("benchmark"), "item_id"), index.view())
+
+
 def _fund_queries(ws: Workspace) -> DataFrame:
     """One question per fund category and asset class."""
     question = F.concat_ws(" ", F.lit("fund"), "fund_category", F.regexp_replace("asset_class", "#", " "))

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 import re
 import struct
 import uuid
@@ -41,6 +42,7 @@ END_ID = 0
 DICTIONARY_BYTES = 64_000
 SAMPLE = 2_000  # documents that the dictionary is trained on, and the most characters of each
 SAMPLE_CHARS = 16_000
+PART_BYTES = 64_000_000  # text that a task encodes: what it has learnt about words pays off over all of it
 FILE_BYTES = 16_000_000  # compressed; a file ends with the document that reaches it
 LEVEL = 3
 CACHED_CHARS = 20_000_000  # of chunks whose ids a task remembers
@@ -225,15 +227,16 @@ class TokenFile:
         self._in.close()
 
 
-def train_dictionary(docs: DataFrame, definition: str, size: int = DICTIONARY_BYTES, sample: int = SAMPLE) -> bytes:
+def train_dictionary(docs: DataFrame, definition: str, size: int = DICTIONARY_BYTES, sample: int = SAMPLE) -> tuple[bytes, float]:
     """A zstandard dictionary trained on the id arrays of about ``sample`` pseudorandom rows (the first
-    SAMPLE_CHARS characters of each), in one task; empty if there is too little to learn from.
+    SAMPLE_CHARS characters of each), in one task, and the estimated bytes of all texts.
 
     Rows are taken by the hash of their id and position, so every task passes on its share of them only.
+    The dictionary is empty if there is too little to learn from.
     """
     rows = docs.agg(F.count(F.lit(1))).first()[0]
     taken = F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(1 << 40)) < F.lit(round(min(1.0, sample / max(rows, 1)) * (1 << 40)))
-    some = docs.filter(taken).select(F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    some = docs.filter(taken).select(F.substring("text", 1, SAMPLE_CHARS).alias("text"), F.octet_length("text").alias("bytes"))
 
     def train(table: pa.Table) -> pa.Table:
         encode, kind = Encoder(definition), id_type(definition)
@@ -242,10 +245,11 @@ def train_dictionary(docs: DataFrame, definition: str, size: int = DICTIONARY_BY
             found = zstandard.train_dictionary(size, [s for s in samples if s]).as_bytes()
         except (zstandard.ZstdError, ValueError):  # too few or too small samples
             found = b""
-        return pa.table({"dictionary": pa.array([found], pa.binary())})
+        mean = float(table.column("bytes").to_numpy().mean())
+        return pa.table({"dictionary": pa.array([found], pa.binary()), "mean": pa.array([mean])})
 
-    rows = some.groupBy().applyInArrow(train, "dictionary binary").collect()
-    return bytes(rows[0]["dictionary"]) if rows else b""
+    found = some.groupBy().applyInArrow(train, "dictionary binary, mean double").collect()
+    return (bytes(found[0]["dictionary"]), found[0]["mean"] * rows) if found else (b"", 0.0)
 
 
 MANIFEST = "part int, seq int, path string, n_docs long, n_tokens long, n_bytes long"
@@ -329,7 +333,8 @@ class TokenFiles(NamedTuple):
 
 
 def write_token_files(
-    docs: DataFrame, definition: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, file_bytes: int = FILE_BYTES
+    docs: DataFrame, definition: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, file_bytes: int = FILE_BYTES,
+    part_bytes: int = PART_BYTES,
 ) -> TokenFiles:
     """Encode every whole text, append ``end_id`` and write the ids in ascending order of ids.
 
@@ -341,13 +346,14 @@ def write_token_files(
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = repeatable(rows, "token-input")
-    dictionary = train_dictionary(rows, definition)
+    dictionary, size = train_dictionary(rows, definition)
     folder = run_dir(spark, "llm", f"token-files-{uuid.uuid4().hex[:12]}")
     files, root = _open(folder)
     files.create_dir(root, recursive=True)
     with files.open_output_stream(f"{root}/{hashlib.sha256(dictionary).hexdigest()}.dict") as out:
         out.write(dictionary)
     keys = ("doc_id", "tie", "row")
-    ordered = rows.withColumns({"tie": F.xxhash64("text"), "row": F.monotonically_increasing_id()}).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ordered = rows.withColumns({"tie": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+    ordered = ordered.repartitionByRange(math.ceil((size + 1) / part_bytes), *keys).sortWithinPartitions(*keys)
     written = ordered.select("doc_id", "text").mapInArrow(_write(folder, definition, dictionary, end_id, file_bytes), MANIFEST)
     return TokenFiles(folder, dictionary, stored(written, "token-manifest"))

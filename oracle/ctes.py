@@ -74,7 +74,10 @@ CTES: dict[str, str] = {
     "refresh_log": """
         select 'DT_' || (event_id % 3) as name, 'DISTRIBUTION' as schema_name,
                case event_type when 'click' then 'FULL' else 'INCREMENTAL' end as refresh_action, ts as refresh_start_time
-        from events where event_type in ('click', 'view')""",
+        from events where event_type in ('click', 'view')
+        union all select 'engagement', 'DISTRIBUTION', 'FULL', max(event_timestamp) from located_events where territory_id is not null
+          and event_timestamp < (select date_trunc('day', max(event_timestamp)) from located_events where territory_id is not null)
+        union all select 'engagement', 'DISTRIBUTION', 'FULL', max(event_timestamp) from located_events where territory_id is not null""",
     "check_time": "select cast(max(usage_date) + 1 as timestamp) as checked_at from usage_history",
     "ev_now": "select max(ts) as now from events",
     "fl_now": "select max(cast(l_shipdate as date)) as today from lineitem",

@@ -440,6 +440,50 @@ for _key, _cte in _ALERTS.items():
     _SQL[_key] = f"select alert, fired, {d('value')} as value, message from {_cte}"
 _SQL["alert_report"] = " union all ".join(_SQL[k] for k in _ALERTS)
 
+_SQL["alert_events_stale_by_territory"] = """
+    select territory_id, last_row, coalesce(last_row < newest - interval 30 minute, false) as fired,
+           date_diff('second', last_row, newest) as seconds_behind
+    from (select territory_id, max(row_timestamp) as last_row from located_events group by territory_id),
+         (select max(row_timestamp) as newest from located_events)"""
+
+# -- states, rollups and sets that are kept -------------------------------------------------------
+_SQL["engagement_daily_trend"] = f"""
+    select score_date, count(*) as advisors, {d("avg(engagement_score)")} as avg_engagement,
+           count(*) filter (where engagement_score < 30) as at_risk, sum(call_count_30d)::bigint as calls,
+           {d("sum(aum_amount)")} as aum, {d("sum(open_opportunity_value)")} as pipeline
+    from adv_hist group by score_date"""
+
+
+def _pairs(source: str, dims: list[str], metrics: str) -> str:
+    return " union all ".join(
+        f"select '{a}/{b}' as dimensions, {a}::varchar as first, {b}::varchar as second, {metrics} from {source} group by {a}, {b}"
+        for i, a in enumerate(dims) for b in dims[i + 1 :]
+    )
+
+
+_ADVISOR_METRICS = f"{d('sum(aum_amount)')} as total_aum, {d('avg(engagement_score)')} as avg_engagement_score, {d('sum(call_count_30d)')} as total_calls_30d"
+_SQL["metric_rollup_advisor"] = " union all ".join([
+    _pairs("adv", ["territory_name", "advisor_tier", "territory_id"], _ADVISOR_METRICS),
+    *[
+        f"select '{a}/score_date' as dimensions, {a}::varchar as first, score_date::varchar as second, {_ADVISOR_METRICS} from adv_hist group by {a}, score_date"
+        for a in ("territory_name", "advisor_tier", "territory_id")
+    ],
+])
+_SQL["metric_rollup_flows"] = _pairs(
+    "ffa", ["fund_category", "flow_type", "territory_id"], f"{d('sum(flow_amount)')} as net_flow_amount, {d('avg(capture_rate)')} as avg_capture_rate"
+)
+_MONTH = "strftime(event_timestamp, '%Y-%m')"
+_SQL["distinct_bitmap_advisors"] = f"""
+    select 'territory_id/month' as by, territory_id, {_MONTH} as month, null as event_type, count(distinct advisor_id) as advisors
+    from located_events group by territory_id, {_MONTH}
+    union all select 'event_type', null, null, event_type, count(distinct advisor_id) from located_events group by event_type
+    union all select 'territory_id', territory_id, null, null, count(distinct advisor_id) from located_events group by territory_id
+    union all select 'all', null, null, null, count(distinct advisor_id) from located_events"""
+_SQL["bucketed_engagement_join"] = f"""
+    select advisor_id, events, active_days, {d("net_flow")} as net_flow, flow_days
+    from (select advisor_id, count(*) as events, count(distinct cast(event_timestamp as date)) as active_days from advisor_events group by advisor_id)
+         join (select advisor_id, sum(flow_amount) as net_flow, count(distinct flow_date) as flow_days from fund_flows group by advisor_id) using (advisor_id)"""
+
 # -- streaming ------------------------------------------------------------------------------------
 _SQL["stream_ingest"] = f"""
     select event_id, advisor_id, territory_id, event_type, event_timestamp, fund_id, {d("aum_amount")} as aum_amount,
@@ -457,6 +501,11 @@ _SQL["stream_stats"] = """
 _SQL["stream_dedup"] = f"""
     select event_id, advisor_id, territory_id, event_type, event_timestamp, {d("aum_amount")} as aum_amount
     from located_events"""
+_SQL["stream_alert_stale"] = """
+    select territory_id, event_timestamp as silent_since, event_timestamp + interval 30 minute as fired_at
+    from (select territory_id, event_timestamp, lead(event_timestamp) over (partition by territory_id order by event_timestamp) as next from located_events),
+         (select max(event_timestamp) as now from located_events)
+    where coalesce(next, now) >= event_timestamp + interval 30 minute"""
 _BEFORE = "(select * from events where ts < (select date_trunc('day', max(ts)) from events))"
 _FIRST = re.sub(r"\bfrom events\b", f"from {_BEFORE}", with_ctes(_ENGAGEMENT))
 _SQL["stream_refresh"] = f"select *, 1 as delivery from ({_FIRST}) union all select *, 2 as delivery from ({with_ctes(_ENGAGEMENT)})"
@@ -510,4 +559,6 @@ _SQL["vector_topk"] = """
     where rank <= 5"""
 
 _WHOLE = ("stream_refresh", "incremental_engagement")  # their expressions differ by delivery
+_SQL["engagement_daily_trend"] = with_ctes(_SQL["engagement_daily_trend"]).replace("range(0, 91, 7)", "range(0, 91)")
+_WHOLE += ("engagement_daily_trend",)
 ORACLE: dict[str, str] = {name: sql if name in _WHOLE else with_ctes(sql) for name, sql in _SQL.items()}

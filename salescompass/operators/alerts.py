@@ -44,6 +44,17 @@ def events_stale(events: DataFrame, as_of) -> DataFrame:
     )
 
 
+def events_stale_by(events: DataFrame, key: str) -> DataFrame:
+    """Per key: newest event more than 30 minutes older than the newest one of all keys.
+
+    The other keys are the clock, so one feed that stopped is seen while others go on.
+    """
+    newest = events.agg(F.max("row_timestamp")).scalar()
+    rows = events.groupBy(key).agg(F.max("row_timestamp").alias("last_row"))
+    fired = F.coalesce(F.col("last_row") < newest - F.make_dt_interval(mins=F.lit(STALE_MINUTES)), F.lit(False))
+    return rows.select(key, "last_row", fired.alias("fired"), dates.seconds_between(F.col("last_row"), newest).alias("seconds_behind"))
+
+
 def high_attrition(engagement: DataFrame, as_of) -> DataFrame:
     """More than 20 % of today's Platinum advisors score below the risk line."""
     platinum = engagement.filter(

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from salescompass.functions import dates, scoring
 from salescompass.operators.skew import dimension_join
@@ -129,6 +130,98 @@ def engagement_runs(
     return _scored(joined, F.get(F.array(*[dates.day(r.as_of) for r in runs]), F.col("run")))
 
 
+MICROS_PER_DAY = 86_400_000_000
+
+
+def _entries(rows: DataFrame, back_most, back_least, runs: int, step: int, *columns) -> DataFrame:
+    """Adds ``enter`` and ``leave``: rows count in the runs from ``enter`` up to before ``leave``.
+
+    Run i is ``step * (runs - 1 - i)`` days back.  A row counts while a run is at most ``back_most``
+    and at least ``back_least`` days back; one that does so in no run has ``leave`` not after ``enter``.
+    """
+    enter = runs - 1 - F.least(F.lit(runs - 1), F.floor(back_most / step))
+    leave = F.when(back_least > 0, runs - F.ceil(back_least / step)).otherwise(runs)
+    return rows.filter(back_most >= 0).select(*columns, enter.cast("int").alias("enter"), F.greatest(leave, F.lit(0)).cast("int").alias("leave"))
+
+
+def _changes(summed: DataFrame, numbers: dict[str, str]) -> DataFrame:
+    """``advisor_id, i`` and by how much each number changes with run i: up at ``enter``, down at ``leave``."""
+    counts = F.col("leave") > F.col("enter")
+    up = F.struct(F.col("enter").alias("i"), *[F.when(counts, F.col(n)).otherwise(F.lit(0).cast(k)).alias(n) for n, k in numbers.items()], F.col("last"))
+    down = F.struct(F.col("leave").alias("i"), *[(-F.col(n)).cast(k).alias(n) for n, k in numbers.items()], F.lit(None).cast("timestamp_ntz").alias("last"))
+    both = F.array_compact(F.array(up, F.when(counts & (F.col("leave") < F.lit(_RUNS_END)), down)))
+    return summed.select("advisor_id", F.explode(both).alias("c")).select("advisor_id", "c.*")
+
+
+_RUNS_END = 1 << 30  # ``leave`` of rows that stay in to the end
+_SWEPT = {
+    **dict.fromkeys(ACTIVITY_COLUMNS.values(), "long"), "total_flow_12m": "decimal(28,2)", "flows": "long",
+    "open_opportunity_count": "long", "open_opportunity_value": "decimal(28,2)",
+}
+
+
+def engagement_sweep(
+    advisors: DataFrame, territories: DataFrame, events: DataFrame, opps: DataFrame, flows: DataFrame, newest: Run, runs: int, step: int = 1
+) -> DataFrame:
+    """The rows of ``engagement_runs`` for ``runs`` runs, ``step`` days apart up to ``newest``, by one sweep.
+
+    A fact row enters the windows of the runs at one run and leaves at a later one.  The facts are summed
+    per advisor and these two runs, each sum becomes a change up and a change down, and the running
+    total of an advisor's changes is its state at every run.  The work does not grow with the
+    number of runs, except for the rows that come out.
+    """
+    end = F.lit(_RUNS_END)
+    now, flow_day = dates.instant(newest.as_of), dates.day(newest.as_of if newest.flows_as_of is None else newest.flows_as_of)
+
+    micros = F.timestamp_diff("MICROSECOND", F.col("event_timestamp"), now)
+    whole = F.expr(f"age div {MICROS_PER_DAY}")
+    upward = F.expr(f"(age + {MICROS_PER_DAY - 1}) div {MICROS_PER_DAY}")
+    kinds = [F.count_if(F.col("event_type") == kind).alias(name) for kind, name in ACTIVITY_COLUMNS.items()]
+    aged = events.select("advisor_id", "event_type", "event_timestamp", micros.alias("age")).filter("age >= 0")
+    placed = _entries(aged, whole, upward - 30, runs, step, "advisor_id", "event_type", "event_timestamp")
+    activity = placed.groupBy("advisor_id", "enter", "leave").agg(*kinds, F.max("event_timestamp").alias("last"))
+
+    after = F.add_months("flow_date", 12)
+    last_day = F.when(F.add_months(F.date_add(after, 1), -12) <= F.col("flow_date"), F.date_add(after, 1)).otherwise(after)
+    dated = flows.filter(F.col("flow_date").isNotNull() & F.col("flow_amount").isNotNull())
+    placed = _entries(dated, F.datediff(flow_day, F.col("flow_date")), F.datediff(flow_day, last_day), runs, step, "advisor_id", "flow_amount")
+    money = placed.groupBy("advisor_id", "enter", "leave").agg(
+        F.sum(F.abs("flow_amount")).cast("decimal(28,2)").alias("total_flow_12m"), F.count(F.lit(1)).alias("flows"), F.lit(None).cast("timestamp_ntz").alias("last")
+    )
+
+    known = open_only(opps)
+    back = F.lit(step * (runs - 1)) if newest.opps_as_of is None else F.datediff(dates.day(newest.opps_as_of), F.col("created_date"))
+    placed = _entries(known, back, F.lit(0), runs, step, "advisor_id", F.coalesce("amount", F.lit(0).cast("decimal(18,2)")).alias("amount"))
+    deals = placed.groupBy("advisor_id", "enter", "leave").agg(
+        F.count(F.lit(1)).alias("open_opportunity_count"), F.sum("amount").cast("decimal(28,2)").alias("open_opportunity_value"),
+        F.lit(None).cast("timestamp_ntz").alias("last"),
+    )
+
+    changes = None
+    for summed in (activity, money, deals):
+        numbers = {n: k for n, k in _SWEPT.items() if n in summed.columns}
+        each = _changes(summed.withColumn("leave", F.when(F.col("leave") >= runs, end).otherwise(F.col("leave"))), numbers)
+        each = each.select("advisor_id", "i", *[F.col(n) if n in numbers else F.lit(0).cast(k).alias(n) for n, k in _SWEPT.items()], "last")
+        changes = each if changes is None else changes.union(each)
+    at_run = changes.groupBy("advisor_id", "i").agg(*[F.sum(n).cast(k).alias(n) for n, k in _SWEPT.items()], F.max("last").alias("last"))
+
+    so_far = Window.partitionBy("advisor_id").orderBy("i")
+    total = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    states = at_run.select(
+        "advisor_id", "i", F.lead("i", 1, runs).over(so_far).alias("next"),
+        *[F.sum(n).over(total).cast(k).alias(n) for n, k in _SWEPT.items()], F.max("last").over(total).alias("last_activity_timestamp"),
+    ).withColumn("run", F.explode(F.sequence(F.col("i"), F.col("next") - 1))).drop("i", "next")
+    states = states.withColumn("total_flow_12m", F.when(F.col("flows") > 0, F.col("total_flow_12m"))).drop("flows")
+
+    active = advisors.filter("active").select(
+        "advisor_id", "advisor_name", "territory_id", F.col("tier").alias("advisor_tier"), F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run")
+    )
+    score_date = F.date_sub(dates.day(newest.as_of), (F.lit(runs - 1) - F.col("run")) * step)
+    idle = F.datediff(score_date, F.col("last_activity_timestamp").cast("date"))
+    joined = active.join(states, ["advisor_id", "run"], "left").withColumn("days_since_last_activity", idle)
+    return _scored(dimension_join(joined, territories.select("territory_id", "territory_name"), "territory_id", "left"), score_date)
+
+
 def engagement_of(advisors: DataFrame, territories: DataFrame, activity: DataFrame, opportunities: DataFrame, aum: DataFrame, as_of) -> DataFrame:
     """One scored row per active advisor from finished summaries, a row per advisor each.
 

@@ -13,8 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salescompass.functions import dates
 from salescompass.operators.attribution import flow_attribution
-from salescompass.operators.engagement import Run, engagement_runs
+from salescompass.operators.engagement import Run, engagement_runs, engagement_sweep
 from salescompass.operators.territory import territory_heat_map
 from salescompass.sources import sinks
 from salescompass.sources.workspace import Workspace, define
@@ -40,6 +41,13 @@ def engagement_at(ws: Workspace, days_back: Sequence[int] = (0,)) -> DataFrame:
     return engagement_runs(*facts, [run(back) for back in days_back])
 
 
+def engagement_trend(ws: Workspace, runs: int, step: int = 1) -> DataFrame:
+    """The engagement table at ``runs`` moments, ``step`` days apart, by one sweep over the facts."""
+    newest = Run(*[ws.as_of(source) for source in ("advisor_events", "fund_flows", "opportunity")])
+    facts = [ws.table(t) for t in ("advisor_dim", "territory_dim", "advisor_events", "opportunity", "fund_flows")]
+    return engagement_sweep(*facts, newest, runs, step)
+
+
 def attribution(ws: Workspace) -> DataFrame:
     return flow_attribution(
         ws.table("fund_flows"),
@@ -64,8 +72,10 @@ def _engagement_history(ws: Workspace) -> DataFrame:
     """All runs in one pass over the facts, a partition for each score date; the newest is the current table."""
 
     def write(path: str) -> None:
-        earlier = sinks.stamped(engagement_at(ws, [d for d in SNAPSHOT_DAYS_BACK if d]), "computed_at")
-        runs = ws.table("advisor_engagement_score").unionByName(earlier)
+        newest = ws.table("advisor_engagement_score")
+        weekly = engagement_trend(ws, len(SNAPSHOT_DAYS_BACK), SNAPSHOT_DAYS_BACK[1])
+        earlier = weekly.filter(F.col("score_date") < dates.day(ws.as_of("advisor_events")))
+        runs = newest.unionByName(sinks.stamped(earlier, "computed_at"))
         sinks.write_snapshot(runs.hint("rebalance", "score_date"), path, "score_date")
 
     return ws.stored("advisor_engagement_history", write)

@@ -5,20 +5,22 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fixtures.messages import DELIVERIES, deliveries
 from salescompass.functions import dates, money, scoring, text
-from salescompass.operators import alerts, attribution, engagement, postings, quality, rows, search, vectors
+from salescompass.operators import alerts, attribution, distinct, engagement, postings, quality, rows, search, vectors
 from salescompass.operators.classify import classify
 from salescompass.operators.skew import spread
-from salescompass.plans import context, derived, questions, reports, semantic
+from salescompass.plans import context, derived, questions, reports, rollups, semantic
 from salescompass.plans.verified import LOGICAL_TABLES, VERIFIED, VIEWS, current_advisors, current_territories
+from salescompass.session import digest
 from salescompass.sources import sinks, telemetry
 from salescompass.sources.workspace import Workspace, define
-from salescompass.streaming import ingest, refresh, segments, sliding
+from salescompass.streaming import ingest, refresh, segments, silence, sliding
 
 Query = Callable[[Workspace], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -641,6 +643,89 @@ def _(ws):
     )
 
 
+@query("engagement_daily_trend")
+def _(ws):
+    """Advisors, scores and books of every day of the last 91, by one sweep over the facts."""
+    return derived.engagement_trend(ws, 91).groupBy("score_date").agg(
+        F.count(F.lit(1)).alias("advisors"), F.avg("engagement_score").alias("avg_engagement"),
+        F.count_if(scoring.at_risk(F.col("engagement_score"))).alias("at_risk"), F.sum("call_count_30d").alias("calls"),
+        F.sum("aum_amount").cast("decimal(38,4)").alias("aum"), F.sum("open_opportunity_value").alias("pipeline"),
+    )
+
+
+def _rollups(ws: Workspace, table: str, pairs: list[tuple[str, str]]) -> rollups.Rollups:
+    def write(name: str, summed: DataFrame) -> DataFrame:
+        return ws.stored(name, lambda path: rollups.write_rollups(summed, path))
+
+    return ws.once(f"rollups:{table}", lambda: rollups.build_rollups(table, ws.table(LOGICAL_TABLES[table]), pairs, write))
+
+
+def _metric_pairs(ws: Workspace, table: str, dims: list[str], metrics: list[str]) -> DataFrame:
+    """Metrics at every pair of dimensions, from the stored rollups."""
+    pairs = list(combinations(dims, 2))
+    stored = _rollups(ws, table, pairs)
+    each = [
+        rollups.rollup_query(stored, metrics, pair).select(
+            F.lit("/".join(pair)).alias("dimensions"), *[F.col(d).cast("string").alias(n) for d, n in zip(pair, ("first", "second"), strict=True)],
+            *[F.col(m).cast("double").alias(m) for m in metrics],
+        )
+        for pair in pairs
+    ]
+    return reduce(DataFrame.unionByName, each)
+
+
+@query("metric_rollup_advisor")
+def _(ws):
+    dims = ["territory_name", "advisor_tier", "territory_id", "score_date"]
+    return _metric_pairs(ws, "advisor_eng", dims, ["total_aum", "avg_engagement_score", "total_calls_30d"])
+
+
+@query("metric_rollup_flows")
+def _(ws):
+    return _metric_pairs(ws, "fund_flows", ["fund_category", "flow_type", "territory_id"], ["net_flow_amount", "avg_capture_rate"])
+
+
+def _advisor_sets(ws: Workspace) -> DataFrame:
+    """Which advisors had events in a territory on a day, as bitmaps."""
+    numbers = ws.stored("advisor_numbers", lambda path: sinks.overwrite(distinct.numbered_keys(ws.table("advisor_events"), "advisor_id"), path))
+    rows = ws.table("located_events").select("territory_id", F.to_date("event_timestamp").alias("day"), "event_type", "advisor_id")
+    return ws.stored("advisor_sets", lambda path: sinks.overwrite(distinct.bitmap_sets(rows, numbers, "advisor_id", ["territory_id", "day", "event_type"]), path))
+
+
+@query("distinct_bitmap_advisors")
+def _(ws):
+    """Exact distinct advisors by territory and month, type, territory and overall, all from the same stored bitmaps."""
+    sets = _advisor_sets(ws).withColumn("month", F.date_format("day", "yyyy-MM"))
+    none = F.lit(None).cast("string")
+    each = []
+    for by in (["territory_id", "month"], ["event_type"], ["territory_id"], []):
+        counts = distinct.distinct_count(sets, by, "advisors")
+        each.append(counts.select(F.lit("/".join(by) or "all").alias("by"), *[F.col(c) if c in by else none.alias(c) for c in ("territory_id", "month", "event_type")], "advisors"))
+    return reduce(DataFrame.unionByName, each)
+
+
+def _bucketed(ws: Workspace, name: str, rows: DataFrame) -> DataFrame:
+    """Rows per advisor and day as a bucketed table."""
+    table = f"{name}_{digest(ws.path(name))}"
+    ws.once(f"bucketed:{name}", lambda: sinks.write_bucketed(rows, table, ws.path(f"bucketed/{name}"), "advisor_id", 16))
+    return ws.spark.table(table)
+
+
+def _advisor_days(ws: Workspace) -> tuple[DataFrame, DataFrame]:
+    events = ws.table("advisor_events").groupBy("advisor_id", F.to_date("event_timestamp").alias("day")).agg(F.count(F.lit(1)).alias("events"))
+    flows = ws.table("fund_flows").groupBy("advisor_id", "flow_date").agg(F.sum("flow_amount").cast("decimal(28,2)").alias("net"))
+    return _bucketed(ws, "event_days", events), _bucketed(ws, "flow_days", flows)
+
+
+@query("bucketed_engagement_join")
+def _(ws):
+    """Events and flows of the advisors that have both, joined and summed bucket by bucket."""
+    events, flows = _advisor_days(ws)
+    active = events.groupBy("advisor_id").agg(F.sum("events").alias("events"), F.count(F.lit(1)).alias("active_days"))
+    booked = flows.groupBy("advisor_id").agg(F.sum("net").cast("decimal(28,2)").alias("net_flow"), F.count(F.lit(1)).alias("flow_days"))
+    return active.join(booked, "advisor_id")
+
+
 # -- alerts -----------------------------------------------------------------------------------------
 ALERTS: dict[str, Query] = {
     "alert_events_stale": lambda ws: alerts.events_stale(ws.table("advisor_events"), _checked_at(ws)),
@@ -652,6 +737,11 @@ ALERTS: dict[str, Query] = {
 QUERIES.update(ALERTS)
 
 
+@query("alert_events_stale_by_territory")
+def _(ws):
+    return alerts.events_stale_by(ws.table("located_events"), "territory_id")
+
+
 @query("alert_report")
 def _(ws):
     return alerts.alert_report([condition(ws) for condition in ALERTS.values()])
@@ -724,11 +814,10 @@ def _(ws):
     return landed.select("event_id", "advisor_id", "territory_id", "event_type", "event_timestamp", "aum_amount")
 
 
-@query("stream_refresh")
-def _(ws):
+def _refreshed(ws: Workspace) -> list[str]:
     """The engagement table rebuilt after each of two deliveries; the second brings the newest day.
 
-    Each rebuild takes its "now" from the events landed by then.
+    Each rebuild takes its "now" from the events landed by then.  Paths of the rebuilds, oldest first.
     """
 
     def run() -> list[str]:
@@ -757,11 +846,43 @@ def _(ws):
             ).awaitTermination()
         return refresh.finished_versions(ws.spark, target)
 
-    runs = ws.once("refresh", run)
-    tables = [ws.spark.read.parquet(path).withColumn("delivery", F.lit(i + 1)) for i, path in enumerate(runs)]
+    return ws.once("refresh", run)
+
+
+@query("stream_refresh")
+def _(ws):
+    tables = [ws.spark.read.parquet(path).withColumn("delivery", F.lit(i + 1)) for i, path in enumerate(_refreshed(ws))]
     return reduce(DataFrame.unionByName, tables)
 
 
+def _refresh_history(ws: Workspace) -> DataFrame:
+    """Recorded refreshes, and those of our own stream."""
+    _refreshed(ws)
+    recorded = telemetry.refresh_history(ws.spark, ws.source_dir)
+    return recorded.unionByName(ws.spark.read.parquet(ws.path("refresh/history")).select(*recorded.columns))
+
+
+define("refresh_history", _refresh_history)
+
+
+@query("stream_alert_stale")
+def _(ws):
+    """Every silence of a territory's events of 30 minutes; the events come in two deliveries."""
+
+    def run() -> str:
+        root = ws.path("silence")
+        events = ws.table("located_events").select("territory_id", "event_timestamp")
+        newest_day = F.date_trunc("day", events.agg(F.max("event_timestamp")).scalar())
+        late = F.col("event_timestamp") >= newest_day
+        for kept in (~late, late):
+            sinks.append(events.filter(kept), f"{root}/feed")
+            stream = ws.spark.readStream.schema(events.schema).parquet(f"{root}/feed")
+            silence.silence_stream(stream, f"{root}/alerts", f"{root}/checkpoint", "territory_id", "event_timestamp").awaitTermination()
+        return f"{root}/alerts"
+
+    return ws.spark.read.parquet(ws.once("silence", run)).select("territory_id", "silent_since", "fired_at")
+
+
 @query("incremental_engagement")
 def _(ws):
     """The engagement table kept by adding and retracting: its rows after each of three deliveries.

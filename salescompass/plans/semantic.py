@@ -6,6 +6,7 @@ filters into one filter-group-aggregate plan over one table.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -153,6 +154,11 @@ def semantic_rows(table: str, df: DataFrame, all_runs: bool = False) -> DataFram
     return _of_run(logical, df, (), all_runs).select(*[d.name for d in logical.dimensions], *[f.name for f in logical.facts])
 
 
+def _names(predicate: Column, column: str) -> bool:
+    """Whether a condition mentions a column, by its text."""
+    return re.search(rf"\b{column}\b", str(predicate)) is not None
+
+
 def metric_query(
     table: str,
     df: DataFrame,
@@ -163,9 +169,13 @@ def metric_query(
 ) -> DataFrame:
     """Metrics of one logical table by some of its dimensions.
 
-    ``all_runs`` is for a filter that picks a run itself.
+    ``all_runs`` is for a filter that picks a run itself; without it, such a filter on a table of
+    which only the newest run is read raises an error instead of finding nothing.
     """
     logical = SEMANTIC[table]
+    by_run = logical.snapshot is not None and not all_runs and logical.snapshot not in dims
+    if by_run and any(_names(predicate, logical.snapshot) for predicate in filters):
+        raise ValueError(f"a filter on {logical.snapshot} picks a run: pass all_runs")
     unknown = set(dims) - {d.name for d in logical.dimensions}
     if unknown:
         raise ValueError(f"not dimensions of {table}: {sorted(unknown)}")

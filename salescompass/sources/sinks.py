@@ -46,3 +46,12 @@ def write_snapshot(df: DataFrame, path: str, date_col: str) -> None:
         .partitionBy(date_col)
         .parquet(path)
     )
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> None:
+    """A catalog table of files at ``path``, dealt by the hash of ``key`` and sorted by it.
+
+    Tables of as many buckets join and group by the key without moving a row.  A key's rows are one
+    task's, so tables with crowded keys are summed up first.
+    """
+    df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)

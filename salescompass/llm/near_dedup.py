@@ -31,6 +31,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 40, 6  # a pair of similarity 0.8 shares no band with a probability of 5e-6
 SMALL_BAND = 8  # members that are compared as pairs
 ROUNDS = 3  # times that members outside their bands' largest components are compared with one member of it
+PIECE = 500_000  # bytes of text whose shingles a task holds at once
 BLOCK = 256  # documents on each side that are compared in one task
 VERIFIED = 1000  # pairs whose texts a task holds besides the batch they come in
 PAIRS_AT_ONCE = 1_000_000  # pairs of equal shingles that a comparison of blocks holds
@@ -99,7 +100,7 @@ def _sketch(bands: int, rows: int, size: int):
     def sketch(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = byte_texts(batch.column("text"))
-            for low, high in pieces(texts):
+            for low, high in pieces(texts, PIECE):
                 words = Words(texts[low:high])
                 n = high - low
                 text, hashes, weights = shingles(words, size)
@@ -143,7 +144,7 @@ def _verify(similarity: float, size: int):
             for begin in range(0, batch.num_rows, VERIFIED):
                 some = batch.slice(begin, VERIFIED)
                 left, right = byte_texts(some.column("text_a")), byte_texts(some.column("text_b"))
-                for low, high in pieces(left):
+                for low, high in pieces(left, PIECE):
                     distinct = list({t or b"": None for t in left[low:high] + right[low:high]})
                     bags = dict(zip(distinct, _bags(distinct, size), strict=True))
                     for i in range(low, high):
@@ -155,7 +156,7 @@ def _verify(similarity: float, size: int):
 
 def _links_of_blocks(similarity: float, size: int):
     def bags(table: pa.Table):
-        found = [(low, shingles(Words(texts[low:high]), size)) for texts in [byte_texts(table.column("text"))] for low, high in pieces(texts)]
+        found = [(low, shingles(Words(texts[low:high]), size)) for texts in [byte_texts(table.column("text"))] for low, high in pieces(texts, PIECE)]
         return tuple(np.concatenate(x) for x in zip(*((low + text, hashes, weights) for low, (text, hashes, weights) in found), strict=True))
 
     def compare(key, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -196,7 +197,7 @@ def _shingle_rows(size: int):
     def rows(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node, texts = batch.column("node").to_numpy(), byte_texts(batch.column("text"))
-            for low, high in pieces(texts):
+            for low, high in pieces(texts, PIECE):
                 text, hashes, weights = shingles(Words(texts[low:high]), size)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(node[low:high][text]), pa.array(hashes.view(np.int64)), pa.array(weights.astype(np.int64))], names=["node", "shingle", "weight"]
@@ -206,7 +207,7 @@ def _shingle_rows(size: int):
 
 
 def _bags(texts: list[bytes], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for low, high in pieces(texts):
+    for low, high in pieces(texts, PIECE):
         text, hashes, weights = shingles(Words(texts[low:high]), size)
         edge = np.searchsorted(text, np.arange(high - low + 1))
         for begin, end in zip(edge[:-1], edge[1:], strict=True):

@@ -169,7 +169,8 @@ class Mix:
         )
         low = F.greatest(F.col("block") * self.block - F.col("start"), F.lit(0))
         high = F.least((F.col("block") + 1) * self.block - F.col("start"), F.col("size"))
-        return of.join(self.plan, ["no", "block"]).select("row", "pass", low.alias("low"), high.alias("high"))
+        # the plan's rows come from few bytes, which must not be taken for a small table
+        return of.join(self.plan.hint("merge"), ["no", "block"]).select("row", "pass", low.alias("low"), high.alias("high"))
 
     def taken(self) -> DataFrame:
         """A row per document: ``doc_id, source, size, source_size, target, taken``."""

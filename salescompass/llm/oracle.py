@@ -21,7 +21,7 @@ with l as (select doc_id, case when coalesce(text, '') = '' then [] else string_
 pos as (select doc_id, ls, 'run' as kind, 3 as m, unnest(range(1, len(ls) - 1)) as i from l where len(ls) >= 3
   union all select doc_id, ls, 'document', len(ls), 1 from l where len(ls) between 1 and 2
   union all select * from (select doc_id, ls, 'line', 1, unnest(range(1, len(ls) + 1)) as i from l)
-    where len(list_filter(string_split_regex(ls[i], '{_BLANKS}'), x -> x <> '')) >= 8),
+    where len(list_filter(string_split_regex(ls[i], '{_BLANKS}'), lambda x: x <> '')) >= 8),
 win as (select doc_id, kind, m, i, array_to_string(ls[i : i + m - 1], chr(10)) as s from pos),
 least as (select kind, s, min(struct_pack(d := doc_id, i := i)) as e from win group by kind, s),
 gone as (select distinct doc_id, unnest(range(i, i + m)) as k from win join least using (kind, s) where e <> struct_pack(d := doc_id, i := i)),

@@ -3,11 +3,12 @@
 The state of a window is a folder:
 
     totals/version=v/bucket=b   per key: the sums over the window, and its newest row ever
-    parts/version=v/day=d       per key and instant: what a batch brought, by day
+    parts/version=v/unit=d      per key and instant: what a batch brought to the window, by day or month
     now/version=v               the instant that the window ends at, and the end of the version
 
 A batch adds the sums of its own rows.  If its newest row moves the end on, the rows that the
-window's start has passed are read from the parts of just those days and subtracted.  Only buckets with a key that
+window's start has passed are read from the parts of just those days and subtracted; rows that come too
+late for the window are never part of it.  Only buckets with a key that
 changed are written, from their last totals and the changes; all others keep their files.  A batch
 that is run again starts from the version before and replaces its own folders, and a
 version counts once its ``now`` is written, so a broken run leaves nothing behind.
@@ -32,13 +33,15 @@ BUCKETS = 32
 @dataclass(frozen=True)
 class Window:
     """What is summed: ``measures`` (name to per-row number and its type) by ``key`` over the rows
-    whose ``at`` is not before ``start(now)``.  Rows without an instant are in no window."""
+    whose ``at`` is not before ``start(now)``.  Rows without an instant are in no window.  Parts are
+    kept by ``unit``, of which a window should span some dozens."""
 
     key: str
     at: str
     measures: dict[str, tuple[Column, str]]
     start: Callable[[object], Column]
     buckets: int = field(default=BUCKETS)
+    unit: str = "day"
 
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
@@ -81,33 +84,29 @@ def current(spark: SparkSession, state: str) -> DataFrame:
 def advance(batch: DataFrame, version: int, state: str, window: Window) -> None:
     """Take one more batch into the state as ``version``."""
     spark = batch.sparkSession
-    names = list(window.measures)
     known = batch.filter(F.col(window.at).isNotNull())
-    rows = known.select(window.key, F.col(window.at).alias("at"), *[c.alias(n) for n, (c, _) in window.measures.items()])
-    parts = rows.groupBy(window.key, "at").agg(*window.sums()).withColumn("day", F.to_date("at"))
-    parts.write.mode("overwrite").partitionBy("day").parquet(_path(state, "parts", version))
-    newest = spark.read.schema(parts.schema).parquet(_path(state, "parts", version)).agg(F.max("at")).first()[0]
-    earlier = now_of(spark, state, version)
+    newest, earlier = known.agg(F.max(window.at)).first()[0], now_of(spark, state, version)
     if newest is None and earlier is None:
         return
     now = max(x for x in (newest, earlier) if x is not None)
+    start = window.start(now)
 
+    numbers = [c.cast(k).alias(n) for n, (c, k) in window.measures.items()]
+    rows = known.select(window.key, F.col(window.at).alias("at"), *numbers)
+    kind = rows.schema["at"].dataType
+    parts = rows.filter(F.col("at") >= start).groupBy(window.key, "at").agg(*window.sums()).withColumn("unit", _unit(window, F.col("at")))
+    parts.write.mode("overwrite").partitionBy("unit").parquet(_path(state, "parts", version))
     columns = T.StructType([*parts.schema.fields, T.StructField("version", T.IntegerType())])
     stored = spark.read.schema(columns).option("basePath", f"{state}/parts").parquet(f"{state}/parts")
-    start = window.start(now)
     mine = stored.filter(F.col("version") == version)
-    changes = mine.select(
-        window.key, *[F.when(F.col("at") >= start, F.col(n)).otherwise(F.lit(0).cast(k)).cast(k).alias(n) for n, (_, k) in window.measures.items()],
-        F.col("at").alias("last"),
-    )
+    nothing = [F.lit(0).cast(k).alias(n) for n, (_, k) in window.measures.items()]
+    last = rows.groupBy(window.key).agg(F.max("at").alias("last")).select(window.key, *nothing, "last")
+    changes = last.union(mine.select(window.key, *window.measures, F.lit(None).cast(kind)))
     if earlier is not None and now != earlier:
         before = window.start(earlier)
-        passed = (F.col("at") >= before) & (F.col("at") < start) & F.col("day").between(before.cast("date"), start.cast("date"))
-        done = _versions(spark, state, version)
-        gone = stored.filter(F.col("version").isin(done) & passed).select(
-            window.key, *[(-F.col(n)).cast(k).alias(n) for n, (_, k) in window.measures.items()], F.lit(None).cast(parts.schema["at"].dataType).alias("last")
-        )
-        changes = changes.union(gone)
+        passed = (F.col("at") >= before) & (F.col("at") < start) & F.col("unit").between(_unit(window, before), _unit(window, start))
+        gone = stored.filter(F.col("version").isin(_versions(spark, state, version)) & passed)
+        changes = changes.union(gone.select(window.key, *[(-F.col(n)).cast(k) for n, (_, k) in window.measures.items()], F.lit(None).cast(kind)))
     changes = changes.groupBy(window.key).agg(*window.sums(), F.max("last").alias("last")).withColumn("bucket", window.bucket())
     changed = _path(state, "changes", version)
     changes.write.mode("overwrite").partitionBy("bucket").parquet(changed)
@@ -119,21 +118,25 @@ def advance(batch: DataFrame, version: int, state: str, window: Window) -> None:
         totals = merged.groupBy(window.key).agg(*window.sums(), F.max("last").alias("last")).withColumn("bucket", window.bucket())
         totals.write.mode("overwrite").partitionBy("bucket").parquet(_path(state, "totals", version))
     spark.range(1).select(F.lit(now).alias("now")).write.mode("overwrite").parquet(_path(state, "now", version))
-    _tidy(spark, state, version, window, now if earlier is None else earlier, names)
+    _tidy(spark, state, version, window, now if earlier is None else earlier)
+
+
+def _unit(window: Window, at: Column) -> Column:
+    return F.to_date(F.date_trunc(window.unit, at))
 
 
-def _tidy(spark: SparkSession, state: str, version: int, window: Window, earlier, names: list[str]) -> None:
-    """Delete what neither this version nor a repetition of it reads: replaced buckets, and days that had left the window before."""
+def _tidy(spark: SparkSession, state: str, version: int, window: Window, earlier) -> None:
+    """Delete what neither this version nor a repetition of it reads: replaced buckets, and parts that had left the window before."""
     needed = set(_bucket_paths(spark, state, version + 1).values()) | set(_bucket_paths(spark, state, version).values())
     for path in _folders(spark, f"{state}/totals", "version").values():
         for bucket in _folders(spark, path, "bucket").values():
             if bucket not in needed:
                 _delete(spark, bucket)
     _delete(spark, _path(state, "changes", version))
-    oldest = str(spark.range(1).select(window.start(earlier).cast("date")).first()[0])
+    oldest = str(spark.range(1).select(_unit(window, window.start(earlier))).first()[0])
     for path in _folders(spark, f"{state}/parts", "version").values():
-        for day, folder in _folders(spark, path, "day").items():
-            if day < oldest:
+        for unit, folder in _folders(spark, path, "unit").items():
+            if unit < oldest:
                 _delete(spark, folder)
 
 
@@ -158,4 +161,4 @@ def flow_window(months: int = 12, buckets: int = BUCKETS) -> Window:
     """Absolute flow of an advisor over the last months, and the number of flows with an amount."""
     amount = F.coalesce(F.abs("flow_amount"), F.lit(0)).cast("decimal(28,2)")
     measures = {"total_flow_12m": (amount, "decimal(28,2)"), "flows": (F.col("flow_amount").isNotNull().cast("long"), "long")}
-    return Window("advisor_id", "flow_date", measures, lambda now: dates.months_before(now, months), buckets)
+    return Window("advisor_id", "flow_date", measures, lambda now: dates.months_before(now, months), buckets, "month")

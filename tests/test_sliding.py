@@ -93,6 +93,6 @@ def test_old_days_are_deleted(spark, tmp_path):
     state, window = str(tmp_path), sliding.activity_window(days=2, buckets=2)
     for version in range(6):
         sliding.advance(batch(spark, [("A1", "CALL", 24 * version)]), version, state, window)
-    days = {d for v in refresh._folders(spark, f"{state}/parts", "version").values() for d in refresh._folders(spark, v, "day")}
+    days = {d for v in refresh._folders(spark, f"{state}/parts", "version").values() for d in refresh._folders(spark, v, "unit")}
     assert min(days) == "2024-01-03"  # two days before the end of the version before
     assert mine(spark, state) == {"A1": (3, 0, 0, 120)}

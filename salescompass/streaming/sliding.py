@@ -95,7 +95,7 @@ def advance(batch: DataFrame, version: int, state: str, window: Window) -> None:
     rows = known.select(window.key, F.col(window.at).alias("at"), *numbers)
     kind = rows.schema["at"].dataType
     parts = rows.filter(F.col("at") >= start).groupBy(window.key, "at").agg(*window.sums()).withColumn("unit", _unit(window, F.col("at")))
-    parts.write.mode("overwrite").partitionBy("unit").parquet(_path(state, "parts", version))
+    parts.hint("rebalance", "unit").write.mode("overwrite").partitionBy("unit").parquet(_path(state, "parts", version))
     columns = T.StructType([*parts.schema.fields, T.StructField("version", T.IntegerType())])
     stored = spark.read.schema(columns).option("basePath", f"{state}/parts").parquet(f"{state}/parts")
     mine = stored.filter(F.col("version") == version)
@@ -109,14 +109,16 @@ def advance(batch: DataFrame, version: int, state: str, window: Window) -> None:
         changes = changes.union(gone.select(window.key, *[(-F.col(n)).cast(k) for n, (_, k) in window.measures.items()], F.lit(None).cast(kind)))
     changes = changes.groupBy(window.key).agg(*window.sums(), F.max("last").alias("last")).withColumn("bucket", window.bucket())
     changed = _path(state, "changes", version)
-    changes.write.mode("overwrite").partitionBy("bucket").parquet(changed)
+    changes.write.mode("overwrite").parquet(changed)
+    changes = spark.read.schema(changes.schema).parquet(changed)
 
-    touched = _folders(spark, changed, "bucket")  # at most as many as there are buckets
+    touched = {str(r["bucket"]) for r in changes.select("bucket").distinct().collect()}  # at most as many as there are buckets
     old = [path for b, path in _bucket_paths(spark, state, version).items() if b in touched]
-    merged = spark.read.schema(changes.drop("bucket").schema).parquet(*touched.values(), *old) if touched else None
-    if merged is not None:
-        totals = merged.groupBy(window.key).agg(*window.sums(), F.max("last").alias("last")).withColumn("bucket", window.bucket())
-        totals.write.mode("overwrite").partitionBy("bucket").parquet(_path(state, "totals", version))
+    if touched:
+        both = changes.drop("bucket")
+        both = both.union(spark.read.schema(both.schema).parquet(*old)) if old else both
+        totals = both.groupBy(window.key).agg(*window.sums(), F.max("last").alias("last")).withColumn("bucket", window.bucket())
+        totals.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(_path(state, "totals", version))
     spark.range(1).select(F.lit(now).alias("now")).write.mode("overwrite").parquet(_path(state, "now", version))
     _tidy(spark, state, version, window, now if earlier is None else earlier)
 

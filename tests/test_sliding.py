@@ -71,7 +71,7 @@ def test_a_broken_batch_leaves_nothing(spark, tmp_path, monkeypatch):
     sliding.advance(batch(spark, rows), 0, state, window)
     more = [("A1", "MEETING", 90)]
     with monkeypatch.context() as broken:
-        broken.setattr(sliding, "_folders", lambda spark, path, name: (_ for _ in ()).throw(OSError) if "changes" in path else refresh._folders(spark, path, name))
+        broken.setattr(sliding, "_bucket_paths", lambda *a: (_ for _ in ()).throw(OSError))
         with pytest.raises(OSError):
             sliding.advance(batch(spark, more), 1, state, window)
     assert mine(spark, state) == plain(rows, 72)

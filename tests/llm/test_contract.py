@@ -7,6 +7,7 @@ from zlib import crc32
 import plain
 import pytest
 from check_oracle import compare, connect
+from test_whitening import check
 
 import __spark_entry__ as contract
 import corpus_pipeline
@@ -43,9 +44,29 @@ def test_matches_sql(spark, duck, name):
     assert compare(QUERIES[name](spark, SF_DIR), duck, ORACLE[name]) is None
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_and_the_pipeline_are_registered():
     names = contract.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
+
+
+def test_whitening(out, duck):
+    vectors = [v for (v,) in duck.execute("select embedding from embeddings order by vec_id").fetchall()]
+    ids = {i: n for n, (i,) in enumerate(duck.execute("select vec_id from embeddings order by vec_id").fetchall())}
+    check([r.asDict() | {"vec_id": ids[r["vec_id"]]} for r in out("op11_embedding_whitening")], vectors, 4)
+
+
+def test_token_files(out, given):
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    start, wanted = 0, []
+    for doc_id, text, _ in given:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+        wanted.append((doc_id, start, len(ids), crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in out("op12_token_files")) == wanted
 
 
 def test_mix(out, given):

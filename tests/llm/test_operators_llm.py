@@ -1,5 +1,6 @@
 """Every operator against a plain version on awkward rows, and on empty tables."""
 
+import math
 import random
 from collections import Counter, defaultdict
 from zlib import crc32
@@ -457,6 +458,10 @@ def test_rule_quality(spark):
     held = [i for i in range(600) if crc32(str(i).encode()) % 3 == 1]
     assert {r["doc_id"] for r in out.filter(rule_quality.held_out()).collect()} & set(range(600)) == set(held)
     assert sum((rows[i]["score"] >= 0.5) == (i % 5 != 1) for i in held) > 0.97 * len(held)
+    for r in docs.withColumn("s", rule_quality.text_statistics(F.col("text"))).collect():  # the rules, one by one
+        values = [r["s"][name] for name in rule_quality.STATISTICS]
+        total = model.intercept + sum(w for bounds, w in model.rules if all(low < values[k] <= high for k, low, high in bounds))
+        assert abs(rows[r["doc_id"]]["score"] - 1 / (1 + 2.718281828459045 ** -total)) < 1e-9
     kept = rule_quality.accepted(docs, labels)
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {i for i, r in rows.items() if r["score"] >= 0.5}
 
@@ -494,6 +499,14 @@ def test_toxicity(spark):
     toxic = {i for i in range(600) if i % 5 == 2 or (i % 5 == 3 and i % 2)}
     held = [i for i in range(600) if crc32(str(i).encode()) % 3 == 1]
     assert sum(rows[i]["toxic"] == (i in toxic) for i in held) > 0.97 * len(held)
+    bad = [i for i in held if i in toxic]
+    assert sum(rows[i]["toxic"] for i in bad) >= 0.9 * len(bad) > 0
+    weight = dict(zip(model.features.tolist(), model.weights.tolist(), strict=True))
+    for r in docs.collect():  # P(severity > k) = logistic(weights - threshold k), text by text
+        _, features, counts = toxicity.feature_counts([(r["text"] or "").encode()])
+        eta = sum(weight.get(f, 0.0) * (1 + math.log(n)) for f, n in zip(features.tolist(), counts.tolist(), strict=True))
+        above = [1 / (1 + math.exp(t - eta)) for t in model.thresholds.tolist()]
+        assert abs(rows[r["doc_id"]]["severity"] - sum(above)) < 1e-9 and rows[r["doc_id"]]["toxic"] == (above[0] >= toxicity.TOXIC_FROM)
     mean = lambda ids: sum(rows[i]["severity"] for i in ids) / len(ids)
     mild, strong = [i for i in toxic if i % 5 == 2], [i for i in toxic if i % 5 == 3]
     assert mean(strong) > mean(mild) + 0.5 > mean(set(range(600)) - toxic) + 0.5

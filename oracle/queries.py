@@ -440,7 +440,7 @@ for _key, _cte in _ALERTS.items():
     _SQL[_key] = f"select alert, fired, {d('value')} as value, message from {_cte}"
 _SQL["alert_report"] = " union all ".join(_SQL[k] for k in _ALERTS)
 
-_SQL["alert_events_stale_by_territory"] = """
+_SQL["stale_territories"] = """
     select territory_id, last_row, coalesce(last_row < newest - interval 30 minute, false) as fired,
            date_diff('second', last_row, newest) as seconds_behind
     from (select territory_id, max(row_timestamp) as last_row from located_events group by territory_id),

@@ -737,7 +737,7 @@ ALERTS: dict[str, Query] = {
 QUERIES.update(ALERTS)
 
 
-@query("alert_events_stale_by_territory")
+@query("stale_territories")
 def _(ws):
     return alerts.events_stale_by(ws.table("located_events"), "territory_id")
 

@@ -33,8 +33,8 @@ SMALL_BAND = 8  # members that are compared as pairs
 ROUNDS = 3  # times that members outside their bands' largest components are compared with one member of it
 PIECE = 500_000  # bytes of text whose shingles a task holds at once
 BLOCK = 256  # documents on each side that are compared in one task
-VERIFIED = 1000  # pairs whose texts a task holds besides the batch they come in
-PAIRS_AT_ONCE = 1_000_000  # pairs of equal shingles that a comparison of blocks holds
+VERIFIED = 300  # pairs whose texts a task holds besides the batch they come in
+PAIRS_AT_ONCE = 200_000  # pairs of equal shingles that a comparison of blocks holds
 
 
 def shingles(words: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

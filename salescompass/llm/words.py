@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 2_000_000  # texts handled at once; one longer text is a piece of its own
+PIECE_BYTES = 1_000_000  # texts handled at once; one longer text is a piece of its own
 
 _STEP, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BYTE_BASE, _WORD_BASE = 0xD1342543DE82EF95, 0xAF251AF3B0F025B5  # odd, so that they have inverses modulo 2**64

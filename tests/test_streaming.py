@@ -190,3 +190,29 @@ def test_flow_merge_keeps_earlier_flows_without_a_date(spark, ws, tmp_path):
     merged, whole = refresh.current_flows(spark, state).drop("month"), flow_state(flows.unionAll(undated).unionAll(flows))
     assert not undated.isEmpty() and merged.count() == whole.count()
     assert merged.exceptAll(whole.select(merged.columns)).isEmpty()
+
+
+def test_no_task_writes_a_whole_delivery(spark, tmp_path):
+    """A delivery's messages come in files of bounded size, however many they are."""
+    from salescompass.plans import registry
+    from salescompass.sources.workspace import Workspace
+
+    n = F.col("id")
+    events = spark.range(0, 30_000, 1, 6).select(
+        n.alias("event_id"), F.timestamp_seconds(n).cast("timestamp_ntz").alias("ts"), (n % 7).alias("user_id"), F.lit("error").alias("event_type"),
+        F.lit(1.0).alias("value"), F.to_json(F.struct(F.sha2(n.cast("string"), 512).alias("k"))).alias("props"),
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    customers = spark.range(7).select(n.alias("c_custkey"), F.lit("c").alias("c_name"), F.lit(0).alias("c_nationkey"), F.lit(1.0).alias("c_acctbal"))
+    customers.write.parquet(str(tmp_path / "customer.parquet"))
+    spark.range(1).select(F.lit(0).alias("n_nationkey"), F.lit(0).alias("n_regionkey")).write.parquet(str(tmp_path / "nation.parquet"))
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "200k")
+    try:
+        sent = spark.read.text(registry._feed(Workspace(spark, str(tmp_path)))).withColumn("file", F.input_file_name())
+    finally:
+        spark.conf.set(setting, before)
+    largest = sent.groupBy("delivery", "file").count().groupBy("delivery").agg(F.max("count"), F.sum("count")).collect()
+    assert sent.count() == 60_000 and len(largest) == 3
+    assert all(most <= every / 2 for _, most, every in largest)

@@ -197,3 +197,23 @@ def test_attribution_counts_copies_in_the_dimensions(spark):
     assert out.schema["flow_amount"].dataType.simpleString() == "decimal(28,2)"
     above = out._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
     assert "Aggregate" not in above
+
+
+def test_shuffles_start_with_partitions_in_proportion_to_the_input(spark, tmp_path):
+    """A task's share does not grow with the input when the session's number of partitions is fixed."""
+    flag = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    (tmp_path / "events.parquet").mkdir()
+    with open(tmp_path / "events.parquet" / "part-0", "wb") as file:
+        file.truncate(1_000_000_000)
+    assert spark.conf.get(flag, None) is None
+    try:
+        Workspace(spark, str(tmp_path))
+        assert int(spark.conf.get(flag)) == 63
+        Workspace(spark, str(tmp_path / "events.parquet" / "none"))
+        assert int(spark.conf.get(flag)) == 63
+        numbers = spark.range(1000).groupBy(F.col("id") % 100).count()
+        numbers.collect()
+        assert "hashpartitioning" in numbers._jdf.queryExecution().executedPlan().toString()
+        assert ", 63)" in numbers._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(flag)

@@ -35,6 +35,7 @@ PIECE = 500_000  # bytes of text whose shingles a task holds at once
 BLOCK = 256  # documents on each side that are compared in one task
 VERIFIED = 300  # pairs whose texts a task holds besides the batch they come in
 PAIRS_AT_ONCE = 200_000  # pairs of equal shingles that a comparison of blocks holds
+BATCH_BYTES = 8_000_000  # texts that come to a task at once
 
 
 def shingles(words: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -231,7 +232,7 @@ class NearDuplicates:
             f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, "
             "content_1 long, content_2 long, size long, bands array<long>"
         )
-        self.sketches = stored(self.texts.mapInArrow(_sketch(bands, rows, size), kinds), "sketches")
+        self.sketches = stored(self.texts.mapInArrow(_sketch(bands, rows, size), kinds), "sketches", BATCH_BYTES)
         nodes = self.sketches.groupBy("content_1", "content_2", "size").agg(
             F.min(F.struct("doc_id", "text_hash")).alias("sample"), F.any_value("bands").alias("bands")
         )
@@ -253,7 +254,8 @@ class NearDuplicates:
         shared = stored(in_bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "bands")
         members = stored(in_bands.join(shared, "key"), "members")
         texts = self._member_texts(members)
-        labels = components(self._linked(self._pairs_with_centre(members, members, 0), texts))
+        # stored, so that a task does not hold one Python process to compare texts and another to join the links
+        labels = components(stored(self._linked(self._pairs_with_centre(members, members, 0), texts), "verified", BATCH_BYTES))
         open_ = members.withColumn("own", F.lit(0).cast("long"))
         for turn in range(ROUNDS):
             open_ = stored(self._open(open_.select("key", "node", "size", "n", "own"), labels), "open")

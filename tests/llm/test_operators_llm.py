@@ -309,6 +309,23 @@ def test_links_are_few(spark, monkeypatch, n):
     assert 0.6 * n < sum(seen) <= 2 * n  # equal texts are one node
 
 
+def test_compared_texts_and_components_take_turns(spark, monkeypatch):
+    """The component search reads verified links from a table: no task holds a Python process for each of the two."""
+    original, plans = near_dedup.components, []
+
+    def seen(links):
+        plans.append(links._jdf.queryExecution().executedPlan().toString())
+        return original(links)
+
+    monkeypatch.setattr(near_dedup, "components", seen)
+    text = " ".join(f"w{i}" for i in range(60))
+    df = spark.createDataFrame([(1, text), (2, f"{text} x"), (3, "other words")], "doc_id long, text string")
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    assert dict(map(tuple, near_dedup.NearDuplicates(df).classes().collect())) == {1: 1, 2: 1, 3: 3}
+    assert len(plans) == 1 and "MapInArrow" not in plans[0]
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
 def test_repeated_rows_and_ids(spark):
     one = "a b c d e f g h"
     df = spark.createDataFrame([(1, one), (1, one), (1, "other text of this id here"), (2, one), (3, None), (4, "")], "doc_id long, text string")

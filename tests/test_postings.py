@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from salescompass.operators import postings, search
@@ -78,6 +79,60 @@ def test_a_term_in_all_documents_is_cut_into_bounded_blocks(spark):
     assert max(r["n"] for r in blocks) <= 100 and sum(r["n"] for r in blocks if r["term"] == "same") == 2000
 
 
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    return [line for line in plan if "Exchange hashpartitioning(" in line]
+
+
+def test_postings_are_shuffled_once_and_packed(spark, corpus, tmp_path, monkeypatch):
+    docs, asked = corpus
+    index, written, parquet = index_of(docs), {}, DataFrameWriter.parquet
+
+    def spy(writer, path, *args, **options):
+        written[path] = writer._df
+        parquet(writer, path, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", spy)
+    postings.write_blocks(postings.posting_blocks(index), str(tmp_path / "blocks"))
+    dealt = [line for line in exchanges(written[str(tmp_path / "blocks")]) if "_part" not in line]
+    assert len(dealt) == 1 and "hashpartitioning(bucket" in dealt[0] and "slice" in dealt[0]
+
+    def keep(name, df):
+        df.write.mode("overwrite").parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    found = postings.search_postings(search.query_terms(asked), index, spark.read.parquet(str(tmp_path / "blocks")), keep)
+    for scored in (written[str(tmp_path / "probed")], found.best):  # a query's terms are not repeated for every range
+        assert not [line for line in exchanges(scored) if "term#" in line and "range#" in line]
+
+
+def test_ranges_cut_between_batches_and_slices_give_whole_blocks(spark, monkeypatch):
+    rng = random.Random(4)
+    texts = {i: [f"w{rng.randrange(30)}" for _ in range(rng.randrange(0, 9))] for i in range(300)}
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    monkeypatch.setattr(postings, "SLICE", 2)
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    try:
+        spark.conf.set(batch, "7")
+        blocks = postings.posting_blocks(index_of(docs), 16).collect()
+    finally:
+        spark.conf.set(batch, before)
+    assert len({(r["term"], r["range"]) for r in blocks}) == len(blocks)
+    ranges = {}
+    for r in blocks:
+        assert r["n"] == len(r["docs"]) == len(r["parts"]) and r["top"] == max(r["parts"])
+        for doc in r["docs"]:
+            ranges.setdefault(doc, set()).add(r["range"])
+    assert all(len(found) == 1 for found in ranges.values())
+    assert sorted((r["term"], doc) for r in blocks for doc in r["docs"]) == sorted((t, i) for i, w in texts.items() for t in set(w))
+    avg = sum(map(len, texts.values())) / len(texts)
+    for r in blocks:
+        for doc, part in zip(r["docs"], r["parts"]):
+            tf, length = texts[doc].count(r["term"]), len(texts[doc])
+            assert part == pytest.approx(tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / avg)))
+
+
 CHANGE = "doc_id long, text string, kind string, deleted boolean, at int"
 
 

@@ -3,6 +3,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from salescompass.operators.attribution import flow_state
 from salescompass.streaming import ingest, refresh
@@ -80,6 +81,24 @@ def test_batch_run_again_changes_nothing(spark, feed):
     assert [sorted(map(str, feed.read(p).collect())) for p in ("events", "dead", "stats")] == before
 
 
+def test_a_batch_is_not_kept_in_memory(spark, feed, monkeypatch):
+    """What is kept of a batch while it lands is on disk, and the lines only of the bad rows."""
+    feed.deliver(*[message(n) for n in range(2000)], "{broken")
+    kept, unpersist = [], DataFrame.unpersist
+
+    def seen(df, *args):
+        sizes = [(r.memSize(), r.diskSize()) for r in spark.sparkContext._jsc.sc().getRDDStorageInfo()]
+        kept.append((sizes, [r["value"] for r in df.filter("value is not null").collect()]))
+        return unpersist(df, *args)
+
+    monkeypatch.setattr(DataFrame, "unpersist", seen)
+    ingest.land_batch(*feed.paths[:3])(spark.read.text(f"{feed.root}/in"), 0)
+    ((sizes, lines),) = kept
+    assert sizes and all(memory == 0 and disk > 0 for memory, disk in sizes)
+    assert lines == ["{broken"]
+    assert feed.read("events").count() == 2000 and [r["value"] for r in feed.read("dead").collect()] == ["{broken"]
+
+
 def test_much_repeated_message(feed):
     feed.deliver(*[message(7)] * 500, message(8))
     feed.run()

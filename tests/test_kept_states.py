@@ -66,6 +66,18 @@ def test_sweep_of_empty_facts(facts):
     assert len(rows) == 72 and {(r["engagement_score"], r["days_since_last_activity"]) for r in rows} == {(0.0, 999)}
 
 
+def test_only_what_counts_is_shuffled(facts):
+    """Flows outside every window are left out before the sums, and the sweep joins a row per advisor, not per run."""
+    newest, plan = Run(NOW, NOW.date()), lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    single = plan(engagement_runs(*facts, [newest]))
+    assert "(flow_date#" in single.split("Filter")[-1] or any("flow_date" in part.split("\n")[0] for part in single.split("Filter")[1:])
+    swept = engagement_sweep(*facts, newest, 9)
+    executed = swept._jdf.queryExecution().executedPlan().toString()
+    assert any(line.count("hashpartitioning(advisor_id") for line in executed.splitlines())
+    assert not any("hashpartitioning(advisor_id" in line and "run#" in line for line in executed.splitlines())
+    assert any("leave#" in part.split("\n")[0] and "enter#" in part.split("\n")[0] or "flow_amount" in part.split("\n")[0] for part in plan(swept).split("Filter")[1:])
+
+
 # -- rollups ----------------------------------------------------------------------------------
 @pytest.fixture(scope="module")
 def stored(ws, spark, tmp_path_factory):

@@ -1,6 +1,7 @@
 """Invariants of the tables, writers, metric layer and plans."""
 
 import datetime as dt
+import time
 from decimal import Decimal
 
 import pytest
@@ -91,6 +92,83 @@ def test_writers(spark, tmp_path):
     assert dict(sinks.stamped(hot).dtypes)["row_timestamp"] == "timestamp_ntz"
 
 
+def test_finish_works_on_the_shuffled_rows(spark, tmp_path):
+    """Wide columns are worked out after the shuffle, in the order and without the helpers of the layout."""
+    path, seen = str(tmp_path / "t"), []
+    narrow = spark.range(500, numPartitions=4).select("id", (F.col("id") % 3).alias("t"))
+
+    def finish(rows):
+        seen.append((rows.columns, rows._jdf.queryExecution().optimizedPlan().toString()))
+        return rows.select(F.repeat(F.col("id").cast("string"), 50).alias("wide"), "id", "t")
+
+    sinks.write_balanced(narrow, path, ["t", F.col("id") % 2], ["id"], finish=finish)
+    ((columns, below),) = seen
+    assert columns == ["id", "t"] and "RebalancePartitions" in below
+    written = spark.read.parquet(path)
+    assert written.columns == ["wide", "id", "t"] and written.count() == 500
+    assert written.filter(F.col("wide") != F.repeat(F.col("id").cast("string"), 50)).isEmpty()
+    assert all(f.endswith(".zstd.parquet") for f in written.inputFiles())
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark, ws):
+    """The disk holds the files of one job at a time, whatever the driver has collected."""
+    flag = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, set_before, frames = _shuffle_files(spark), spark.conf.get(flag, None), []
+
+    def write(path):
+        frames.append(spark.range(1000).repartition(3).groupBy(F.col("id") % 10).count())
+        sinks.overwrite(frames[0], path)
+
+    assert ws.stored("counted_ids", write).count() == 10
+    assert spark.conf.get(flag, None) == set_before
+    deadline = time.time() + 20
+    while (left := _shuffle_files(spark) - before) and time.time() < deadline:
+        time.sleep(0.2)
+    # the count that the test itself asked for may leave one
+    assert len({name.split("_")[1] for name in left}) <= 1
+    assert len(frames[0].collect()) == 10
+
+
+def test_attribution_is_written_where_the_joins_leave_it(spark, tmp_path, monkeypatch):
+    """No shuffle of the joined rows only to lay them out; every file is in the order of the flow date."""
+    day = dt.date(2024, 1, 1)
+    flows = [(f"F{i % 7}", f"A{i % 5}", "T1", Decimal(i), day + dt.timedelta(days=i * 37 % 200), "INFLOW") for i in range(300)]
+    tables = {
+        "fund_flows": spark.createDataFrame(flows, "fund_id string, advisor_id string, territory_id string, flow_amount decimal(18,2), flow_date date, flow_type string"),
+        "fund_dim": spark.createDataFrame([(f"F{i}", f"fund {i}", "c") for i in range(7)], "fund_id string, fund_name string, fund_category string"),
+        "advisor_dim": spark.createDataFrame([(f"A{i}", "a", "T9") for i in range(5)], "advisor_id string, advisor_name string, territory_id string"),
+        "territory_dim": spark.createDataFrame([("T1", "t")], "territory_id string, territory_name string"),
+        "advisor_engagement_score": spark.createDataFrame([("A1", Decimal(100))], "advisor_id string, aum_amount decimal(18,2)"),
+    }
+    plans = []
+
+    class Tables:
+        def table(self, name):
+            return tables[name]
+
+        def stored(self, name, write):
+            write(str(tmp_path / name))
+            return spark.read.parquet(str(tmp_path / name))
+
+    def written(df, *args):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return overwrite(df, *args)
+
+    overwrite = sinks.overwrite
+    monkeypatch.setattr(sinks, "overwrite", written)
+    table = derived._attribution(Tables())
+    assert len(plans) == 1 and "Rebalance" not in plans[0]
+    assert table.agg(F.sum("flow_amount"), F.sum("transaction_count")).first() == (Decimal(sum(range(300))), 300)
+    for file in table.inputFiles():
+        days = [r["flow_date"] for r in spark.read.parquet(file).collect()]
+        assert days == sorted(days)
+
+
 # -- metric layer -------------------------------------------------------------------------------
 def test_registry_rows(spark):
     counts = semantic.describe(spark).groupBy("kind").count().collect()

@@ -84,10 +84,11 @@ def test_batch_run_again_changes_nothing(spark, feed):
 def test_a_batch_is_not_kept_in_memory(spark, feed, monkeypatch):
     """What is kept of a batch while it lands is on disk, and the lines only of the bad rows."""
     feed.deliver(*[message(n) for n in range(2000)], "{broken")
-    kept, unpersist = [], DataFrame.unpersist
+    stored = lambda: {r.id(): (r.memSize(), r.diskSize()) for r in spark.sparkContext._jsc.sc().getRDDStorageInfo()}
+    kept, before, unpersist = [], stored(), DataFrame.unpersist
 
     def seen(df, *args):
-        sizes = [(r.memSize(), r.diskSize()) for r in spark.sparkContext._jsc.sc().getRDDStorageInfo()]
+        sizes = [size for rdd, size in stored().items() if rdd not in before]
         kept.append((sizes, [r["value"] for r in df.filter("value is not null").collect()]))
         return unpersist(df, *args)
 
